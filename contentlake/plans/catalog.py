@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contentlake.plans import catalog_lookup  # noqa: F401
+from contentlake.plans import catalog_lookup, catalog_paths  # noqa: F401
 from contentlake.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

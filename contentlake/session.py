@@ -24,6 +24,7 @@ ENGINE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
