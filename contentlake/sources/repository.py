@@ -248,3 +248,30 @@ def requests(t: Tables) -> DataFrame:
                        .alias("req_docid"),
                       F.when(et == "click", F.col("cust_path"))
                        .when(et == "purchase", F.lit("/")).alias("req_path")))
+
+
+def request_records(t: Tables) -> DataFrame:
+    """The lookup requests as records: ``req_id``, ``attributes`` (string
+    map of the non-null well-known attributes) and empty ``content``.
+
+    Attributes: ``nx-docid``, ``nx-path`` (as in :func:`requests`),
+    ``nx-type`` (the event type) and, on ``view`` events, ``nx-page-size``
+    (the integer part of the event value)."""
+    ev = t.events.select("event_id", "event_type", "user_id", "value")
+    cf = customer_folders(t).select("c_custkey", "cust_path")
+    et = F.col("event_type")
+    cid = F.concat(F.lit("c"), _s("user_id"))
+    docid = (F.when(et.isin("view", "purchase"), cid)
+              .when(et == "error", F.concat(F.lit("missing-"), _s("event_id"))))
+    path = F.when(et == "click", F.col("cust_path")).when(et == "purchase", F.lit("/"))
+    size = F.when(et == "view", F.floor(F.col("value")).cast("long").cast("string"))
+    entries = F.array(
+        F.struct(F.lit("nx-docid").alias("key"), docid.alias("value")),
+        F.struct(F.lit("nx-path").alias("key"), path.alias("value")),
+        F.struct(F.lit("nx-type").alias("key"), et.alias("value")),
+        F.struct(F.lit("nx-page-size").alias("key"), size.alias("value")))
+    return (ev.join(cf, ev.user_id == cf.c_custkey)
+              .select(F.col("event_id").alias("req_id"),
+                      F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+                       .alias("attributes"),
+                      F.lit(None).cast("binary").alias("content")))
