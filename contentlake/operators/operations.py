@@ -1,6 +1,6 @@
 """Named user operations, their result kinds, and entry fan-out.
 
-An operation is ``fn(spark, inputs, params) -> DataFrame``:
+An operation is ``fn(spark, inputs, params, store) -> DataFrame``:
 
 * ``input`` is ``none`` (runs once, with no record), ``document`` (one
   row per resolved document) or ``blob`` (one row per record's bytes);
@@ -95,17 +95,31 @@ def split_entries(df: DataFrame, entries_col: str = "entries", pos_col: str = "e
 def run_operation(spark: SparkSession, name: str, inputs: DataFrame | None = None,
                   params: dict[str, Column | str | None] | None = None, split: bool = True,
                   original: bool = False, key: str = "req_id",
-                  page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
-    """Run a registered operation and shape its output by result kind."""
+                  page_size: int = DEFAULT_PAGE_SIZE,
+                  store: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Run a registered operation and shape its output by result kind.
+
+    ``store`` holds the repository tables the operation reads (``docs``,
+    ``favorites``, ``collections`` …). Document-input operations get their
+    requests resolved against ``store['docs']`` first; unresolved requests
+    are routed to ``failure``."""
     op = OPERATIONS[name]
+    store = store or {}
     if op.input != "none" and inputs is None:
         raise ValueError(f"operation {name} needs {op.input} input")
-    res = op.fn(spark, inputs, context_params(params or {}))
+    failed = None
+    run_inputs = inputs
+    if op.input == "document" and "doc_id" not in inputs.columns and "docs" in store:
+        from contentlake.operators.lookup import get_document
+        resolved = get_document(inputs, store["docs"], doc_cols=["id"])
+        run_inputs = resolved.where(F.col("route") == SUCCESS).drop("route", "error")
+        failed = resolved.where(F.col("route") != SUCCESS)
+    res = op.fn(spark, run_inputs, context_params(params or {}), store)
     if op.kind == "none":
         out = res.limit(0)
     elif op.kind == "entries" and not split:
         value_cols = [c for c in res.columns if c != key]
-        order = value_cols[:1] if value_cols else [key]
+        order = value_cols or [key]
         if key in res.columns:
             numbered = position_within(res, [key], order, "entry_no")
             grouped = [key, "page_index"]
@@ -126,6 +140,8 @@ def run_operation(spark: SparkSession, name: str, inputs: DataFrame | None = Non
     else:
         out = res
     out = routed(out, SUCCESS)
+    if failed is not None:
+        out = union_routes(out, failed.select(key, "route", "error"))
     if original and inputs is not None:
         out = union_routes(out, routed(inputs, ORIGINAL))
     return out

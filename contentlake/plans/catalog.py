@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from contentlake.plans import catalog_args, catalog_lookup, catalog_paths, catalog_mutate, catalog_query, catalog_relations  # noqa: F401
+from contentlake.plans import (  # noqa: F401
+    catalog_args, catalog_lookup, catalog_mutate, catalog_operations, catalog_paths, catalog_query,
+    catalog_relations,
+)
 from contentlake.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
