@@ -72,16 +72,22 @@ def get_blob(requests: DataFrame, blobs: DataFrame, doc_col: str = "req_docid",
     blob_cols = blob_cols or ["filename", "mime_type", "length", "digest", "content"]
     xp = F.coalesce(F.col(xpath_col), F.lit(DEFAULT_XPATH)) if xpath_col else F.lit(DEFAULT_XPATH)
     req = requests.withColumns({"_d": F.col(doc_col), "_x": xp})
+    b = blobs.select(F.col("doc_id").alias("_bd"), F.col("xpath").alias("_bx"), *blob_cols)
+    on = (req["_d"] == b["_bd"]) & (req["_x"] == b["_bx"])
     if row_count_at_most(req, BLOB_REQUEST_BROADCAST_ROWS):
-        req = F.broadcast(req)
-    b = blobs.select(F.col("doc_id").alias("_bd"), F.col("xpath").alias("_bx"), *blob_cols,
-                     F.lit(True).alias("_hit"))
-    joined = req.join(b, (req["_d"] == b["_bd"]) & (req["_x"] == b["_bx"]), "left")
+        # small request side: broadcast it into an inner join (blobs stream
+        # through in place), then find the misses among the requests alone
+        hits = b.join(F.broadcast(req), on).select(*req.columns, *blob_cols)
+        keys = hits.select(F.col("_d").alias("_hd"), F.col("_x").alias("_hx")).distinct()
+        misses = req.join(keys, (req["_d"] == keys["_hd"]) & (req["_x"] == keys["_hx"]), "left_anti")
+        joined = hits.withColumn("_hit", F.lit(True)).unionByName(misses, allowMissingColumns=True)
+    else:
+        joined = req.join(b.withColumn("_hit", F.lit(True)), on, "left").drop("_bd", "_bx")
     out = joined.withColumns({
         "route": F.when(F.col("_hit"), F.lit(SUCCESS)).otherwise(F.lit(FAILURE)),
         "error": F.when(F.col("_hit"), F.lit(None).cast("string")).otherwise(F.lit(BLOB_NOT_FOUND)),
         "xpath": F.col("_x"),
-    }).drop("_d", "_x", "_bd", "_bx", "_hit")
+    }).drop("_d", "_x", "_hit")
     return emit_original(out, requests) if original else out
 
 
