@@ -6,11 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Text that can start a JSON value: an object, array, string, true / false /
+# null, or a number token that ends the text or is followed by whitespace.
+# Anything else cannot parse, so it skips the (costly) failed parse attempt.
+MAYBE_JSON = r"^\s*([\[{\"tfn]|-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?(\s|$))"
+
+
 def json_or_string(value: Column) -> Column:
     """A dynamic value as VARIANT: the parsed JSON when the text parses,
     otherwise the raw string. ``null`` stays null."""
-    return F.when(value.isNull(), F.lit(None).cast("variant")).otherwise(
-        F.coalesce(F.try_parse_json(value), value.cast("variant")))
+    return (F.when(value.isNull(), F.lit(None).cast("variant"))
+             .when(F.regexp_like(value, F.lit(MAYBE_JSON)),
+                   F.coalesce(F.try_parse_json(value), value.cast("variant")))
+             .otherwise(value.cast("variant")))
 
 
 def variant_kind(v: Column) -> Column:

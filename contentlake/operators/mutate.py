@@ -89,12 +89,16 @@ def create_documents(docs: DataFrame, requests: DataFrame, *, req_key: str = "re
         (F.col(new_id) if new_id else F.lit(None).cast("string")).alias("_nid"),
         props_col.alias("_props"))
     req = req.withColumn("_path", child_path(F.col("_pp"), F.col("_name")))
-    parents = docs.select(F.col("path").alias("_ppath"), F.col("id").alias("_parent_id"))
-    existing = docs.select(F.col("path").alias("_epath"), F.lit(True).alias("_exists"))
+    # both lookups read the same (path, id) projection of docs, so the docs
+    # scan and its shuffle on path are done once and reused by both joins
+    by_path = docs.select("path", "id")
+    parents = by_path.select(F.col("path").alias("_ppath"), F.col("id").alias("_parent_id"))
+    existing = by_path.select(F.col("path").alias("_epath"), F.col("id").alias("_existing_id"))
     first = req.groupBy("_path").agg(F.min("_req").alias("_first"))
     j = (req.join(parents, req["_pp"] == parents["_ppath"], "left")
             .join(existing, req["_path"] == existing["_epath"], "left")
-            .join(first, "_path"))
+            .join(first, "_path")
+            .withColumn("_exists", F.col("_existing_id").isNotNull()))
     error = (F.when(F.col("_parent_id").isNull(), F.lit(PARENT_NOT_FOUND))
               .when(F.col("_exists"), F.lit(ALREADY_EXISTS))
               .when(F.col("_req") != F.col("_first"), F.lit(DUPLICATE_IN_BATCH)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from contentlake.operators import blobs, mutate
 from contentlake.plans.registry import query
 from contentlake.plans.sql_snippets import ERROR_OF_MISS, RESOLVED_REQUESTS
-from contentlake.session import shared_dir
+from contentlake.session import materialize, shared_dir
 from contentlake.sources import repository as repo
 from contentlake.sources import snapshots
 from contentlake.sources.tables import tables
@@ -26,13 +26,15 @@ def _with_notes(t):
         "req_id", F.lit("/").alias("parent_path"),
         F.substring(F.col("req_id"), 2, 1000).alias("name"), F.lit("Folder").alias("type"))
     docs, _ = mutate.create_documents(docs, folders, title=None)
+    docs = materialize(docs)          # new snapshot: the next write reads it once
     reqs = n.select(F.col("id").alias("req_id"),
                     F.when(F.col("lang") == "de", F.concat("parent_path", F.lit("_de")))
                      .otherwise(F.col("parent_path")).alias("parent_path"),
                     F.regexp_extract("path", "[^/]+$", 0).alias("name"), "type", "title",
                     F.col("id").alias("new_id"), "lang")
-    return mutate.create_documents(docs, reqs, new_id="new_id",
-                                   properties={"note:lang": F.col("lang")})
+    docs, results = mutate.create_documents(docs, reqs, new_id="new_id",
+                                            properties={"note:lang": F.col("lang")})
+    return materialize(docs), results
 
 
 NOTES_RESULT_SQL = """

@@ -69,3 +69,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (sinks, stream state)."""
     root = checkpoint_root(spark)
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder (reliable
+    checkpoint, survives executor loss) and continue from the written copy.
+
+    Used between chained table mutations, where each new snapshot would
+    otherwise recompute every earlier step."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -16,7 +16,7 @@ The driver tables play the repository's roles (see FIXTURES.md §3):
 
 Every builder selects only the columns it needs, so Catalyst prunes the
 parquet scans. Small dimension tables (region, nation) are joined through
-:func:`contentlake.functions.joins.bounded_broadcast`; large-to-large joins
+:meth:`Tables.at_most` (a checked row bound) and a broadcast hint; large-to-large joins
 (orders-customer) are left to sort-merge with AQE skew splitting.
 """
 
@@ -25,7 +25,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentlake.functions.joins import bounded_broadcast
 from contentlake.functions.values import json_or_string
 from contentlake.plans.numbering import position_within
 from contentlake.sources.tables import Tables
@@ -43,20 +42,26 @@ def nation_folders(t: Tables) -> DataFrame:
     """One row per nation: keys, folder ids and folder path."""
     region = t.region.select("r_regionkey", "r_name")
     nation = t.nation.select("n_nationkey", "n_name", "n_regionkey")
-    return (nation.join(bounded_broadcast(region, DIM_ROW_BOUND),
-                        nation.n_regionkey == region.r_regionkey)
+    if t.at_most("region", DIM_ROW_BOUND):
+        region = F.broadcast(region)
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
                   .select("n_nationkey", "n_name", "r_regionkey", "r_name",
                           F.concat(F.lit("n"), _s("n_nationkey")).alias("nation_id"),
                           F.concat(F.lit("r"), _s("r_regionkey")).alias("region_id"),
                           F.concat(F.lit("/"), "r_name", F.lit("/"), "n_name").alias("nation_path")))
 
 
-def customer_folders(t: Tables) -> DataFrame:
-    """One row per customer: key, folder id, name, parent nation id and folder path."""
-    cust = t.customer.select("c_custkey", "c_name", "c_nationkey")
-    nf = bounded_broadcast(nation_folders(t), DIM_ROW_BOUND)
+def customer_folders(t: Tables, extra: list[str] | None = None) -> DataFrame:
+    """One row per customer: key, folder id, name, parent nation id and
+    folder path (plus ``extra`` customer columns)."""
+    extra = extra or []
+    cust = t.customer.select("c_custkey", "c_name", "c_nationkey", *extra)
+    nf = nation_folders(t)
+    # at most one row per nation (region key is unique): bounded with nation
+    if t.at_most("nation", DIM_ROW_BOUND):
+        nf = F.broadcast(nf)
     return (cust.join(nf, cust.c_nationkey == nf.n_nationkey)
-                .select("c_custkey", "c_name",
+                .select("c_custkey", "c_name", *extra,
                         F.concat(F.lit("c"), _s("c_custkey")).alias("cust_id"),
                         "nation_id",
                         F.concat("nation_path", F.lit("/"), "c_name").alias("cust_path")))
@@ -65,30 +70,66 @@ def customer_folders(t: Tables) -> DataFrame:
 DOC_COLS = ["id", "parent_id", "path", "name", "type", "state", "title"]
 
 
-def docs(t: Tables, full: bool = False) -> DataFrame:
-    """The folder tree. ``full`` adds repo / locked / trashed / entity columns."""
+def _dec_text(c: str) -> F.Column:
+    return F.col(c).cast("decimal(18,2)").cast("string")
+
+
+def _customer_props() -> list[tuple[str, F.Column]]:
+    return [("dc:title", F.col("c_name")), ("cust:segment", F.col("c_mktsegment")),
+            ("cust:acctbal", _dec_text("c_acctbal"))]
+
+
+def _order_props() -> list[tuple[str, F.Column]]:
+    okey = _s("o_orderkey")
+    return [("dc:title", F.concat(F.lit("Order "), okey)),
+            ("dc:created", F.to_date("o_orderdate").cast("string")),
+            ("ord:priority", F.col("o_orderpriority")),
+            ("ord:totalprice", _dec_text("o_totalprice"))]
+
+
+def _prop_map(pairs: list[tuple[str, F.Column]], schemas: list[str] | None) -> F.Column:
+    """Properties of one row as MAP<STRING, VARIANT> (JSON-or-string values),
+    built in place: no explode, no grouping, no join."""
+    keep = [(k, v) for k, v in pairs
+            if not schemas or "*" in schemas or k.split(":", 1)[0] in schemas]
+    if not keep:
+        return F.create_map().cast("map<string,variant>")
+    return F.map_from_entries(F.array(*[
+        F.struct(F.lit(k).alias("key"), json_or_string(v).alias("value")) for k, v in keep]))
+
+
+def docs(t: Tables, full: bool = False, properties: bool = False,
+         schemas: list[str] | None = None) -> DataFrame:
+    """The folder tree. ``full`` adds repo / locked / trashed / entity
+    columns; ``properties`` adds ``properties MAP<STRING, VARIANT>`` (only
+    the ``schemas`` listed, all when None or ``*``)."""
     spark = t.spark
+    empty = F.create_map().cast("map<string,variant>")
+    pcol = (lambda c: [c.alias("properties")]) if properties else (lambda c: [])
     root = spark.range(1).select(
         F.lit("root").alias("id"), F.lit(None).cast("string").alias("parent_id"),
         F.lit("/").alias("path"), F.lit("").alias("name"), F.lit("Root").alias("type"),
-        F.lit("project").alias("state"), F.lit("Root").alias("title"))
+        F.lit("project").alias("state"), F.lit("Root").alias("title"), *pcol(empty))
     region = t.region.select(
         F.concat(F.lit("r"), _s("r_regionkey")).alias("id"), F.lit("root").alias("parent_id"),
         F.concat(F.lit("/"), "r_name").alias("path"), F.col("r_name").alias("name"),
         F.lit("Folder").alias("type"), F.lit("project").alias("state"),
-        F.col("r_name").alias("title"))
+        F.col("r_name").alias("title"), *pcol(empty))
     nation = nation_folders(t).select(
         F.col("nation_id").alias("id"), F.col("region_id").alias("parent_id"),
         F.col("nation_path").alias("path"), F.col("n_name").alias("name"),
         F.lit("Folder").alias("type"), F.lit("project").alias("state"),
-        F.col("n_name").alias("title"))
-    cf = customer_folders(t)
+        F.col("n_name").alias("title"), *pcol(empty))
+    cf = customer_folders(t, ["c_mktsegment", "c_acctbal"] if properties else None)
     customer = cf.select(
         F.col("cust_id").alias("id"), F.col("nation_id").alias("parent_id"),
         F.col("cust_path").alias("path"), F.col("c_name").alias("name"),
         F.lit("Folder").alias("type"), F.lit("project").alias("state"),
-        F.col("c_name").alias("title"))
-    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+        F.col("c_name").alias("title"), *pcol(_prop_map(_customer_props(), schemas)))
+    ocols = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    if properties:
+        ocols += ["o_orderdate", "o_orderpriority", "o_totalprice"]
+    orders = t.orders.select(*ocols)
     okey = _s("o_orderkey")
     order = (orders.join(cf.select("c_custkey", "cust_id", "cust_path"),
                          orders.o_custkey == F.col("c_custkey"))
@@ -99,7 +140,8 @@ def docs(t: Tables, full: bool = False) -> DataFrame:
                      F.when(F.col("o_orderstatus") == "O", "project")
                       .when(F.col("o_orderstatus") == "P", "review")
                       .otherwise("approved").alias("state"),
-                     F.concat(F.lit("Order "), okey).alias("title")))
+                     F.concat(F.lit("Order "), okey).alias("title"),
+                     *pcol(_prop_map(_order_props(), schemas))))
     out = root.unionByName(region).unionByName(nation).unionByName(customer).unionByName(order)
     if full:
         out = out.withColumns({"repo": F.lit(REPO), "locked": F.lit(False),
@@ -110,42 +152,20 @@ def docs(t: Tables, full: bool = False) -> DataFrame:
 def props(t: Tables) -> DataFrame:
     """Document properties in long form: doc_id, prop, val (all strings)."""
     cust = t.customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    cid = F.concat(F.lit("c"), _s("c_custkey"))
-    dec = lambda c: F.col(c).cast("decimal(18,2)").cast("string")
-    c_rows = cust.select(cid.alias("doc_id"), F.explode(F.array(
-        F.struct(F.lit("dc:title").alias("prop"), F.col("c_name").alias("val")),
-        F.struct(F.lit("cust:segment").alias("prop"), F.col("c_mktsegment").alias("val")),
-        F.struct(F.lit("cust:acctbal").alias("prop"), dec("c_acctbal").alias("val")),
-    )).alias("p")).select("doc_id", "p.prop", "p.val")
+    c_rows = cust.select(F.concat(F.lit("c"), _s("c_custkey")).alias("doc_id"), F.explode(F.array(*[
+        F.struct(F.lit(k).alias("prop"), v.alias("val")) for k, v in _customer_props()
+    ])).alias("p")).select("doc_id", "p.prop", "p.val")
     orders = t.orders.select("o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice")
-    okey = _s("o_orderkey")
-    o_rows = orders.select(F.concat(F.lit("o"), okey).alias("doc_id"), F.explode(F.array(
-        F.struct(F.lit("dc:title").alias("prop"), F.concat(F.lit("Order "), okey).alias("val")),
-        F.struct(F.lit("dc:created").alias("prop"), F.to_date("o_orderdate").cast("string").alias("val")),
-        F.struct(F.lit("ord:priority").alias("prop"), F.col("o_orderpriority").alias("val")),
-        F.struct(F.lit("ord:totalprice").alias("prop"), dec("o_totalprice").alias("val")),
-    )).alias("p")).select("doc_id", "p.prop", "p.val")
+    o_rows = orders.select(F.concat(F.lit("o"), _s("o_orderkey")).alias("doc_id"), F.explode(F.array(*[
+        F.struct(F.lit(k).alias("prop"), v.alias("val")) for k, v in _order_props()
+    ])).alias("p")).select("doc_id", "p.prop", "p.val")
     return c_rows.unionByName(o_rows)
 
 
 def docs_with_properties(t: Tables, schemas: list[str] | None = None) -> DataFrame:
-    """``docs`` plus ``properties MAP<STRING, VARIANT>`` (JSON-or-string values).
-
-    A document has a fixed, small number of property rows (three per
-    customer, four per order), so building the map per document is a
-    bounded group; documents without properties get an empty map.
-    """
-    p = props(t)
-    if schemas and "*" not in schemas:
-        p = p.where(F.split_part(F.col("prop"), F.lit(":"), F.lit(1)).isin(schemas))
-    pm = (p.groupBy("doc_id")
-           .agg(F.map_from_entries(F.collect_list(F.struct("prop", json_or_string(F.col("val")))))
-                .alias("properties")))
-    d = docs(t, full=True)
-    return (d.join(pm, d.id == pm.doc_id, "left")
-             .drop("doc_id")
-             .withColumn("properties", F.coalesce(
-                 "properties", F.create_map().cast("map<string,variant>"))))
+    """Full ``docs`` with ``properties MAP<STRING, VARIANT>``: each row's map
+    is built from the source row itself, so no shuffle is needed for it."""
+    return docs(t, full=True, properties=True, schemas=schemas)
 
 
 def files(t: Tables) -> DataFrame:
