@@ -12,8 +12,11 @@ def row_count_at_most(df: DataFrame, bound: int) -> bool:
     """True when ``df`` has at most ``bound`` rows.
 
     ``limit(bound + 1).count()`` stops scanning as soon as the bound is
-    passed, so the check costs at most ``bound + 1`` rows of work.
+    passed, so the check costs at most ``bound + 1`` rows of work. An
+    unbounded stream is never proven small.
     """
+    if df.isStreaming:
+        return False
     return df.limit(bound + 1).count() <= bound
 
 
@@ -29,3 +32,36 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
 def null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
+
+
+# A request-side frame at most this many rows is broadcast into lookups, so
+# the (large) repository table is scanned in place instead of shuffled.
+LOOKUP_BROADCAST_ROWS = 200_000
+
+
+def preserving_lookup(left: DataFrame, right: DataFrame, left_keys: list[str],
+                      right_keys: list[str], bound: int = LOOKUP_BROADCAST_ROWS) -> DataFrame:
+    """``left`` left-outer-joined with ``right`` on equal keys, where the
+    right side holds at most one row per key.
+
+    If ``left`` is proven to have at most ``bound`` rows it is broadcast
+    into an inner join (the right side streams through with no shuffle and
+    no skew), and the left rows without a match are found by an anti-join
+    of ``left`` against the matched keys - both small. Otherwise this is a
+    plain shuffle left join (AQE splits skewed keys). Right-side columns
+    of unmatched rows are null, as in a left join.
+    """
+    on_pairs = list(zip(left_keys, right_keys))
+    if not row_count_at_most(left, bound):
+        return left.join(right, null_safe_free_on(left, right, on_pairs), "left")
+    hits = right.join(F.broadcast(left), null_safe_free_on(left, right, on_pairs), "inner")
+    hit_keys = hits.select(*[F.col(rk).alias(f"_hk{i}") for i, (_, rk) in enumerate(on_pairs)]).distinct()
+    miss_on = reduce(lambda a, b: a & b,
+                     [left[lk] == hit_keys[f"_hk{i}"] for i, (lk, _) in enumerate(on_pairs)])
+    misses = left.join(hit_keys, miss_on, "left_anti")
+    return hits.select(*left.columns, *[c for c in right.columns if c not in left.columns]) \
+        .unionByName(misses, allowMissingColumns=True)
+
+
+def null_safe_free_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
+    return reduce(lambda a, b: a & b, [left[a] == right[b] for a, b in pairs])

@@ -9,7 +9,9 @@ equi-join of the request frame with ``docs``:
   ``(ref_kind, ref)``, so requests are shuffled once and docs computed once;
 * a request with neither reference fails with ``no document reference``,
   one whose reference matches nothing fails with ``document not found``;
-* hot documents (many requests for one id) are split by AQE skew join,
+* a request side proven small (row-count check) is broadcast and the docs
+  table streams through with no shuffle; otherwise a shuffle join where
+  hot documents (many requests for one id) are split by AQE skew join,
   since the docs side holds a single row per key.
 """
 
@@ -18,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contentlake.functions.joins import LOOKUP_BROADCAST_ROWS, preserving_lookup, row_count_at_most
 from contentlake.operators.routing import FAILURE, SUCCESS, emit_original, union_routes
 
 NO_REFERENCE = "no document reference"
@@ -64,7 +67,7 @@ def get_document(requests: DataFrame, docs: DataFrame, id_col: str = "req_docid"
     keyed = doc_keys(docs.select(*dict.fromkeys(["id", "path", *doc_cols])))
     keyed = keyed.select(F.col("ref_kind").alias("_dk"), F.col("ref").alias("_d"),
                          *_prefixed(keyed, doc_cols, prefix), F.lit(True).alias("_hit"))
-    joined = req.join(keyed, (req["_rk"] == keyed["_dk"]) & (req["_r"] == keyed["_d"]), "left")
+    joined = preserving_lookup(req, keyed, ["_rk", "_r"], ["_dk", "_d"])
     out = joined.withColumns({
         "route": F.when(F.col("_hit"), F.lit(SUCCESS)).otherwise(F.lit(FAILURE)),
         "error": F.when(F.col("_hit"), F.lit(None).cast("string"))
@@ -102,7 +105,9 @@ def get_children(requests: DataFrame, docs: DataFrame, id_col: str = "req_docid"
     ok = resolved.where(F.col("route") == SUCCESS).drop("route", "error")
     failed = resolved.where(F.col("route") == FAILURE).drop("parent_id")
     kids = docs.select(F.col("parent_id").alias("_pid"), *_prefixed(docs, child_cols, prefix))
-    listed = (ok.join(kids, ok["parent_id"] == kids["_pid"])
+    if row_count_at_most(ok, LOOKUP_BROADCAST_ROWS):
+        ok = F.broadcast(ok)          # docs stream through; no shuffle, no skew
+    listed = (kids.join(ok, ok["parent_id"] == kids["_pid"])
                 .drop("_pid")
                 .withColumns({"route": F.lit(SUCCESS), "error": F.lit(None).cast("string")}))
     out = union_routes(listed, failed)

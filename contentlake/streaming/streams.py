@@ -65,11 +65,23 @@ def run_available_now(df: DataFrame, sink: str, checkpoint: str, fmt: str = "par
 def stream_lookup(spark: SparkSession, requests: DataFrame, docs: DataFrame,
                   doc_cols: list[str] | None = None, sink: str | None = None,
                   checkpoint: str | None = None, original: bool = False) -> str:
-    """Continuous document lookup; returns the sink folder."""
+    """Continuous document lookup; returns the sink folder.
+
+    Each micro-batch is looked up as a batch DataFrame inside
+    ``foreachBatch``: a micro-batch is small, so it is broadcast into the
+    lookup and the docs table is scanned in place, never shuffled per batch.
+    """
     sink = sink or shared_dir(spark, "stream-lookup")
     checkpoint = checkpoint or shared_dir(spark, "stream-lookup-ckpt")
-    out = get_document(requests, docs, doc_cols=doc_cols, original=original)
-    run_available_now(out, sink, checkpoint)
+
+    def lookup(batch: DataFrame, batch_id: int) -> None:
+        out = get_document(batch, docs, doc_cols=doc_cols, original=original)
+        out.write.mode("overwrite").parquet(os.path.join(sink, f"batch={batch_id}"))
+
+    q = (requests.writeStream.foreachBatch(lookup)
+                 .option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True).start())
+    q.awaitTermination()
     return sink
 
 
