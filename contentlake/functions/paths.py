@@ -182,10 +182,16 @@ def compile_path(path: str | None, doc_columns: list[str] | None = None,
             elif st.kind == "index" and not many:
                 arr = _as_array(cur)
                 n = F.size(arr)
-                idx = (n + F.lit(st.index)) if st.index < 0 else F.lit(st.index)
-                bad = arr.isNotNull() & ((idx < 0) | (idx > n))
+                if st.index < 0:
+                    idx = n + F.lit(st.index)
+                    bad = arr.isNotNull() & ((idx < 0) | (idx > n))
+                    zero = idx == 0
+                else:                  # literal index: range and zero known here
+                    idx = F.lit(max(st.index, 1))
+                    bad = arr.isNotNull() & (F.lit(st.index) > n)
+                    zero = F.lit(st.index == 0)
                 err = F.when(err.isNotNull(), err).when(bad, F.lit(OUT_OF_RANGE))
-                cur = F.when(arr.isNull() | bad | (idx == 0), F.lit(None).cast("variant")) \
+                cur = F.when(arr.isNull() | bad | zero, F.lit(None).cast("variant")) \
                        .otherwise(F.try_element_at(arr, F.greatest(idx, F.lit(1))))
             elif st.kind == "pred" and not many:
                 arr = _as_array(cur)

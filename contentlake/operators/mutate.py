@@ -28,6 +28,10 @@ ALREADY_EXISTS = "document already exists"
 DUPLICATE_IN_BATCH = "another request creates the same path"
 MODEL_NOT_FOUND = "workflow model not found"
 EMPTY_PROPS = "map<string,variant>"
+# change sets (updated / trashed / deleted / cancelled keys) up to this many
+# rows are broadcast into the merge, so the table is rewritten in place
+# without being shuffled; larger ones use a shuffle join
+CHANGE_BROADCAST_ROWS = 1_000_000
 
 
 def _empty_props() -> Column:
@@ -138,6 +142,9 @@ def update_documents(docs: DataFrame, updates: DataFrame, *, doc_col: str = "doc
     new_props = (latest.groupBy(doc_col)
                        .agg(F.map_from_entries(F.collect_list(F.struct(
                            F.col(prop_col), json_or_string(F.col("_v"))))).alias("_new")))
+    # a bounded change set is broadcast: docs stream through (left join,
+    # build right), so an update never shuffles the whole table
+    new_props = bounded_broadcast(new_props, CHANGE_BROADCAST_ROWS)
     d = docs.join(new_props, docs["id"] == new_props[doc_col], "left").drop(doc_col)
     merged = F.when(F.col("_new").isNull(), F.col("properties")).otherwise(F.map_concat(
         F.map_filter(F.col("properties"), lambda k, v: ~F.map_contains_key(F.col("_new"), k)),
@@ -162,6 +169,7 @@ def trash_documents(docs: DataFrame, requests: DataFrame, id_col: str = "req_doc
     carry ``trashed = true`` (``nx-trashed``)."""
     res = _resolve(docs, requests, id_col, path_col)
     hit = res.where(F.col("route") == SUCCESS).select(F.col("doc_id").alias("_t")).distinct()
+    hit = bounded_broadcast(hit, CHANGE_BROADCAST_ROWS)
     d = docs.join(hit, docs["id"] == hit["_t"], "left")
     docs2 = d.withColumn("trashed", F.col("trashed") | F.col("_t").isNotNull()).drop("_t")
     results = res.withColumn("trashed", F.when(F.col("route") == SUCCESS, F.lit(True)))
@@ -173,7 +181,7 @@ def delete_documents(docs: DataFrame, requests: DataFrame, id_col: str = "req_do
     """Delete permanently: only the named rows are removed (no cascade)."""
     res = _resolve(docs, requests, id_col, path_col)
     hit = res.where(F.col("route") == SUCCESS).select(F.col("doc_id").alias("id")).distinct()
-    return docs.join(hit, "id", "left_anti"), res
+    return docs.join(bounded_broadcast(hit, CHANGE_BROADCAST_ROWS), "id", "left_anti"), res
 
 
 def attach_blobs(docs: DataFrame, requests: DataFrame, *, req_key: str = "req_id",
@@ -239,7 +247,8 @@ def cancel_workflows(docs: DataFrame, workflows: DataFrame, requests: DataFrame,
               .drop("_wd", "_wn"))
     failed = res.where(F.col("route") == FAILURE).withColumn("workflow_id", F.lit(None).cast("string"))
     results = hits.unionByName(failed)
-    gone = hits.select(F.col("workflow_id").alias("_c")).distinct()
+    gone = bounded_broadcast(hits.select(F.col("workflow_id").alias("_c")).distinct(),
+                             CHANGE_BROADCAST_ROWS)
     w = workflows.join(gone, workflows["workflow_id"] == gone["_c"], "left")
     workflows2 = w.withColumn("state", F.when(F.col("_c").isNotNull(), F.lit("canceled"))
                               .otherwise(F.col("state"))).drop("_c")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contentlake.functions.args import DEFAULT_XPATH, is_blank
-from contentlake.functions.joins import row_count_at_most
+from contentlake.functions.joins import LOOKUP_BROADCAST_ROWS, row_count_at_most
 from contentlake.operators.lookup import get_document
 from contentlake.operators.routing import FAILURE, SUCCESS, emit_original, union_routes
 from contentlake.plans.numbering import position_within
@@ -37,7 +37,9 @@ def get_related(requests: DataFrame, docs: DataFrame, related: DataFrame,
     ok = res.where(F.col("route") == SUCCESS).drop("route", "error")
     failed = res.where(F.col("route") == FAILURE).drop("doc_id")
     rel = related.select(F.col(related_key).alias("_rk"), *related_cols)
-    joined = (ok.join(rel, ok["doc_id"] == rel["_rk"]).drop("_rk")
+    if row_count_at_most(ok, LOOKUP_BROADCAST_ROWS):
+        ok = F.broadcast(ok)          # the related table streams through unshuffled
+    joined = (rel.join(ok, ok["doc_id"] == rel["_rk"]).drop("_rk")
                 .withColumns({"route": F.lit(SUCCESS), "error": F.lit(None).cast("string")}))
     return union_routes(joined, failed)
 

@@ -225,7 +225,7 @@ select batch, idx, filename, length from v_uploads""")
 def sink_blobs(spark, sf):
     u = repo.uploads(tables(spark, sf))
     out = shared_dir(spark, "uploads")
-    snapshots.write_partitioned(u, out, ["batch"])
+    snapshots.write_clustered(u, out, ["batch", "idx"])
     back = spark.read.parquet(out)
     return back.select("batch", "idx", "filename", F.octet_length("content").cast("long").alias("length"))
 
