@@ -40,7 +40,8 @@ LOOKUP_BROADCAST_ROWS = 200_000
 
 
 def preserving_lookup(left: DataFrame, right: DataFrame, left_keys: list[str],
-                      right_keys: list[str], bound: int = LOOKUP_BROADCAST_ROWS) -> DataFrame:
+                      right_keys: list[str], bound: int = LOOKUP_BROADCAST_ROWS,
+                      small: bool | None = None) -> DataFrame:
     """``left`` left-outer-joined with ``right`` on equal keys, where the
     right side holds at most one row per key.
 
@@ -49,10 +50,13 @@ def preserving_lookup(left: DataFrame, right: DataFrame, left_keys: list[str],
     no skew), and the left rows without a match are found by an anti-join
     of ``left`` against the matched keys - both small. Otherwise this is a
     plain shuffle left join (AQE splits skewed keys). Right-side columns
-    of unmatched rows are null, as in a left join.
+    of unmatched rows are null, as in a left join. ``small`` passes a bound
+    the caller already proved (e.g. on the frame ``left`` was derived from).
     """
     on_pairs = list(zip(left_keys, right_keys))
-    if not row_count_at_most(left, bound):
+    if small is None:
+        small = row_count_at_most(left, bound)
+    if not small:
         return left.join(right, null_safe_free_on(left, right, on_pairs), "left")
     hits = right.join(F.broadcast(left), null_safe_free_on(left, right, on_pairs), "inner")
     hit_keys = hits.select(*[F.col(rk).alias(f"_hk{i}") for i, (_, rk) in enumerate(on_pairs)]).distinct()

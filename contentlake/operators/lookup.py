@@ -52,14 +52,23 @@ def _prefixed(df: DataFrame, cols: list[str], prefix: str) -> list[Column]:
     return [F.col(c).alias(prefix + c) for c in cols]
 
 
+def requests_are_small(requests: DataFrame) -> bool:
+    """Checked once per operator on its input: every derived frame (the
+    resolved requests, their successes) has at most as many rows."""
+    return row_count_at_most(requests, LOOKUP_BROADCAST_ROWS)
+
+
 def get_document(requests: DataFrame, docs: DataFrame, id_col: str = "req_docid",
                  path_col: str = "req_path", doc_cols: list[str] | None = None,
-                 prefix: str = "doc_", original: bool = False) -> DataFrame:
+                 prefix: str = "doc_", original: bool = False,
+                 small: bool | None = None) -> DataFrame:
     """Resolve each request to its document.
 
     Output: request columns, ``doc_*`` columns of the match (null on
     failure), ``route`` (success / failure) and ``error``. With
     ``original`` the requests are also passed through on ``original``.
+    ``small`` is the caller's checked bound on ``requests`` (checked here
+    when not given).
     """
     doc_cols = doc_cols or docs.columns
     kind, ref = reference(id_col, path_col)
@@ -67,7 +76,9 @@ def get_document(requests: DataFrame, docs: DataFrame, id_col: str = "req_docid"
     keyed = doc_keys(docs.select(*dict.fromkeys(["id", "path", *doc_cols])))
     keyed = keyed.select(F.col("ref_kind").alias("_dk"), F.col("ref").alias("_d"),
                          *_prefixed(keyed, doc_cols, prefix), F.lit(True).alias("_hit"))
-    joined = preserving_lookup(req, keyed, ["_rk", "_r"], ["_dk", "_d"])
+    if small is None:
+        small = requests_are_small(requests)
+    joined = preserving_lookup(req, keyed, ["_rk", "_r"], ["_dk", "_d"], small=small)
     out = joined.withColumns({
         "route": F.when(F.col("_hit"), F.lit(SUCCESS)).otherwise(F.lit(FAILURE)),
         "error": F.when(F.col("_hit"), F.lit(None).cast("string"))
@@ -101,11 +112,13 @@ def get_children(requests: DataFrame, docs: DataFrame, id_col: str = "req_docid"
     all documents is a skewed partition on the docs side, which AQE splits.
     """
     child_cols = child_cols or ["id", "path", "type", "title"]
-    resolved = get_document(requests, docs, id_col, path_col, doc_cols=["id"], prefix="parent_")
+    small = requests_are_small(requests)
+    resolved = get_document(requests, docs, id_col, path_col, doc_cols=["id"], prefix="parent_",
+                            small=small)
     ok = resolved.where(F.col("route") == SUCCESS).drop("route", "error")
     failed = resolved.where(F.col("route") == FAILURE).drop("parent_id")
     kids = docs.select(F.col("parent_id").alias("_pid"), *_prefixed(docs, child_cols, prefix))
-    if row_count_at_most(ok, LOOKUP_BROADCAST_ROWS):
+    if small:
         ok = F.broadcast(ok)          # docs stream through; no shuffle, no skew
     listed = (kids.join(ok, ok["parent_id"] == kids["_pid"])
                 .drop("_pid")

@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contentlake.functions.args import is_blank
-from contentlake.functions.joins import bounded_broadcast
+from contentlake.functions.joins import bounded_broadcast, row_count_at_most
 from contentlake.functions.values import json_or_string
-from contentlake.operators.lookup import NOT_FOUND, get_document
+from contentlake.operators.lookup import NOT_FOUND, get_document, requests_are_small
 from contentlake.operators.routing import FAILURE, SUCCESS
 
 PARENT_NOT_FOUND = "parent not found"
@@ -144,7 +144,8 @@ def update_documents(docs: DataFrame, updates: DataFrame, *, doc_col: str = "doc
                            F.col(prop_col), json_or_string(F.col("_v"))))).alias("_new")))
     # a bounded change set is broadcast: docs stream through (left join,
     # build right), so an update never shuffles the whole table
-    new_props = bounded_broadcast(new_props, CHANGE_BROADCAST_ROWS)
+    if row_count_at_most(updates, CHANGE_BROADCAST_ROWS):   # checked on the input
+        new_props = F.broadcast(new_props)
     d = docs.join(new_props, docs["id"] == new_props[doc_col], "left").drop(doc_col)
     merged = F.when(F.col("_new").isNull(), F.col("properties")).otherwise(F.map_concat(
         F.map_filter(F.col("properties"), lambda k, v: ~F.map_contains_key(F.col("_new"), k)),
@@ -159,17 +160,25 @@ def update_documents(docs: DataFrame, updates: DataFrame, *, doc_col: str = "doc
     return docs2, results
 
 
-def _resolve(docs: DataFrame, requests: DataFrame, id_col: str, path_col: str) -> DataFrame:
-    return get_document(requests, docs, id_col, path_col, doc_cols=["id"])
+def _resolve(docs: DataFrame, requests: DataFrame, id_col: str,
+             path_col: str) -> tuple[DataFrame, bool]:
+    """Resolved requests, and whether the request side is proven small (then
+    every key set derived from it is small too and is broadcast)."""
+    small = requests_are_small(requests)
+    return get_document(requests, docs, id_col, path_col, doc_cols=["id"], small=small), small
+
+
+def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
 
 
 def trash_documents(docs: DataFrame, requests: DataFrame, id_col: str = "req_docid",
                     path_col: str = "req_path") -> tuple[DataFrame, DataFrame]:
     """Move to trash: the document stays, flagged ``trashed``; result rows
     carry ``trashed = true`` (``nx-trashed``)."""
-    res = _resolve(docs, requests, id_col, path_col)
+    res, small = _resolve(docs, requests, id_col, path_col)
     hit = res.where(F.col("route") == SUCCESS).select(F.col("doc_id").alias("_t")).distinct()
-    hit = bounded_broadcast(hit, CHANGE_BROADCAST_ROWS)
+    hit = _maybe_broadcast(hit, small)
     d = docs.join(hit, docs["id"] == hit["_t"], "left")
     docs2 = d.withColumn("trashed", F.col("trashed") | F.col("_t").isNotNull()).drop("_t")
     results = res.withColumn("trashed", F.when(F.col("route") == SUCCESS, F.lit(True)))
@@ -179,9 +188,9 @@ def trash_documents(docs: DataFrame, requests: DataFrame, id_col: str = "req_doc
 def delete_documents(docs: DataFrame, requests: DataFrame, id_col: str = "req_docid",
                      path_col: str = "req_path") -> tuple[DataFrame, DataFrame]:
     """Delete permanently: only the named rows are removed (no cascade)."""
-    res = _resolve(docs, requests, id_col, path_col)
+    res, small = _resolve(docs, requests, id_col, path_col)
     hit = res.where(F.col("route") == SUCCESS).select(F.col("doc_id").alias("id")).distinct()
-    return docs.join(bounded_broadcast(hit, CHANGE_BROADCAST_ROWS), "id", "left_anti"), res
+    return docs.join(_maybe_broadcast(hit, small), "id", "left_anti"), res
 
 
 def attach_blobs(docs: DataFrame, requests: DataFrame, *, req_key: str = "req_id",
@@ -217,7 +226,7 @@ def start_workflows(docs: DataFrame, workflows: DataFrame, requests: DataFrame,
 
     Unknown model or document -> failure. The new instance id is derived
     from the request key (``wf-<req>``), so reruns are idempotent."""
-    res = _resolve(docs, requests, id_col, path_col)
+    res, _ = _resolve(docs, requests, id_col, path_col)
     m = bounded_broadcast(models.select(F.col("name").alias("_model")).distinct(), 100_000)
     j = res.join(m, res[model_col] == m["_model"], "left")
     err = (F.when(F.col("route") == FAILURE, F.col("error"))
@@ -239,14 +248,17 @@ def cancel_workflows(docs: DataFrame, workflows: DataFrame, requests: DataFrame,
     """Cancel every running instance with the given name on each document:
     one success row per cancelled instance (none when nothing matches);
     unresolved documents fail."""
-    res = _resolve(docs, requests, id_col, path_col)
+    res, small = _resolve(docs, requests, id_col, path_col)
     ok = res.where(F.col("route") == SUCCESS)
     running = workflows.where(F.col("state") == "running").select(
         F.col("doc_id").alias("_wd"), F.col("name").alias("_wn"), "workflow_id")
-    hits = (ok.join(running, (ok["doc_id"] == running["_wd"]) & (ok[model_col] == running["_wn"]))
-              .drop("_wd", "_wn"))
+    okb = _maybe_broadcast(ok, small)     # workflows stream through when requests are few
+    hits = (running.join(okb, (okb["doc_id"] == running["_wd"]) & (okb[model_col] == running["_wn"]))
+                   .drop("_wd", "_wn"))
     failed = res.where(F.col("route") == FAILURE).withColumn("workflow_id", F.lit(None).cast("string"))
     results = hits.unionByName(failed)
+    # instances cancelled per request are not bounded by the request count,
+    # so this key set is checked on its own
     gone = bounded_broadcast(hits.select(F.col("workflow_id").alias("_c")).distinct(),
                              CHANGE_BROADCAST_ROWS)
     w = workflows.join(gone, workflows["workflow_id"] == gone["_c"], "left")

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contentlake.functions.args import DEFAULT_XPATH, is_blank
-from contentlake.functions.joins import LOOKUP_BROADCAST_ROWS, row_count_at_most
-from contentlake.operators.lookup import get_document
+from contentlake.functions.joins import row_count_at_most
+from contentlake.operators.lookup import get_document, requests_are_small
 from contentlake.operators.routing import FAILURE, SUCCESS, emit_original, union_routes
 from contentlake.plans.numbering import position_within
 
@@ -33,11 +33,12 @@ def get_related(requests: DataFrame, docs: DataFrame, related: DataFrame,
     Success rows: one per related entry (none when the document has none,
     as the reference emits nothing then); failure rows for unresolved
     requests."""
-    res = get_document(requests, docs, id_col, path_col, doc_cols=["id"])
+    small = requests_are_small(requests)
+    res = get_document(requests, docs, id_col, path_col, doc_cols=["id"], small=small)
     ok = res.where(F.col("route") == SUCCESS).drop("route", "error")
     failed = res.where(F.col("route") == FAILURE).drop("doc_id")
     rel = related.select(F.col(related_key).alias("_rk"), *related_cols)
-    if row_count_at_most(ok, LOOKUP_BROADCAST_ROWS):
+    if small:
         ok = F.broadcast(ok)          # the related table streams through unshuffled
     joined = (rel.join(ok, ok["doc_id"] == rel["_rk"]).drop("_rk")
                 .withColumns({"route": F.lit(SUCCESS), "error": F.lit(None).cast("string")}))
