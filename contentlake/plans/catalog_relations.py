@@ -53,7 +53,10 @@ select req_id, req_docid, req_path, null, null, null, null, null, 'failure', {ER
 from r_res where doc_id is null""")
 def get_audit(spark, sf):
     t = tables(spark, sf)
-    audit = repo.audit(t).withColumn("ts_us", F.unix_micros(F.col("ts").cast("timestamp")))
+    # microseconds since the epoch of the wall-clock (NTZ) value: independent
+    # of the session time zone, like DuckDB's epoch_us on a naive timestamp
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    audit = repo.audit(t).withColumn("ts_us", F.timestamp_diff("MICROSECOND", epoch, F.col("ts")))
     return relations.get_related(repo.requests(t), repo.docs(t), audit,
                                  ["entry_id", "event_type", "ts_us", "value"])
 
