@@ -12,7 +12,7 @@ from contentlake.functions.joins import row_count_at_most
 # (table path, bound) -> whether the table has at most ``bound`` rows; the
 # input files do not change during a run, so each check runs once
 _BOUND_CHECKS: dict[tuple[str, int], bool] = {}
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+_RELATIONS: dict[tuple[SparkSession, str], DataFrame] = {}
 
 TABLE_NAMES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -40,7 +40,7 @@ class Tables:
         if name in TABLE_NAMES:
             # one relation per (session, file): the file listing and footer
             # schema read happen once; plans built on it stay independent
-            key = (id(self.spark), self.path(name))
+            key = (self.spark, self.path(name))
             if key not in _RELATIONS:
                 _RELATIONS[key] = self.spark.read.parquet(self.path(name))
             return _RELATIONS[key]
