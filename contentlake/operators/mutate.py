@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contentlake.functions.args import is_blank
-from contentlake.functions.joins import bounded_broadcast, row_count_at_most
+from contentlake.functions.joins import bounded_broadcast, preserving_lookup, row_count_at_most
 from contentlake.functions.values import json_or_string
 from contentlake.operators.lookup import NOT_FOUND, get_document, requests_are_small
 from contentlake.operators.routing import FAILURE, SUCCESS
@@ -99,10 +99,12 @@ def create_documents(docs: DataFrame, requests: DataFrame, *, req_key: str = "re
     parents = by_path.select(F.col("path").alias("_ppath"), F.col("id").alias("_parent_id"))
     existing = by_path.select(F.col("path").alias("_epath"), F.col("id").alias("_existing_id"))
     first = req.groupBy("_path").agg(F.min("_req").alias("_first"))
-    j = (req.join(parents, req["_pp"] == parents["_ppath"], "left")
-            .join(existing, req["_path"] == existing["_epath"], "left")
-            .join(first, "_path")
-            .withColumn("_exists", F.col("_existing_id").isNotNull()))
+    # a proven-small request batch is broadcast into both lookups, so the
+    # docs table streams through instead of being shuffled by path
+    small = requests_are_small(requests)
+    j = preserving_lookup(req, parents, ["_pp"], ["_ppath"], small=small)
+    j = preserving_lookup(j, existing, ["_path"], ["_epath"], small=small)
+    j = j.join(first, "_path").withColumn("_exists", F.col("_existing_id").isNotNull())
     error = (F.when(F.col("_parent_id").isNull(), F.lit(PARENT_NOT_FOUND))
               .when(F.col("_exists"), F.lit(ALREADY_EXISTS))
               .when(F.col("_req") != F.col("_first"), F.lit(DUPLICATE_IN_BATCH)))
@@ -144,7 +146,8 @@ def update_documents(docs: DataFrame, updates: DataFrame, *, doc_col: str = "doc
                            F.col(prop_col), json_or_string(F.col("_v"))))).alias("_new")))
     # a bounded change set is broadcast: docs stream through (left join,
     # build right), so an update never shuffles the whole table
-    if row_count_at_most(updates, CHANGE_BROADCAST_ROWS):   # checked on the input
+    small_updates = row_count_at_most(updates, CHANGE_BROADCAST_ROWS)   # checked on the input
+    if small_updates:
         new_props = F.broadcast(new_props)
     d = docs.join(new_props, docs["id"] == new_props[doc_col], "left").drop(doc_col)
     merged = F.when(F.col("_new").isNull(), F.col("properties")).otherwise(F.map_concat(
@@ -153,7 +156,8 @@ def update_documents(docs: DataFrame, updates: DataFrame, *, doc_col: str = "doc
     docs2 = d.withColumn("properties", merged).drop("_new")
     keys = [req_key] if req_key else [doc_col, prop_col]
     ids = docs.select(F.col("id").alias("_id"), F.lit(True).alias("_hit"))
-    res = updates.select(*dict.fromkeys([*keys, doc_col])).join(ids, F.col(doc_col) == F.col("_id"), "left")
+    res = preserving_lookup(updates.select(*dict.fromkeys([*keys, doc_col])), ids,
+                            [doc_col], ["_id"], small=small_updates)
     results = res.select(*dict.fromkeys([*keys, doc_col]),
                          F.when(F.col("_hit"), F.lit(SUCCESS)).otherwise(F.lit(FAILURE)).alias("route"),
                          F.when(F.col("_hit"), F.lit(None).cast("string")).otherwise(F.lit(NOT_FOUND)).alias("error"))

@@ -41,6 +41,12 @@ def run_query(spark: SparkSession, sql: str, args: dict | list | None = None) ->
     return spark.sql(sql, args=args) if args else spark.sql(sql)
 
 
+# A page ending beyond this many rows is cut from the global position (a
+# range-partitioned sort) instead of a top-k, whose per-partition heaps hold
+# ``end`` rows each.
+TOPK_MAX_ROWS = 100_000
+
+
 def page(df: DataFrame, sort_by=None, sort_order: str | None = None,
          page_size: int = DEFAULT_PAGE_SIZE, page_index: int = DEFAULT_PAGE_INDEX,
          max_results: int | None = DEFAULT_MAX_RESULTS, tie_break: str | None = "id",
@@ -53,6 +59,9 @@ def page(df: DataFrame, sort_by=None, sort_order: str | None = None,
         end = min(end, max_results)
     if end <= start:
         return df.limit(0).withColumn(pos_col, F.lit(None).cast("long"))
+    if end > TOPK_MAX_ROWS:
+        numbered = global_position(df, order, pos_col)
+        return numbered.where((F.col(pos_col) > start) & (F.col(pos_col) <= end))
     sliced = df.orderBy(*order).limit(end).offset(start)
     # the page holds at most page_size rows: numbering it in one task is bounded
     w = Window.orderBy(*order)
@@ -89,11 +98,13 @@ def all_pages(df: DataFrame, sort_by=None, sort_order: str | None = None,
     uncapped ones use the two-pass global position (no single-task window).
     """
     order = sort_columns(sort_by, sort_order, tie_break)
-    if max_results is not None:
+    if max_results is not None and max_results <= TOPK_MAX_ROWS:
         top = df.orderBy(*order).limit(max_results)
         numbered = top.withColumn(pos_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
     else:
         numbered = global_position(df, order, pos_col)
+        if max_results is not None:
+            numbered = numbered.where(F.col(pos_col) <= max_results)
     return numbered.withColumn(
         "page_index", F.floor((F.col(pos_col) - 1) / F.lit(page_size)).cast("long"))
 

@@ -46,8 +46,12 @@ def stream_lookup(spark, sf):
 def stream_route(spark, sf):
     from contentlake.operators.lookup import get_document
     t = tables(spark, sf)
-    routed = get_document(_request_stream(spark, t), repo.docs(t), doc_cols=["id"], original=True)
-    sink = streams.stream_route(spark, routed.select("req_id", "route", "error"))
+    docs = repo.docs(t)
+
+    def lookup(batch):
+        return get_document(batch, docs, doc_cols=["id"], original=True).select("req_id", "route", "error")
+
+    sink = streams.stream_route(spark, _request_stream(spark, t), lookup)
     return spark.read.parquet(sink).select("req_id", "route", "error")
 
 

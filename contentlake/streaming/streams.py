@@ -85,13 +85,23 @@ def stream_lookup(spark: SparkSession, requests: DataFrame, docs: DataFrame,
     return sink
 
 
-def stream_route(spark: SparkSession, results: DataFrame, sink: str | None = None,
-                 checkpoint: str | None = None) -> str:
-    """Continuous routing: each micro-batch is split into one folder per
-    ``route`` value."""
+def stream_route(spark: SparkSession, stream: DataFrame,
+                 transform: Callable[[DataFrame], DataFrame] | None = None,
+                 sink: str | None = None, checkpoint: str | None = None) -> str:
+    """Continuous routing: each micro-batch (optionally run through
+    ``transform``, e.g. a lookup, as a batch DataFrame) is split into one
+    folder per ``route`` value."""
     sink = sink or shared_dir(spark, "stream-route")
     checkpoint = checkpoint or shared_dir(spark, "stream-route-ckpt")
-    run_available_now(results, sink, checkpoint, partition_by=["route"])
+    write = _batch_writer(sink, partition_by=["route"])
+
+    def route(batch: DataFrame, batch_id: int) -> None:
+        write(transform(batch) if transform else batch, batch_id)
+
+    q = (stream.writeStream.foreachBatch(route)
+               .option("checkpointLocation", checkpoint)
+               .trigger(availableNow=True).start())
+    q.awaitTermination()
     return sink
 
 

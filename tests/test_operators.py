@@ -105,3 +105,15 @@ def test_update_keeps_other_properties(spark):
         F.col("properties")["cust:segment"].cast("string").alias("s")).first()
     assert row["n"] == "report" and row["s"] is not None
     assert {r["route"] for r in res.collect()} == {"success"}
+
+
+def test_deep_pages_use_global_position(spark, monkeypatch):
+    t = tables(spark, SF_SMALL)
+    d = repo.docs(t).where("type = 'File'").select("id", "title")
+    top = q.page(d, "title", "ASC", 7, 3, max_results=None)
+    monkeypatch.setattr(q, "TOPK_MAX_ROWS", 5)
+    deep = q.page(d, "title", "ASC", 7, 3, max_results=None)
+    assert deep.select("id", "pos").exceptAll(top.select("id", "pos")).count() == 0
+    assert deep.count() == top.count() == 7
+    capped = q.all_pages(d, "title", "ASC", 7, max_results=30)
+    assert capped.count() == 30 and capped.agg(F.max("pos")).first()[0] == 30
