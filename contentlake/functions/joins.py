@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,7 +59,14 @@ def preserving_lookup(left: DataFrame, right: DataFrame, left_keys: list[str],
         small = row_count_at_most(left, bound)
     if not small:
         return left.join(right, null_safe_free_on(left, right, on_pairs), "left")
-    hits = right.join(F.broadcast(left), null_safe_free_on(left, right, on_pairs), "inner")
+    # both sides of the result read ``left`` and ``hits`` twice (matches, then
+    # misses); each is proven small (at most ``bound`` rows, one match per
+    # left row), so keep them rather than recomputing their whole lineage.
+    # A lost cached block is recomputed from lineage, so this stays fault
+    # tolerant.
+    left = left.persist(StorageLevel.MEMORY_AND_DISK)
+    hits = right.join(F.broadcast(left), null_safe_free_on(left, right, on_pairs), "inner") \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     hit_keys = hits.select(*[F.col(rk).alias(f"_hk{i}") for i, (_, rk) in enumerate(on_pairs)]).distinct()
     miss_on = reduce(lambda a, b: a & b,
                      [left[lk] == hit_keys[f"_hk{i}"] for i, (lk, _) in enumerate(on_pairs)])

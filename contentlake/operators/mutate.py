@@ -93,18 +93,25 @@ def create_documents(docs: DataFrame, requests: DataFrame, *, req_key: str = "re
         (F.col(new_id) if new_id else F.lit(None).cast("string")).alias("_nid"),
         props_col.alias("_props"))
     req = req.withColumn("_path", child_path(F.col("_pp"), F.col("_name")))
-    # both lookups read the same (path, id) projection of docs, so the docs
-    # scan and its shuffle on path are done once and reused by both joins
-    by_path = docs.select("path", "id")
-    parents = by_path.select(F.col("path").alias("_ppath"), F.col("id").alias("_parent_id"))
-    existing = by_path.select(F.col("path").alias("_epath"), F.col("id").alias("_existing_id"))
+    # One pass over docs answers both questions (does the parent exist, is
+    # the new path taken): each request contributes two path keys, matched
+    # against the (path, id) projection of docs. A proven-small batch is
+    # broadcast, so docs stream through unshuffled; per request the two
+    # answers are folded back with a small aggregation. Request keys are
+    # unique per request.
+    keys = req.select("_req", F.explode(F.array(
+        F.struct(F.lit("parent").alias("kind"), F.col("_pp").alias("key")),
+        F.struct(F.lit("self").alias("kind"), F.col("_path").alias("key")))).alias("_k")) \
+        .select("_req", "_k.kind", "_k.key")
+    if requests_are_small(requests):
+        keys = F.broadcast(keys)
+    found = (docs.select("path", "id").join(keys, F.col("path") == F.col("key"))
+                 .groupBy("_req")
+                 .agg(F.max(F.when(F.col("kind") == "parent", F.col("id"))).alias("_parent_id"),
+                      F.max(F.when(F.col("kind") == "self", F.col("id"))).alias("_existing_id")))
     first = req.groupBy("_path").agg(F.min("_req").alias("_first"))
-    # a proven-small request batch is broadcast into both lookups, so the
-    # docs table streams through instead of being shuffled by path
-    small = requests_are_small(requests)
-    j = preserving_lookup(req, parents, ["_pp"], ["_ppath"], small=small)
-    j = preserving_lookup(j, existing, ["_path"], ["_epath"], small=small)
-    j = j.join(first, "_path").withColumn("_exists", F.col("_existing_id").isNotNull())
+    j = (req.join(found, "_req", "left").join(first, "_path")
+            .withColumn("_exists", F.col("_existing_id").isNotNull()))
     error = (F.when(F.col("_parent_id").isNull(), F.lit(PARENT_NOT_FOUND))
               .when(F.col("_exists"), F.lit(ALREADY_EXISTS))
               .when(F.col("_req") != F.col("_first"), F.lit(DUPLICATE_IN_BATCH)))

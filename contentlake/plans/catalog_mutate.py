@@ -26,7 +26,6 @@ def _with_notes(t):
         "req_id", F.lit("/").alias("parent_path"),
         F.substring(F.col("req_id"), 2, 1000).alias("name"), F.lit("Folder").alias("type"))
     docs, _ = mutate.create_documents(docs, folders, title=None)
-    docs = materialize(docs)          # new snapshot: the next write reads it once
     reqs = n.select(F.col("id").alias("req_id"),
                     F.when(F.col("lang") == "de", F.concat("parent_path", F.lit("_de")))
                      .otherwise(F.col("parent_path")).alias("parent_path"),

@@ -72,8 +72,9 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage: write ``df`` to the shared checkpoint folder (reliable
-    checkpoint, survives executor loss) and continue from the written copy.
+    """Cut lineage: reliably checkpoint ``df`` into the shared checkpoint
+    folder (``spark.checkpoint.dir``; survives executor loss, unlike a local
+    checkpoint) and continue from the written copy.
 
     Used between chained table mutations, where each new snapshot would
     otherwise recompute every earlier step."""
