@@ -8,7 +8,7 @@
   ``limit(end).offset(start)`` - a top-k plan (TakeOrderedAndProject), so
   only ``start + page_size`` rows per partition survive the map side;
 * next page: one aggregation gives the result count; the next-page record
-  carries ``page_index + 1`` and ``max_results`` = capped result count;
+  carries ``page_index + 1`` and ``max_results`` = the results count;
 * all pages: a global position without a single-task window, see
   :mod:`contentlake.plans.numbering`;
 * page providers: named queries with positional parameters.
@@ -72,13 +72,16 @@ def next_pages(df: DataFrame, group_cols: list[str] | None = None,
                page_size: int = DEFAULT_PAGE_SIZE, page_index: int = DEFAULT_PAGE_INDEX,
                max_results: int | None = DEFAULT_MAX_RESULTS,
                extra: dict[str, Column] | None = None) -> DataFrame:
-    """Next-page records: one per group whose capped result has rows after
-    this page. Count is a partial-aggregated ``groupBy``; nothing is
-    collected to the driver."""
+    """Next-page records: one per group whose result has rows after this
+    page. As in the reference, availability and the carried ``max_results``
+    come from the full results count (a first request capped at 5 with page
+    size 5 still yields a next page when more documents match); the cap only
+    limits the rows of the page itself. Count is a partial-aggregated
+    ``groupBy``; nothing is collected to the driver."""
     group_cols = group_cols or []
     counted = (df.groupBy(*group_cols) if group_cols else df.groupBy()) \
         .agg(F.count(F.lit(1)).alias("_cnt"))
-    total = F.least(F.col("_cnt"), F.lit(max_results)) if max_results is not None else F.col("_cnt")
+    total = F.col("_cnt")
     out = counted.where(F.lit((page_index + 1) * page_size) < total).select(
         *group_cols,
         F.lit(page_size).cast("long").alias("page_size"),

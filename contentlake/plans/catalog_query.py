@@ -63,9 +63,9 @@ def query_max_results(spark, sf):
 
 
 @query("query_next_page", oracle="""
-select state, 100 page_size, 15 page_index, least(count(*), 2000) max_results, 'next_page' route,
+select state, 100 page_size, 15 page_index, count(*) max_results, 'next_page' route,
        'File' doc_type
-from v_docs where type = 'File' group by state having 16 * 100 < least(count(*), 2000)""")
+from v_docs where type = 'File' group by state having 15 * 100 < count(*)""")
 def query_next_page(spark, sf):
     d = _docs_view(spark, sf).where(F.col("type") == "File")
     return q.next_pages(d, ["state"], page_size=100, page_index=14, max_results=2000,

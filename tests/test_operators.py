@@ -43,12 +43,17 @@ def test_union_of_pages_is_the_result(spark):
 
 
 def test_next_page_record(spark):
+    """The reference's query test: all documents, size 5, index 0, max 5,
+    sorted by title desc -> one next page and the original."""
     t = tables(spark, SF_SMALL)
     d = repo.docs(t)
-    nxt = q.next_pages(d, page_size=5, page_index=0, max_results=5)
-    assert nxt.count() == 0          # capped at 5: nothing after page 0
-    nxt = q.next_pages(d, page_size=5, page_index=0, max_results=1000).first()
-    assert nxt["page_index"] == 1 and nxt["max_results"] == min(1000, d.count())
+    page0 = q.page(d, "title", "DESC", page_size=5, page_index=0, max_results=5)
+    assert page0.count() == 5
+    nxt = q.next_pages(d, page_size=5, page_index=0, max_results=5).collect()
+    assert len(nxt) == 1
+    assert nxt[0]["page_index"] == 1 and nxt[0]["max_results"] == d.count()
+    last = (d.count() - 1) // 5
+    assert q.next_pages(d, page_size=5, page_index=last).count() == 0
 
 
 def test_chunk_reassemble_identity(spark):
