@@ -90,16 +90,10 @@ def get_document(requests: DataFrame, docs: DataFrame, id_col: str = "req_docid"
 
 def get_document_not_found(requests: DataFrame, docs: DataFrame, id_col: str = "req_docid",
                            path_col: str = "req_path") -> DataFrame:
-    """Requests whose reference resolves to nothing (anti-join), as failures."""
-    kind, ref = reference(id_col, path_col)
-    req = requests.withColumns({"_rk": kind, "_r": ref})
-    keyed = doc_keys(docs.select("id", "path")).select(
-        F.col("ref_kind").alias("_dk"), F.col("ref").alias("_d"))
-    missing = req.join(keyed, (req["_rk"] == keyed["_dk"]) & (req["_r"] == keyed["_d"]), "left_anti")
-    return missing.withColumns({
-        "route": F.lit(FAILURE),
-        "error": F.when(F.col("_rk") == "none", F.lit(NO_REFERENCE)).otherwise(F.lit(NOT_FOUND)),
-    }).drop("_rk", "_r")
+    """Requests whose reference resolves to nothing, as failures (the
+    failure branch of :func:`get_document`, which shares its join plan)."""
+    res = get_document(requests, docs, id_col, path_col, doc_cols=["id"])
+    return res.where(F.col("route") == FAILURE).select(*requests.columns, "route", "error")
 
 
 def get_children(requests: DataFrame, docs: DataFrame, id_col: str = "req_docid",
