@@ -129,3 +129,42 @@ def collapse_counts(doc_ids: DataFrame, matches: DataFrame, doc_col: str = "doc_
         F.when(n == 0, "null").when(n == 1, "value").otherwise("list").alias("kind"),
         n.cast("long").alias("n_matches"),
         F.when(n == 1, F.col("_v")).alias("single_value"))
+
+
+def document_to_columns_templated(docs: DataFrame, mapping: dict[str, Column],
+                                  keep: list[str] | None = None, max_paths: int = 1000,
+                                  properties: str = "properties") -> DataFrame:
+    """Mapping ``attribute -> path`` where the path text itself varies per row
+    (a template rendered from the record, e.g. ``${nx-prop}``).
+
+    The distinct rendered path texts are gathered - like ``pivot`` gathers
+    its values - after a check that there are at most ``max_paths`` of them
+    (path texts, not data); each is compiled once, and one ``CASE`` per
+    attribute picks the compiled path of the row. Rows keep flowing through
+    a single ``select``; invalid path texts fail those rows only."""
+    keep = keep if keep is not None else ["id"]
+    cols = docs.columns
+    out_cols = [F.col(k) for k in keep]
+    errors = []
+    for name, path_col in mapping.items():
+        texts = docs.select(path_col.alias("_p")).where(F.col("_p").isNotNull()).distinct()
+        rows = texts.limit(max_paths + 1).collect()
+        if len(rows) > max_paths:
+            raise ValueError(f"{name}: more than {max_paths} distinct path texts")
+        value = F.lit(None).cast("string")
+        err = F.lit(None).cast("string")
+        for r in rows:
+            text = r["_p"]
+            try:
+                c = paths.compile_path(text, cols, properties)
+            except ValueError as exc:
+                err = F.when(path_col == F.lit(text), F.lit(str(exc))).otherwise(err)
+                continue
+            value = F.when(path_col == F.lit(text), paths.render(c)).otherwise(value)
+            err = F.when(path_col == F.lit(text), c.error).otherwise(err)
+        out_cols.append(value.alias(name))
+        errors.append(err)
+    err = F.coalesce(*errors) if errors else F.lit(None).cast("string")
+    return docs.select(*out_cols,
+                       F.when(err.isNull(), F.lit(SUCCESS)).otherwise(F.lit(FAILURE)).alias("route"),
+                       err.alias("error"))

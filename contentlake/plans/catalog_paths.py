@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from contentlake.functions import paths
+from contentlake.functions import args, paths
 from contentlake.functions.values import json_or_string, variant_kind
 from contentlake.operators import attributes
 from contentlake.plans.registry import query
@@ -180,3 +180,39 @@ select doc_id, prop key from v_props where split_part(prop, ':', 1) in ('dc', 'o
 def include_schemas(spark, sf):
     d = repo.docs_with_properties(tables(spark, sf), schemas=["dc", "ord"])
     return d.select(F.col("id").alias("doc_id"), F.explode(F.map_keys("properties")).alias("key"))
+
+
+@query("doc_to_columns_templated", oracle=f"""
+with pv as (
+  select doc_id,
+         max(case when prop = 'dc:title' then val end) title,
+         max(case when prop = 'ord:priority' then val end) priority,
+         max(case when prop = 'ord:totalprice' then {NUM_TEXT.format(v='val')} end) total
+  from v_props group by doc_id)
+select d.id, case d.state when 'project' then pv.title when 'review' then pv.priority
+                          else pv.total end picked,
+       'success' route, cast(null as varchar) error
+from v_docs d left join pv on d.id = pv.doc_id where d.type = 'File'""")
+def doc_to_columns_templated(spark, sf):
+    """The path of each row comes from the record: a template over its
+    attributes (here the attribute ``nx-prop`` chosen by document state)."""
+    d = repo.docs_with_properties(tables(spark, sf)).where(F.col("type") == "File")
+    attrs = F.create_map(F.lit("nx-prop"), F.when(F.col("state") == "project", "dc:title")
+                         .when(F.col("state") == "review", "ord:priority")
+                         .otherwise("ord:totalprice"))
+    d = d.withColumn("attributes", attrs)
+    return attributes.document_to_columns_templated(d, {"picked": args.template("${nx-prop}")})
+
+
+@query("get_audit_json", oracle="""
+with a as (select doc_id, entry_id, event_type,
+                  row_number() over (partition by doc_id order by entry_id) pos from v_audit)
+select doc_id, (pos - 1) // 50 chunk, count(*) n_entries,
+       to_json(list(struct_pack(entry_id := entry_id, event_type := event_type) order by pos)) content
+from a group by doc_id, (pos - 1) // 50""")
+def get_audit_json(spark, sf):
+    """Audit of each document as JSON, in chunks of at most 50 entries."""
+    from contentlake.operators import relations
+    a = repo.audit(tables(spark, sf))
+    return relations.related_json_chunks(a, "doc_id", ["entry_id"], ["entry_id", "event_type"],
+                                         chunk_size=50)

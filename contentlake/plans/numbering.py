@@ -14,8 +14,8 @@ rows that sit in earlier partitions:
 
 The order columns must make the order total (add a unique tie-break), so
 that every recomputation after a lost executor yields the same positions.
-The partition count is fixed explicitly so that adaptive coalescing cannot
-renumber partitions between the two uses of the sorted frame.
+The sorted frame with its row ids is checkpointed once (both passes read
+the same rows and ids), and the partition count is fixed explicitly.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from contentlake.session import materialize
+
 _PID, _MID, _N, _FIRST, _OFF = "_cl_pid", "_cl_mid", "_cl_n", "_cl_first", "_cl_off"
 # monotonically_increasing_id puts the partition index in the upper 31 bits
 # and the record number inside the partition in the lower 33 bits.
@@ -38,10 +40,20 @@ def _n_parts(df: DataFrame, n: int | None) -> int:
 
 
 def _ranged(df: DataFrame, cols: list, n: int) -> DataFrame:
-    return (df.repartitionByRange(n, *cols)
-              .sortWithinPartitions(*cols)
-              .withColumn(_PID, F.spark_partition_id())
-              .withColumn(_MID, F.monotonically_increasing_id()))
+    """Range-partitioned, sorted rows with their partition index and row id,
+    written once to the shared checkpoint folder.
+
+    Both passes (counting and numbering) must see the same partition of
+    every row. A range exchange draws its own sample for its bounds, and the
+    two passes would plan two exchanges (column pruning makes their inputs
+    differ), so the row ids are fixed by a reliable checkpoint instead of
+    being recomputed; a lost executor re-reads them rather than re-sampling.
+    """
+    ranged = (df.repartitionByRange(n, *cols)
+                .sortWithinPartitions(*cols)
+                .withColumn(_PID, F.spark_partition_id())
+                .withColumn(_MID, F.monotonically_increasing_id()))
+    return materialize(ranged)
 
 
 def global_position(df: DataFrame, order: list[Column | str], pos_col: str = "pos",
