@@ -98,3 +98,23 @@ select req_id, req_docid, req_path, 'original' route from v_requests""")
 def emit_original(spark, sf):
     res = _resolved(spark, sf, original=True)
     return res.where(F.col("route") == routing.ORIGINAL).select("req_id", "req_docid", "req_path", "route")
+
+
+@query("get_document_json", oracle=f"""
+with {RESOLVED_REQUESTS}
+select req_id, case when doc_id is null then 'failure' else 'success' end route,
+       case when doc_id is not null then 'document' end entity, doc_id docid,
+       case when doc_id is not null then
+         json_object('entity-type', 'document', 'uid', doc_id, 'path', doc_path,
+                     'type', doc_type, 'title', doc_title)::varchar end content
+from r_res""")
+def get_document_json(spark, sf):
+    """The reference's output record: ``nx-entity``, ``nx-docid`` attributes
+    and the document entity as JSON content (failures carry no content)."""
+    from contentlake.sources import entity_json as ej
+    res = _resolved(spark, sf)
+    ok = F.col("route") == routing.SUCCESS
+    return res.select("req_id", "route",
+                      F.when(ok, F.lit("document")).alias("entity"),
+                      F.col("doc_id").alias("docid"),
+                      F.when(ok, ej.prefixed_entity_json("doc_")).alias("content"))

@@ -55,3 +55,11 @@ def parse_document(content: Column, fields: dict[str, str] | None = None) -> Col
 
 def write_json_lines(df: DataFrame, text_col: Column, path: str) -> None:
     df.select(text_col.alias("value")).write.mode("overwrite").text(path)
+
+
+def prefixed_entity_json(prefix: str, fields: dict[str, str] | None = None) -> Column:
+    """Entity JSON of a document held in ``<prefix><column>`` columns (as
+    lookups return it): the record content the reference writes."""
+    fields = fields or {"uid": "id", "path": "path", "type": "type", "title": "title"}
+    return F.to_json(F.struct(F.lit(DOCUMENT).alias(ENTITY_TYPE),
+                              *[F.col(prefix + c).alias(k) for k, c in fields.items()]))
