@@ -35,6 +35,23 @@ def null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
+# small frames kept by lookups; released by the caller when its result has
+# been written (every streaming micro-batch does so)
+_KEPT: list[DataFrame] = []
+
+
+def _keep(df: DataFrame) -> DataFrame:
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(kept)
+    return kept
+
+
+def release_kept() -> None:
+    """Unpersist the small frames lookups kept since the last release."""
+    while _KEPT:
+        _KEPT.pop().unpersist()
+
+
 # A request-side frame at most this many rows is broadcast into lookups, so
 # the (large) repository table is scanned in place instead of shuffled.
 LOOKUP_BROADCAST_ROWS = 200_000
@@ -64,9 +81,8 @@ def preserving_lookup(left: DataFrame, right: DataFrame, left_keys: list[str],
     # left row), so keep them rather than recomputing their whole lineage.
     # A lost cached block is recomputed from lineage, so this stays fault
     # tolerant.
-    left = left.persist(StorageLevel.MEMORY_AND_DISK)
-    hits = right.join(F.broadcast(left), null_safe_free_on(left, right, on_pairs), "inner") \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    left = _keep(left)
+    hits = _keep(right.join(F.broadcast(left), null_safe_free_on(left, right, on_pairs), "inner"))
     hit_keys = hits.select(*[F.col(rk).alias(f"_hk{i}") for i, (_, rk) in enumerate(on_pairs)]).distinct()
     miss_on = reduce(lambda a, b: a & b,
                      [left[lk] == hit_keys[f"_hk{i}"] for i, (lk, _) in enumerate(on_pairs)])

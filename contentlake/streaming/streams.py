@@ -21,6 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from contentlake.functions.joins import release_kept
 from contentlake.operators.lookup import get_document
 from contentlake.session import shared_dir
 
@@ -77,6 +78,7 @@ def stream_lookup(spark: SparkSession, requests: DataFrame, docs: DataFrame,
     def lookup(batch: DataFrame, batch_id: int) -> None:
         out = get_document(batch, docs, doc_cols=doc_cols, original=original)
         out.write.mode("overwrite").parquet(os.path.join(sink, f"batch={batch_id}"))
+        release_kept()                # nothing of this batch stays cached
 
     q = (requests.writeStream.foreachBatch(lookup)
                  .option("checkpointLocation", checkpoint)
@@ -97,6 +99,7 @@ def stream_route(spark: SparkSession, stream: DataFrame,
 
     def route(batch: DataFrame, batch_id: int) -> None:
         write(transform(batch) if transform else batch, batch_id)
+        release_kept()
 
     q = (stream.writeStream.foreachBatch(route)
                .option("checkpointLocation", checkpoint)
@@ -123,6 +126,7 @@ def stream_upsert(spark: SparkSession, changes: DataFrame, initial: DataFrame,
     def apply(batch: DataFrame, batch_id: int) -> None:
         current = spark.read.parquet(version(batch_id))
         merge(current, batch).write.mode("overwrite").parquet(version(batch_id + 1))
+        release_kept()
         newest["v"] = batch_id + 1
 
     q = (changes.writeStream.foreachBatch(apply)
