@@ -42,6 +42,16 @@ def read_stream(spark: SparkSession, path: str, schema=None, max_files: int | No
     return reader.load(path)
 
 
+def _start(writer, trigger: dict | None):
+    """Start with ``trigger`` (``DataStreamWriter.trigger`` keywords, e.g.
+    ``{"processingTime": "1 minute"}``); default: everything available,
+    then stop. Returns after termination only for the finite trigger."""
+    q = writer.trigger(**(trigger or {"availableNow": True})).start()
+    if not trigger or trigger.get("availableNow") or trigger.get("once"):
+        q.awaitTermination()
+    return q
+
+
 def _batch_writer(sink: str, fmt: str = "parquet", partition_by: list[str] | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
         w = batch.write.mode("overwrite").format(fmt)
@@ -54,18 +64,14 @@ def _batch_writer(sink: str, fmt: str = "parquet", partition_by: list[str] | Non
 def run_available_now(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
                       partition_by: list[str] | None = None) -> StreamingQuery:
     """Process everything available, in micro-batches, then stop."""
-    q = (df.writeStream
-           .foreachBatch(_batch_writer(sink, fmt, partition_by))
-           .option("checkpointLocation", checkpoint)
-           .trigger(availableNow=True)
-           .start())
-    q.awaitTermination()
-    return q
+    return _start(df.writeStream.foreachBatch(_batch_writer(sink, fmt, partition_by))
+                    .option("checkpointLocation", checkpoint), None)
 
 
 def stream_lookup(spark: SparkSession, requests: DataFrame, docs: DataFrame,
                   doc_cols: list[str] | None = None, sink: str | None = None,
-                  checkpoint: str | None = None, original: bool = False) -> str:
+                  checkpoint: str | None = None, original: bool = False,
+                  trigger: dict | None = None) -> str:
     """Continuous document lookup; returns the sink folder.
 
     Each micro-batch is looked up as a batch DataFrame inside
@@ -80,16 +86,14 @@ def stream_lookup(spark: SparkSession, requests: DataFrame, docs: DataFrame,
         out.write.mode("overwrite").parquet(os.path.join(sink, f"batch={batch_id}"))
         release_kept()                # nothing of this batch stays cached
 
-    q = (requests.writeStream.foreachBatch(lookup)
-                 .option("checkpointLocation", checkpoint)
-                 .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _start(requests.writeStream.foreachBatch(lookup).option("checkpointLocation", checkpoint), trigger)
     return sink
 
 
 def stream_route(spark: SparkSession, stream: DataFrame,
                  transform: Callable[[DataFrame], DataFrame] | None = None,
-                 sink: str | None = None, checkpoint: str | None = None) -> str:
+                 sink: str | None = None, checkpoint: str | None = None,
+                 trigger: dict | None = None) -> str:
     """Continuous routing: each micro-batch (optionally run through
     ``transform``, e.g. a lookup, as a batch DataFrame) is split into one
     folder per ``route`` value."""
@@ -101,16 +105,13 @@ def stream_route(spark: SparkSession, stream: DataFrame,
         write(transform(batch) if transform else batch, batch_id)
         release_kept()
 
-    q = (stream.writeStream.foreachBatch(route)
-               .option("checkpointLocation", checkpoint)
-               .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _start(stream.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint), trigger)
     return sink
 
 
 def stream_upsert(spark: SparkSession, changes: DataFrame, initial: DataFrame,
                   merge: Callable[[DataFrame, DataFrame], DataFrame], table_dir: str | None = None,
-                  checkpoint: str | None = None) -> str:
+                  checkpoint: str | None = None, trigger: dict | None = None) -> str:
     """Merge each micro-batch of changes into a new snapshot version.
 
     ``merge(table, batch) -> table'``. Batch ``n`` reads version ``v-n``
@@ -129,15 +130,13 @@ def stream_upsert(spark: SparkSession, changes: DataFrame, initial: DataFrame,
         release_kept()
         newest["v"] = batch_id + 1
 
-    q = (changes.writeStream.foreachBatch(apply)
-                .option("checkpointLocation", checkpoint)
-                .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _start(changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint), trigger)
     return version(newest["v"])
 
 
 def timer_query(spark: SparkSession, ticks: DataFrame, run: Callable[[SparkSession], DataFrame],
-                sink: str | None = None, checkpoint: str | None = None) -> str:
+                sink: str | None = None, checkpoint: str | None = None,
+                trigger: dict | None = None) -> str:
     """Run ``run(spark)`` once per micro-batch of ``ticks`` (a schedule with
     no input of its own); each run's result lands in ``batch=<id>``."""
     sink = sink or shared_dir(spark, "timer")
@@ -146,8 +145,5 @@ def timer_query(spark: SparkSession, ticks: DataFrame, run: Callable[[SparkSessi
     def fire(batch: DataFrame, batch_id: int) -> None:
         run(spark).write.mode("overwrite").parquet(os.path.join(sink, f"batch={batch_id}"))
 
-    q = (ticks.writeStream.foreachBatch(fire)
-              .option("checkpointLocation", checkpoint)
-              .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _start(ticks.writeStream.foreachBatch(fire).option("checkpointLocation", checkpoint), trigger)
     return sink
