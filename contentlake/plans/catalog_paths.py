@@ -216,3 +216,19 @@ def get_audit_json(spark, sf):
     a = repo.audit(tables(spark, sf))
     return relations.related_json_chunks(a, "doc_id", ["entry_id"], ["entry_id", "event_type"],
                                          chunk_size=50)
+
+
+@query("path_validate", oracle="""
+select id, case when state = 'approved' then 'failure' else 'success' end route,
+       state = 'approved' invalid_path
+from v_docs where type = 'File'""")
+def path_validate(spark, sf):
+    """Path texts are validated when compiled: a schema step below a value
+    (``ord:totalprice/nested:x``) is rejected, and only the rows carrying
+    that path fail; valid paths on the other rows still evaluate."""
+    d = repo.docs_with_properties(tables(spark, sf)).where(F.col("type") == "File")
+    attrs = F.create_map(F.lit("nx-prop"), F.when(F.col("state") == "approved", "ord:totalprice/nested:x")
+                         .otherwise("dc:title"))
+    out = attributes.document_to_columns_templated(d.withColumn("attributes", attrs),
+                                                   {"v": args.template("${nx-prop}")})
+    return out.select("id", "route", F.col("error").isNotNull().alias("invalid_path"))
