@@ -63,32 +63,28 @@ def preserving_lookup(left: DataFrame, right: DataFrame, left_keys: list[str],
     """``left`` left-outer-joined with ``right`` on equal keys, where the
     right side holds at most one row per key.
 
-    If ``left`` is proven to have at most ``bound`` rows it is broadcast
-    into an inner join (the right side streams through with no shuffle and
-    no skew), and the left rows without a match are found by an anti-join
-    of ``left`` against the matched keys - both small. Otherwise this is a
-    plain shuffle left join (AQE splits skewed keys). Right-side columns
-    of unmatched rows are null, as in a left join. ``small`` passes a bound
-    the caller already proved (e.g. on the frame ``left`` was derived from).
+    If ``left`` is proven to have at most ``bound`` rows, only its distinct
+    key values are broadcast (short keys, never the request payload), the
+    right side streams past them with no shuffle and no skew, and the few
+    matches are joined back to ``left`` - two small frames. Otherwise this
+    is a plain shuffle left join (AQE splits skewed keys). ``small`` passes
+    a bound the caller already proved (e.g. on the frame ``left`` was
+    derived from).
     """
     on_pairs = list(zip(left_keys, right_keys))
     if small is None:
         small = row_count_at_most(left, bound)
     if not small:
         return left.join(right, null_safe_free_on(left, right, on_pairs), "left")
-    # both sides of the result read ``left`` and ``hits`` twice (matches, then
-    # misses); each is proven small (at most ``bound`` rows, one match per
-    # left row), so keep them rather than recomputing their whole lineage.
-    # A lost cached block is recomputed from lineage, so this stays fault
-    # tolerant.
+    # ``left`` is read twice (its keys, then the final join); it is proven
+    # small, so keep it rather than recompute its lineage (a lost block is
+    # recomputed, so this stays fault tolerant)
     left = _keep(left)
-    hits = _keep(right.join(F.broadcast(left), null_safe_free_on(left, right, on_pairs), "inner"))
-    hit_keys = hits.select(*[F.col(rk).alias(f"_hk{i}") for i, (_, rk) in enumerate(on_pairs)]).distinct()
-    miss_on = reduce(lambda a, b: a & b,
-                     [left[lk] == hit_keys[f"_hk{i}"] for i, (lk, _) in enumerate(on_pairs)])
-    misses = left.join(hit_keys, miss_on, "left_anti")
-    return hits.select(*left.columns, *[c for c in right.columns if c not in left.columns]) \
-        .unionByName(misses, allowMissingColumns=True)
+    keys = left.select(*[F.col(lk).alias(f"_bk{i}") for i, (lk, _) in enumerate(on_pairs)]).distinct()
+    match = reduce(lambda a, b: a & b,
+                   [right[rk] == keys[f"_bk{i}"] for i, (_, rk) in enumerate(on_pairs)])
+    hits = right.join(F.broadcast(keys), match).drop(*[f"_bk{i}" for i in range(len(on_pairs))])
+    return left.join(hits, null_safe_free_on(left, hits, on_pairs), "left")
 
 
 def null_safe_free_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:

@@ -13,15 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contentlake.functions.args import DEFAULT_XPATH, is_blank
-from contentlake.functions.joins import row_count_at_most
+from contentlake.functions.joins import preserving_lookup, row_count_at_most
 from contentlake.operators.lookup import get_document, requests_are_small
 from contentlake.operators.routing import FAILURE, SUCCESS, emit_original, union_routes
 from contentlake.plans.numbering import position_within
 
 NO_BATCH = "No upload batch"
 BLOB_NOT_FOUND = "blob not found"
-# requests at most this many rows are broadcast into the blob join, so blob
-# bytes are read where they lie and never shuffled
+# blob requests up to this many rows have their (doc, xpath) keys broadcast
+# into the blob scan, so only matched blobs' bytes ever leave their files
 BLOB_REQUEST_BROADCAST_ROWS = 1_000_000
 
 
@@ -69,23 +69,17 @@ def get_blob(requests: DataFrame, blobs: DataFrame, doc_col: str = "req_docid",
     """Blob of (document, xpath) per request (xpath defaults to the main
     file). Missing -> failure; the request also goes to ``original``.
 
-    When the request side is proven small it is broadcast, so the blob
-    table (and its bytes) is scanned in place with no shuffle; otherwise a
+    When the request side is proven small its keys are broadcast, so the
+    blob table is scanned in place and only matched blobs move; otherwise a
     shuffle join on (doc_id, xpath), with blob columns projected last."""
     blob_cols = blob_cols or ["filename", "mime_type", "length", "digest", "content"]
     xp = F.coalesce(F.col(xpath_col), F.lit(DEFAULT_XPATH)) if xpath_col else F.lit(DEFAULT_XPATH)
     req = requests.withColumns({"_d": F.col(doc_col), "_x": xp})
-    b = blobs.select(F.col("doc_id").alias("_bd"), F.col("xpath").alias("_bx"), *blob_cols)
-    on = (req["_d"] == b["_bd"]) & (req["_x"] == b["_bx"])
-    if row_count_at_most(req, BLOB_REQUEST_BROADCAST_ROWS):
-        # small request side: broadcast it into an inner join (blobs stream
-        # through in place), then find the misses among the requests alone
-        hits = b.join(F.broadcast(req), on).select(*req.columns, *blob_cols)
-        keys = hits.select(F.col("_d").alias("_hd"), F.col("_x").alias("_hx")).distinct()
-        misses = req.join(keys, (req["_d"] == keys["_hd"]) & (req["_x"] == keys["_hx"]), "left_anti")
-        joined = hits.withColumn("_hit", F.lit(True)).unionByName(misses, allowMissingColumns=True)
-    else:
-        joined = req.join(b.withColumn("_hit", F.lit(True)), on, "left").drop("_bd", "_bx")
+    b = blobs.select(F.col("doc_id").alias("_bd"), F.col("xpath").alias("_bx"), *blob_cols,
+                     F.lit(True).alias("_hit"))
+    small = row_count_at_most(requests, BLOB_REQUEST_BROADCAST_ROWS)
+    joined = preserving_lookup(req, b, ["_d", "_x"], ["_bd", "_bx"], small=small) \
+        .drop("_bd", "_bx")
     out = joined.withColumns({
         "route": F.when(F.col("_hit"), F.lit(SUCCESS)).otherwise(F.lit(FAILURE)),
         "error": F.when(F.col("_hit"), F.lit(None).cast("string")).otherwise(F.lit(BLOB_NOT_FOUND)),
