@@ -43,7 +43,9 @@ def _canon(cols, rows):
 
 @pytest.mark.parametrize("name", ["get_document", "get_children", "doc_to_columns_all",
                                   "query_all_pages", "create_document", "path_array_predicate",
-                                  "get_acl", "op_result_kind", "upload_chunked", "attr_merge"])
+                                  "get_acl", "op_result_kind", "upload_chunked", "attr_merge",
+                                  "doc_to_columns_templated", "path_validate", "get_audit_json",
+                                  "get_document_json"])
 def test_matches_duckdb(spark, name):
     m = _entry()
     df = m.queries()[name](spark, SF_SMALL)
