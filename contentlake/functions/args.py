@@ -103,10 +103,23 @@ def attribute_map(**pairs: Column) -> Column:
 
 
 def split_params(text: Column, sep: str = ",") -> Column:
-    """Comma-separated parameters -> array; trailing empty strings dropped
-    (as ``String.split`` does), inner empties kept."""
+    """Comma-separated parameters -> array, with the splitting rules of the
+    reference's ``String.split``: trailing empty strings are dropped, inner
+    empties kept, and a text without any separator is one parameter (so
+    ``""`` gives ``[""]`` while ``",,"`` gives ``[]``)."""
     parts = F.split(text, re.escape(sep))
     last = F.array_max(F.transform(parts, lambda x, i: F.when(x != "", i + 1).otherwise(0)))
     return (F.when(text.isNull(), F.lit(None).cast("array<string>"))
+             .when(~text.contains(sep), F.array(text))
              .when(last == 0, F.array().cast("array<string>"))
              .otherwise(F.slice(parts, F.lit(1), last)))
+
+
+def split_params_text(text: str, sep: str = ",") -> list[str]:
+    """Driver-side twin of :func:`split_params` for a configured value."""
+    if sep not in text:
+        return [text]
+    values = text.split(sep)
+    while values and values[-1] == "":
+        values.pop()
+    return values

@@ -21,7 +21,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contentlake.functions.args import DEFAULT_MAX_RESULTS, DEFAULT_PAGE_INDEX, DEFAULT_PAGE_SIZE
+from contentlake.functions.args import (
+    DEFAULT_MAX_RESULTS, DEFAULT_PAGE_INDEX, DEFAULT_PAGE_SIZE, split_params_text,
+)
 from contentlake.operators.routing import FAILURE, NEXT_PAGE, SUCCESS
 from contentlake.plans.numbering import global_position
 
@@ -129,9 +131,7 @@ def run_provider(spark: SparkSession, name: str, params: str | list | None = Non
     if name not in PROVIDERS:
         raise KeyError(f"unknown page provider {name!r}")
     if isinstance(params, str):
-        values = params.split(",")
-        while values and values[-1] == "":
-            values.pop()
+        values = split_params_text(params)
     else:
         values = list(params or [])
     df = run_query(spark, PROVIDERS[name], values or None)
