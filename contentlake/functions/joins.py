@@ -89,3 +89,14 @@ def preserving_lookup(left: DataFrame, right: DataFrame, left_keys: list[str],
 
 def null_safe_free_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [left[a] == right[b] for a, b in pairs])
+
+
+_WIDE_TYPES = ("binary", "map", "array", "struct", "variant")
+
+
+def is_narrow(df: DataFrame, max_columns: int = 16) -> bool:
+    """Few scalar columns: a proven-small frame of this shape is cheap to
+    broadcast whole (no payload such as record bytes or nested documents)."""
+    fields = df.schema.fields
+    return len(fields) <= max_columns and not any(
+        f.dataType.typeName() in _WIDE_TYPES for f in fields)

@@ -20,7 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contentlake.functions.joins import LOOKUP_BROADCAST_ROWS, preserving_lookup, row_count_at_most
+from contentlake.functions.joins import (
+    LOOKUP_BROADCAST_ROWS, is_narrow, preserving_lookup, row_count_at_most,
+)
 from contentlake.operators.routing import FAILURE, SUCCESS, emit_original, union_routes
 
 NO_REFERENCE = "no document reference"
@@ -112,8 +114,12 @@ def get_children(requests: DataFrame, docs: DataFrame, id_col: str = "req_docid"
     ok = resolved.where(F.col("route") == SUCCESS).drop("route", "error")
     failed = resolved.where(F.col("route") == FAILURE).drop("parent_id")
     kids = docs.select(F.col("parent_id").alias("_pid"), *_prefixed(docs, child_cols, prefix))
-    if small:
+    if small and is_narrow(ok):
         ok = F.broadcast(ok)          # docs stream through; no shuffle, no skew
+    elif small:
+        # wide requests: broadcast only the parent ids, join the children back
+        ids = F.broadcast(ok.select(F.col("parent_id").alias("_bp")).distinct())
+        kids = kids.join(ids, kids["_pid"] == ids["_bp"]).drop("_bp")
     listed = (kids.join(ok, ok["parent_id"] == kids["_pid"])
                 .drop("_pid")
                 .withColumns({"route": F.lit(SUCCESS), "error": F.lit(None).cast("string")}))

@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contentlake.functions.args import is_blank
-from contentlake.functions.joins import bounded_broadcast, preserving_lookup, row_count_at_most
+from contentlake.functions.joins import (
+    bounded_broadcast, is_narrow, preserving_lookup, row_count_at_most,
+)
 from contentlake.functions.values import json_or_string
 from contentlake.operators.lookup import NOT_FOUND, get_document, requests_are_small
 from contentlake.operators.relations import NO_BATCH
@@ -263,7 +265,7 @@ def cancel_workflows(docs: DataFrame, workflows: DataFrame, requests: DataFrame,
     ok = res.where(F.col("route") == SUCCESS)
     running = workflows.where(F.col("state") == "running").select(
         F.col("doc_id").alias("_wd"), F.col("name").alias("_wn"), "workflow_id")
-    okb = _maybe_broadcast(ok, small)     # workflows stream through when requests are few
+    okb = _maybe_broadcast(ok, small and is_narrow(ok))   # workflows stream through
     hits = (running.join(okb, (okb["doc_id"] == running["_wd"]) & (okb[model_col] == running["_wn"]))
                    .drop("_wd", "_wn"))
     failed = res.where(F.col("route") == FAILURE).withColumn("workflow_id", F.lit(None).cast("string"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contentlake.functions.args import DEFAULT_XPATH, is_blank
-from contentlake.functions.joins import preserving_lookup, row_count_at_most
+from contentlake.functions.joins import is_narrow, preserving_lookup, row_count_at_most
 from contentlake.operators.lookup import get_document, requests_are_small
 from contentlake.operators.routing import FAILURE, SUCCESS, emit_original, union_routes
 from contentlake.plans.numbering import position_within
@@ -38,8 +38,12 @@ def get_related(requests: DataFrame, docs: DataFrame, related: DataFrame,
     ok = res.where(F.col("route") == SUCCESS).drop("route", "error")
     failed = res.where(F.col("route") == FAILURE).drop("doc_id")
     rel = related.select(F.col(related_key).alias("_rk"), *related_cols)
-    if small:
+    if small and is_narrow(ok):
         ok = F.broadcast(ok)          # the related table streams through unshuffled
+    elif small:
+        # wide requests: broadcast only the document ids, join the entries back
+        ids = F.broadcast(ok.select(F.col("doc_id").alias("_bd")).distinct())
+        rel = rel.join(ids, rel["_rk"] == ids["_bd"]).drop("_bd")
     joined = (rel.join(ok, ok["doc_id"] == rel["_rk"]).drop("_rk")
                 .withColumns({"route": F.lit(SUCCESS), "error": F.lit(None).cast("string")}))
     return union_routes(joined, failed)

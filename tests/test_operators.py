@@ -122,3 +122,21 @@ def test_deep_pages_use_global_position(spark, monkeypatch):
     assert deep.count() == top.count() == 7
     capped = q.all_pages(d, "title", "ASC", 7, max_results=30)
     assert capped.count() == 30 and capped.agg(F.max("pos")).first()[0] == 30
+
+
+def test_wide_requests_broadcast_only_keys(spark):
+    """Requests carrying record bytes take the keys-only broadcast branch and
+    give the same children and related rows as narrow requests."""
+    t = tables(spark, SF_SMALL)
+    narrow = repo.requests(t)
+    wide = narrow.withColumn("content", F.encode(F.col("req_path"), "UTF-8"))
+    from contentlake.functions.joins import is_narrow
+    assert is_narrow(narrow) and not is_narrow(wide)
+    a = lookup.get_children(narrow, repo.docs(t)).select("req_id", "child_id", "route")
+    b = lookup.get_children(wide, repo.docs(t)).select("req_id", "child_id", "route")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    from contentlake.operators import relations
+    wf = repo.workflows(t)
+    c = relations.get_related(narrow, repo.docs(t), wf, ["workflow_id"]).select("req_id", "workflow_id")
+    d = relations.get_related(wide, repo.docs(t), wf, ["workflow_id"]).select("req_id", "workflow_id")
+    assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
