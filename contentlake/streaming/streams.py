@@ -1,7 +1,9 @@
 """Continuous versions of lookup, routing, upserts and scheduled queries.
 
-* requests arrive as a file stream (``readStream``); lookups are
-  stream-static joins against the current ``docs`` table;
+* requests arrive as a file stream (``readStream``); each micro-batch is
+  looked up as a batch DataFrame against the current ``docs`` table (a
+  small batch takes the broadcast-keys path, so docs are never shuffled
+  per batch);
 * every micro-batch is written with ``foreachBatch`` into a folder keyed by
   the batch id (overwrite), so a replayed batch after a failure rewrites
   the same files - the sink is idempotent and the checkpoint gives
