@@ -119,7 +119,9 @@ def stream_upsert(spark: SparkSession, changes: DataFrame, initial: DataFrame,
     ``merge(table, batch) -> table'``. Batch ``n`` reads version ``v-n``
     (written by batch ``n-1`` before it committed, or the initial table)
     and writes ``v-(n+1)`` with overwrite, so a replayed batch reproduces
-    the same version. Returns the folder of the newest version."""
+    the same version. Returns the folder of the newest version written by
+    the time it returns (with a continuous trigger the stream keeps adding
+    versions ``v-<n>`` after that)."""
     table_dir = table_dir or shared_dir(spark, "stream-table")
     checkpoint = checkpoint or shared_dir(spark, "stream-upsert-ckpt")
     version = lambda n: os.path.join(table_dir, f"v-{n:09d}")
