@@ -5,6 +5,7 @@ import json
 import math
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from contentlake.functions import paths
@@ -131,3 +132,25 @@ def test_json_or_string(spark):
     got = [r[0] for r in df.select(F.schema_of_variant(json_or_string(F.col("v")))).collect()]
     assert got[0] == "BIGINT" and got[1] == "STRING" and got[2] == "BOOLEAN"
     assert got[3] is None and got[4].startswith("OBJECT")
+
+
+STEPS = st.sampled_from(["sample:array", "files:files", "properties", "id", "name", ".",
+                         "1", "2", "-1", "0", "9", "key", "[length>1000]", "[.>1]",
+                         "sample:int", "missing:x", "name/x"])
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(st.lists(STEPS, min_size=1, max_size=4), min_size=30, max_size=30))
+def test_any_path_compiles_or_is_rejected_and_never_fails_a_job(doc, step_lists):
+    """Random step sequences: compilation either succeeds or raises
+    ValueError, and every compiled path evaluates without a runtime error
+    (data problems come back as the row's error column)."""
+    cols = []
+    for i, steps in enumerate(step_lists):
+        try:
+            c = paths.compile_path("/".join(steps), doc.columns)
+        except ValueError:
+            continue
+        cols += [paths.render(c).alias(f"v{i}"), c.error.alias(f"e{i}")]
+    if cols:
+        doc.select(*cols).collect()
