@@ -35,7 +35,7 @@ def main() -> None:
     names = os.environ.get("BENCH_QUERIES")
     names = names.split(",") if names else (list(QUERIES) if os.environ.get("BENCH_ALL") else HEADLINE)
     spark = build_session(f"local[{cpus}]", app="contentlake-bench",
-                          shuffle_partitions=int(cpus) * 2,
+                          shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2)),
                           extra={"spark.driver.memory": "16g"})
     warm = os.environ.get("BENCH_WARMUP", "1") != "0"
 
