@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contentlake.llm.common import table
+from contentlake.llm.decontam import contaminated, decontaminate
 from contentlake.llm.mixing import mix_sources
 from contentlake.llm.sharding import shard_documents
 
@@ -34,3 +35,33 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the words the mix takes of each (sources weigh 5, 2, 1, ...)."""
     out = mix_sources(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2.0)
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark items: exact 13-word phrase matches."""
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLES["op8_decontamination"] = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+starts AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM i WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, w[s : s + least(len(w), 13) - 1] AS win, least(len(w), 13) AS n FROM starts),
+sizes AS (SELECT DISTINCT n FROM windows),
+at AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d JOIN sizes ON len(w) >= n),
+hits AS (SELECT doc_id, p, a.n, item_id FROM at a JOIN windows x ON a.n = x.n AND a.w[p : p + a.n - 1] = x.win),
+hit_words AS (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT doc_id, p, n FROM hits)),
+n_hits AS (SELECT doc_id, count(*) AS n_hit FROM hit_words GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n_hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
