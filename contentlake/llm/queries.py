@@ -12,6 +12,7 @@ from contentlake.llm.common import table
 from contentlake.llm.decontam import contaminated, decontaminate
 from contentlake.llm.mixing import mix_sources
 from contentlake.llm.sharding import shard_documents
+from contentlake.llm.topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,8 +55,8 @@ i AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7
 starts AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM i WHERE len(w) > 0),
 windows AS (SELECT DISTINCT item_id, w[s : s + least(len(w), 13) - 1] AS win, least(len(w), 13) AS n FROM starts),
 sizes AS (SELECT DISTINCT n FROM windows),
-at AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d JOIN sizes ON len(w) >= n),
-hits AS (SELECT doc_id, p, a.n, item_id FROM at a JOIN windows x ON a.n = x.n AND a.w[p : p + a.n - 1] = x.win),
+pos AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d JOIN sizes ON len(w) >= n),
+hits AS (SELECT doc_id, p, a.n, item_id FROM pos a JOIN windows x ON a.n = x.n AND a.w[p : p + a.n - 1] = x.win),
 hit_words AS (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT doc_id, p, n FROM hits)),
 n_hits AS (SELECT doc_id, count(*) AS n_hit FROM hit_words GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
@@ -65,3 +66,19 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n_hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@query
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest integer inner products of every 100th vector against all others."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+ORACLES["op7_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
