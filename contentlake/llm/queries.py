@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contentlake.llm.archives import convert_arc, read_warc, write_arc
 from contentlake.llm.common import table
 from contentlake.llm.decontam import contaminated, decontaminate
 from contentlake.llm.mixing import mix_sources
@@ -82,3 +83,22 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) A
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
 """
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as legacy archives, converted to WARC and read back."""
+    arc = write_arc(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    out = read_warc(convert_arc(arc))
+    return out.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      F.col("refers_to_key").cast("long").alias("refers_to"))
+
+
+ORACLES["op4_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM p GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM p JOIN f USING (payload_digest)
+"""
