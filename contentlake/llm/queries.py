@@ -13,6 +13,7 @@ from contentlake.llm.common import table
 from contentlake.llm.decontam import contaminated, decontaminate
 from contentlake.llm.mixing import mix_sources
 from contentlake.llm.sharding import shard_documents
+from contentlake.llm.tokens import count_tokens
 from contentlake.llm.topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +103,17 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
 FROM p JOIN f USING (payload_digest)
 """
+
+
+#: Tokens that fit a training window.
+TOKEN_LIMIT = 512
+
+
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text under the byte_bpe_50k.json vocabulary."""
+    import public_tokenizers
+
+    out = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens",
+                      (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
