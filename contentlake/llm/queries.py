@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from contentlake.llm.archives import convert_arc, read_warc, write_arc
 from contentlake.llm.common import table
 from contentlake.llm.decontam import contaminated, decontaminate
+from contentlake.llm.minhash import near_duplicates
 from contentlake.llm.mixing import mix_sources
 from contentlake.llm.sharding import shard_documents
 from contentlake.llm.tokens import count_tokens
@@ -117,3 +118,27 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens",
                       (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+@query
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their near-duplicate component (Jaccard of 0.75 or more)."""
+    members, _ = near_duplicates(table(spark, sf_dir, "documents"), threshold=75)
+    return members.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
+                          (F.col("id") == F.col("component")).alias("kept"))
+
+
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+')"
+ORACLES["op9_minhash"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (
+        SELECT doc_id, unnest([w[i : i + 4] FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) AS sh FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+inter AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+          GROUP BY ALL),
+links AS (SELECT a, b FROM inter JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+"""
