@@ -13,6 +13,7 @@ from contentlake.llm.common import table
 from contentlake.llm.decontam import contaminated, decontaminate
 from contentlake.llm.minhash import near_duplicates
 from contentlake.llm.mixing import mix_sources
+from contentlake.llm.quality import classify
 from contentlake.llm.sharding import shard_documents
 from contentlake.llm.tokens import count_tokens
 from contentlake.llm.topk import top_k
@@ -142,3 +143,11 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, c.component_id, d
 FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
 """
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the posteriors of poor and of toxic text (sites: source, language)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    out = classify(docs, table(spark, sf_dir, "labels"), keep_text=False)
+    return out.select("doc_id", "p_low", "p_toxic", "accepted")
