@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from contentlake.llm.archives import convert_arc, read_warc, write_arc
 from contentlake.llm.common import table
 from contentlake.llm.decontam import contaminated, decontaminate
+from contentlake.llm.main_text import main_text
 from contentlake.llm.minhash import near_duplicates
 from contentlake.llm.mixing import mix_sources
 from contentlake.llm.quality import classify
@@ -151,3 +152,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     out = classify(docs, table(spark, sf_dir, "labels"), keep_text=False)
     return out.select("doc_id", "p_low", "p_toxic", "accepted")
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every whole page."""
+    out = main_text(table(spark, sf_dir, "pages"))
+    return out.select(F.col("id").alias("page_id"), "url", "text", "n_chars")
