@@ -15,6 +15,7 @@ from contentlake.llm.main_text import main_text
 from contentlake.llm.minhash import near_duplicates
 from contentlake.llm.mixing import mix_sources
 from contentlake.llm.quality import classify
+from contentlake.llm.repeats import remove_repeats
 from contentlake.llm.sharding import shard_documents
 from contentlake.llm.tokens import count_tokens
 from contentlake.llm.topk import top_k
@@ -159,3 +160,10 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every whole page."""
     out = main_text(table(spark, sf_dir, "pages"))
     return out.select(F.col("id").alias("page_id"), "url", "text", "n_chars")
+
+
+@query
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of 200-byte strings that occur again."""
+    out = remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
