@@ -25,7 +25,7 @@ from contentlake.llm.common import stage
 WORD = r"[^\x20\x09-\x0D]+"
 ONE = 1 << 32  # rates and their running sums are integers of this unit
 GRID = 1 << 20  # unit of the sums of a Newton step
-MAX_STEPS, STEP, TOLERANCE = 40, 2.0, 1e-7
+MAX_STEPS, FARTHEST, TOLERANCE = 60, 64.0, 1e-7
 OFFSETS, FLIPS, SALTS = 32, 3, 64
 
 
@@ -55,28 +55,37 @@ def targets(sources: DataFrame, weights: tuple[int, ...], share: float, most: fl
 
 
 def _rate() -> Column:
-    x = F.col("size") / F.col("mean")
+    x = F.try_divide("size", "mean")
     return F.when(F.col("full"), F.lit(2.0)).when(F.col("mean") == 0, F.lit(1.0)).otherwise(
         2.0 / (1.0 + F.exp(-F.col("lam") * x)))
 
 
 def balance(hist: DataFrame, sources: DataFrame) -> DataFrame:
     """Newton's method on the dual: ``sources`` (sid, n, source_size, target)
-    with ``mean``, ``full`` and the multiplier ``lam``. ``hist``: (sid, size, cnt)."""
-    half = F.col("target") / F.col("source_size") / 2
+    with ``mean``, ``full`` and the multiplier ``lam``. ``hist``: (sid, size, cnt).
+    The dual is convex, so every gradient narrows the bracket (low, high); a step
+    that would leave it goes to its middle instead."""
+    half = F.try_divide("target", "source_size") / 2
     state = (sources.withColumn("mean", F.col("source_size") / F.col("n"))
              .withColumn("full", (F.col("source_size") > 0) & (F.col("target") >= F.col("most") * (1 - 1e-12)))
+             .withColumns({"low": F.lit(-FARTHEST), "high": F.lit(FARTHEST)})
              .withColumn("lam", F.when((F.col("source_size") == 0) | F.col("full"), F.lit(0.0))
-                         .otherwise(F.log(half / (1 - half)))))
+                         .otherwise(F.log(F.try_divide(half, 1 - half)))))
     for _ in range(MAX_STEPS):
-        x, w = F.col("size") / F.col("mean"), _rate()
+        x, w = F.try_divide("size", "mean"), _rate()
         term = lambda v: F.sum(F.round(v * F.col("cnt") * GRID).cast("bigint")) / GRID
         sums = (hist.join(state, "sid").where("not full and mean > 0").groupBy("sid")
                 .agg(term(x * w).alias("g"), term(x * x * w * (1 - w / 2)).alias("h")))
-        gap = F.col("target") / F.col("mean") - F.col("g")
-        step = F.greatest(F.lit(-STEP), F.least(F.lit(STEP), gap / F.greatest("h", F.lit(1e-9))))
-        nxt = stage(state.join(sums, "sid", "left").withColumn("off", F.coalesce(F.abs(gap) * F.col("mean") / F.col("target"), F.lit(0.0)))
-                    .withColumn("lam", F.round(F.col("lam") + F.coalesce(step, F.lit(0.0)), 9)).drop("g", "h"), "dual")
+        gap = F.try_divide("target", "mean") - F.col("g")
+        state = state.join(sums, "sid", "left").withColumns({
+            "off": F.coalesce(F.try_divide(F.abs(gap) * F.col("mean"), F.col("target")), F.lit(0.0)),
+            "low": F.when(gap > 0, F.col("lam")).otherwise(F.col("low")),
+            "high": F.when(gap <= 0, F.col("lam")).otherwise(F.col("high")),
+            "newton": F.col("lam") + gap / F.greatest("h", F.lit(1e-9))})
+        inside = (F.col("newton") > F.col("low")) & (F.col("newton") < F.col("high"))
+        step = F.when(inside, F.col("newton")).otherwise((F.col("low") + F.col("high")) / 2)
+        moved = F.when(F.col("g").isNull() | (F.col("off") < TOLERANCE), F.col("lam")).otherwise(F.round(step, 9))
+        nxt = stage(state.withColumn("lam", moved).drop("g", "h", "newton"), "dual")
         off = nxt.agg(F.max("off")).first()[0]
         state = nxt.drop("off")
         if off is None or off < TOLERANCE:
