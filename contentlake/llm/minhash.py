@@ -246,7 +246,8 @@ def near_duplicates(docs: DataFrame, threshold: int = 75, id_col: str = "doc_id"
     if component is None:
         component = classes.select("id", F.col("id").alias("component")).limit(0)
     rows = rows.join(component.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    members = rows.select("id", "n_shingles", F.coalesce("component", "rep", "id").alias("component"))
+    own = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))
+    members = rows.select("id", "n_shingles", own.alias("component"))
     return members, links if links is not None else classes.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
 
 
