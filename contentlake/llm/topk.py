@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 SEGMENTS = (1, 4, 16)
 QUERY_BLOCK = 4096
 CHUNK = 1024  # candidate vectors that are scored at once
+PAIRS = 1 << 15  # single products at once
 SEED_ROWS = 2048
 EXACT = float(1 << 52)  # integers below are exact as doubles
 RESULT = "query_id bigint, vec_id bigint, score bigint"
@@ -46,11 +47,14 @@ class _Stats:
             self.levels.append(np.hstack([mean, dev]))  # one product gives the whole bound
 
     def scores(self, other: _Stats, q: np.ndarray, c: np.ndarray) -> np.ndarray:
-        a, b = self.x[q], other.x[c]
         size = float(np.abs(self.x).max(initial=0)) * float(np.abs(other.x).max(initial=0)) * max(1, self.x.shape[1])
-        if size < EXACT:
-            return np.einsum("ij,ij->i", a, b).astype(np.int64)
-        return np.array([sum(int(u) * int(v) for u, v in zip(r, s)) for r, s in zip(a, b)], dtype=np.int64)
+        if size >= EXACT:
+            sums = (sum(int(u) * int(v) for u, v in zip(self.x[i], other.x[j])) for i, j in zip(q, c))
+            return np.array([max(-1 << 63, min((1 << 63) - 1, s)) for s in sums], dtype=np.int64)
+        if len(q) > len(self.ids) * len(other.ids) // 8:  # most pairs: one product of matrices
+            return (self.x @ other.x.T)[q, c].astype(np.int64)
+        blocks = [slice(i, i + PAIRS) for i in range(0, len(q), PAIRS)]
+        return np.concatenate([np.einsum("ij,ij->i", self.x[q[s]], other.x[c[s]]) for s in blocks]).astype(np.int64)
 
 
 def _merge(best: tuple, q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple:
@@ -112,7 +116,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
     holds, against all rows but those with the query's own id; ties go to the
     smaller id. Candidates of another dimension than the query take no part.
     Repeated rows: a repeated candidate counts once per row, a repeated query id
-    with the same vector once. An empty table gives no rows.
+    with the same vector once. Scores beyond a long are its nearest value. An empty
+    table gives no rows.
     """
     rows = integer_vectors(vectors, id_col, vec_col, scale)
     queries = rows.where(is_query).distinct()
@@ -131,19 +136,18 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
 def _block_top_k(rows: DataFrame, block: DataFrame, k: int) -> DataFrame:
     sc = rows.sparkSession.sparkContext
     queries = _load(block.toPandas())  # about QUERY_BLOCK vectors
-    seeds = {}
-    first = _load(rows.limit(SEED_ROWS).toPandas())
-    for dim, q in queries.items():
-        floor = np.full(len(q.ids), -np.inf)
-        empty = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
-        if dim in first:
-            _, floor = _search(q, first[dim], floor, empty, k)
-        seeds[dim] = floor
-    sent = sc.broadcast((queries, seeds))
+    first = rows.limit(SEED_ROWS).toPandas()
+    best = {d: (np.empty(0, np.int64),) * 3 for d in queries}
+    seeds = {d: np.full(len(q.ids), -np.inf) for d, q in queries.items()}
+    for at in range(0, len(first), CHUNK):
+        for dim, cands in _load(first.iloc[at:at + CHUNK]).items():
+            if dim in queries:
+                best[dim], seeds[dim] = _search(queries[dim], cands, seeds[dim], best[dim], k)
+    sent = sc.broadcast({dim: (q.ids, q.x, seeds[dim]) for dim, q in queries.items()})
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        queries, seeds = sent.value
-        floors = dict(seeds)
+        queries = {dim: _Stats(ids, x) for dim, (ids, x, _) in sent.value.items()}
+        floors = {dim: floor for dim, (_, _, floor) in sent.value.items()}
         best = {d: (np.empty(0, np.int64),) * 3 for d in queries}
         for batch in batches:
             for at in range(0, len(batch), CHUNK):
