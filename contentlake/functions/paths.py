@@ -28,16 +28,16 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contentlake.functions.values import variant_to_text
 
 # fixed value: the property-step pattern of the path language
-SCHEMA_STEP = re.compile(r"[a-zA-Z_:][\w\-:]*:[a-zA-Z_:][\w\-:]*")
+SCHEMA_STEP = re.compile(r"[a-zA-Z_:][\w\-:]*:[a-zA-Z_:][\w\-:]*", re.ASCII)
 _INT = re.compile(r"[+-]?\d+")
 _PRED = re.compile(r"\[\s*([A-Za-z_][\w\-:]*|\.)\s*(>=|<=|!=|=|>|<)\s*(.+?)\s*\]")
-OUT_OF_RANGE = "Array index out of range"
+OUT_OF_RANGE = "no array element at this index"
 
 
 @dataclass(frozen=True)
@@ -57,7 +57,8 @@ def parse(path: str | None) -> list[Step] | None:
     if path.strip() == "":
         return None
     steps: list[Step] = []
-    for part in path.split("/"):
+    # one slash before the first and one behind the last step belong to no step
+    for part in path.removeprefix("/").removesuffix("/").split("/"):
         if part == "":
             raise ValueError(f"empty step in path {path!r}")
         if part.startswith("[") != part.endswith("]"):
@@ -155,7 +156,7 @@ def compile_path(path: str | None, doc_columns: list[str] | None = None,
             break
         if st.kind == "prop":
             if ctx not in ("doc", "props"):
-                raise ValueError("Path references schema in non-referencable context.")
+                raise ValueError(f"property step {st.text!r} below a value")
             cur, ctx = F.try_element_at(F.col(properties), F.lit(st.text)), "variant"
         elif ctx == "doc":
             if st.kind == "self":
@@ -221,3 +222,108 @@ def render(c: Compiled) -> Column:
 def evaluate(path: str | None, doc_columns: list[str], properties: str = "properties") -> Column:
     """Attribute text of ``path`` for each document row."""
     return render(compile_path(path, doc_columns, properties))
+
+
+# ---- paths whose text differs from row to row
+
+_STEP_ERRORS = (
+    (lambda p: p == "", "empty step in path"),
+    (lambda p: p.startswith("[") != p.endswith("]"), "unbalanced predicate step"),
+    (lambda p: p.startswith("[") & ~p.rlike(f"^{_PRED.pattern}$"), "unsupported predicate"),
+    (lambda p: p.startswith("[") & p.rlike(f"^{_PRED.pattern}$") & ~_quoted(_literal(p))
+     & F.nullif(_literal(p), F.lit("")).try_cast("double").isNull(), "bad literal in predicate"),
+)
+
+
+def _literal(p: Column) -> Column:
+    return F.regexp_extract(p, f"^{_PRED.pattern}$", 3)
+
+
+def _quoted(literal: Column) -> Column:
+    return literal.rlike("^'.*'$") | literal.rlike('^".*"$')
+
+
+def _key(name: Column) -> Column:
+    return F.concat(F.lit('$["'), F.replace(name, F.lit('"'), F.lit('\\"')), F.lit('"]'))
+
+
+def _matches_predicate(x: Column, step: Column) -> Column:
+    member, op = (F.regexp_extract(step, f"^{_PRED.pattern}$", g) for g in (1, 2))
+    literal = _literal(step)
+    target = F.when(member == ".", x).otherwise(F.try_variant_get(x, _key(member), "variant"))
+    text, number = F.try_variant_get(target, "$", "string"), F.try_variant_get(target, "$", "double")
+    inner, value = literal.substr(F.lit(2), F.length(literal) - 2), literal.try_cast("double")
+
+    def compared(a: Column, b: Column) -> Column:
+        return (F.when(op == ">", a > b).when(op == "<", a < b).when(op == ">=", a >= b)
+                 .when(op == "<=", a <= b).when(op == "=", a == b).otherwise(a != b))
+
+    return F.when(_quoted(literal), compared(text, inner)).otherwise(compared(number, value))
+
+
+def _take_step(state: Column, step: Column) -> Column:
+    """One step: ``m`` the matches so far (one value unless ``many``), ``err``."""
+    null, first = F.lit(None).cast("variant"), F.try_element_at(state["m"], F.lit(1))
+    is_index, is_pred = step.rlike(f"^{_INT.pattern}$"), step.startswith("[")
+    arr = _as_array(first)
+    n, k = F.size(arr), step.try_cast("int")
+    idx = F.when(k < 0, n + k).otherwise(k)
+    bad = is_index & ~state["many"] & arr.isNotNull() & ((idx < 0) | (idx > n))
+    named = F.transform(state["m"], lambda x: F.try_variant_get(x, _key(step), "variant"))
+    m = (F.when((is_index | is_pred) & state["many"], F.array(null))
+          .when(is_pred, F.filter(arr, lambda x: _matches_predicate(x, step)))
+          .when(is_index, F.array(F.when(arr.isNull() | bad | (idx == 0), null)
+                                   .otherwise(F.try_element_at(arr, F.greatest(idx, F.lit(1))))))
+          .when(step == ".", F.array(null))
+          .when(state["many"], F.filter(named, lambda y: y.isNotNull()))
+          .otherwise(named))
+    many = (state["many"] | is_pred) & ~((is_index | is_pred) & state["many"]) & ~(step == ".")
+    err = F.coalesce(state["err"], F.when(bad, F.lit(OUT_OF_RANGE)))
+    return F.struct(m.alias("m"), many.alias("many"), err.alias("err"))
+
+
+def evaluate_per_row(docs: DataFrame, path: Column, value_col: str, error_col: str,
+                     doc_columns: list[str] | None = None, properties: str = "properties") -> DataFrame:
+    """``docs`` with the attribute text (``value_col``) and error (``error_col``)
+    of a path text that may differ in every row.
+
+    The same rules as :func:`compile_path`, as one expression over the array of
+    steps: the plan doesn't grow with the number of texts, and none of them is
+    looked at on the driver. An invalid text is an error of its row, a blank
+    one gives null, and so does a null one."""
+    cols = [c for c in (doc_columns or docs.columns) if c != properties]
+    schema = f"^{SCHEMA_STEP.pattern}$"
+    # named step by step, so that each part is computed once per row
+    df = docs.withColumn("_text", path)
+    bare = F.regexp_replace(F.regexp_replace("_text", "^/", ""), "/$", "")
+    df = df.withColumn("_parts", F.split(bare, "/"))
+    parts, size = F.col("_parts"), F.size("_parts")
+    first, second = parts[0], F.try_element_at(parts, F.lit(2))
+    behind = lambda n: F.slice(parts, n + 1, F.greatest(size - n, F.lit(0)))
+    df = df.withColumn("_kind", F.when(first.rlike(schema), "prop").when((first == properties) & second.isNotNull(), "props")
+                       .when(first == properties, "map").when(first == ".", "self")
+                       .when(first.isin(cols) if cols else F.lit(False), "field").otherwise("none"))
+    kind = F.col("_kind")
+    df = df.withColumn("_rest", F.when(kind == "prop", behind(1)).when(kind == "props", behind(2))
+                       .when(kind.isin("self", "field"), behind(1)).otherwise(F.array().cast("array<string>")))
+    invalid = F.lit(None).cast("string")
+    for wrong, what in _STEP_ERRORS:
+        invalid = F.coalesce(invalid, F.when(F.exists(parts, wrong), F.concat(F.lit(f"{what}: "), F.col("_text"))))
+    below = F.exists("_rest", lambda p: p.rlike(schema))
+    invalid = F.coalesce(invalid, F.when(below, F.concat(F.lit("property step below a value: "), F.col("_text"))))
+    df = df.withColumn("_invalid", F.when(F.trim("_text") != "", invalid))
+    evaluated = kind.isin("prop", "props") & F.col("_invalid").isNull()
+    root = F.try_element_at(F.col(properties), F.when(kind == "prop", first).otherwise(second))
+    start = F.struct(F.array(root).alias("m"), F.lit(False).alias("many"), F.lit(None).cast("string").alias("err"))
+    df = df.withColumn("_end", F.when(evaluated, F.aggregate("_rest", start, _take_step)))
+    end = F.col("_end")
+    df = df.withColumn("_value", F.when(end["many"], collapse(end["m"])).otherwise(F.try_element_at(end["m"], F.lit(1))))
+    text = F.when(evaluated, variant_to_text(F.col("_value"))).when(kind == "map", F.to_json(F.col(properties)))
+    alone = size == 1
+    text = text.when((kind == "self") & alone, F.to_json(F.struct(*[F.col(c) for c in cols])))
+    for c in cols:  # entity fields are scalars
+        text = text.when((kind == "field") & alone & (first == c), F.col(c).cast("string"))
+    return df.withColumns({
+        value_col: F.when((F.trim("_text") != "") & F.col("_invalid").isNull(), text),
+        error_col: F.coalesce("_invalid", end["err"])}).drop(
+            "_text", "_parts", "_kind", "_rest", "_invalid", "_end", "_value")

@@ -56,12 +56,6 @@ def document_to_columns(docs: DataFrame, mapping: dict[str, str], keep: list[str
         err.alias("error"))
 
 
-def null_counts(mapped: DataFrame, attributes: list[str]) -> DataFrame:
-    """Per attribute, how many rows had no value (the reference logs a warning
-    per miss); one aggregation pass, partial-aggregated per partition."""
-    return mapped.agg(*[F.count_if(F.col(a).isNull()).alias(a) for a in attributes])
-
-
 def element_path(elements: DataFrame, path: str, doc_col: str = "doc_id",
                  pos_col: str = "pos") -> DataFrame:
     """Evaluate the steps after an array property on its long-form table.
@@ -114,57 +108,43 @@ def element_path(elements: DataFrame, path: str, doc_col: str = "doc_id",
     return out
 
 
-def collapse_counts(doc_ids: DataFrame, matches: DataFrame, doc_col: str = "doc_id") -> DataFrame:
-    """Per document: ``kind`` null / value / list, ``n_matches`` and the single
-    value when there is exactly one match. Counting is an aggregation with
-    partial (map-side) combine, safe for a document with many matches."""
-    agg = (matches.where(F.col("value").isNotNull())
-                  .groupBy(doc_col)
-                  .agg(F.count(F.lit(1)).alias("n_matches"),
-                       F.min("value").alias("_v")))
+def collapse_counts(doc_ids: DataFrame, matches: DataFrame, doc_col: str = "doc_id",
+                    pos_col: str = "pos") -> DataFrame:
+    """Per document: ``kind`` null / value / list, ``n_matches``, the single
+    value when there is exactly one match, and ``list_value`` (JSON, in order)
+    when there are several. Nulls before the first value are dropped; later
+    ones count and stay in the list. The list is one value of one document."""
+    rows = matches.select(doc_col, F.struct(F.col(pos_col).alias("p"), F.col("value").alias("v")).alias("_m"))
+    agg = rows.groupBy(doc_col).agg(
+        F.min(F.when(F.col("_m.v").isNotNull(), F.col("_m.p"))).alias("_first"),
+        F.array_sort(F.collect_list("_m")).alias("_all"))
     out = doc_ids.select(doc_col).join(agg, doc_col, "left")
-    n = F.coalesce(F.col("n_matches"), F.lit(0))
+    found = F.filter("_all", lambda m: m["p"] >= F.col("_first"))
+    out = out.withColumn("_m", F.coalesce(found, F.array().cast("array<struct<p:bigint,v:string>>")))
+    n = F.size("_m")
     return out.select(
         doc_col,
         F.when(n == 0, "null").when(n == 1, "value").otherwise("list").alias("kind"),
         n.cast("long").alias("n_matches"),
-        F.when(n == 1, F.col("_v")).alias("single_value"))
+        F.when(n == 1, F.try_element_at("_m", F.lit(1))["v"]).alias("single_value"),
+        F.when(n > 1, F.to_json(F.transform("_m", lambda m: m["v"]))).alias("list_value"))
 
 
 def document_to_columns_templated(docs: DataFrame, mapping: dict[str, Column],
-                                  keep: list[str] | None = None, max_paths: int = 1000,
+                                  keep: list[str] | None = None,
                                   properties: str = "properties") -> DataFrame:
     """Mapping ``attribute -> path`` where the path text itself varies per row
     (a template rendered from the record, e.g. ``${nx-prop}``).
 
-    The distinct rendered path texts are gathered - like ``pivot`` gathers
-    its values - after a check that there are at most ``max_paths`` of them
-    (path texts, not data); each is compiled once, and one ``CASE`` per
-    attribute picks the compiled path of the row. Rows keep flowing through
-    a single ``select``; invalid path texts fail those rows only."""
+    Every row's text is split into steps and evaluated in place, however many
+    distinct texts there are; a null path text gives null. Invalid path texts
+    and array indexes out of range fail those rows only."""
     keep = keep if keep is not None else ["id"]
-    cols = docs.columns
-    out_cols = [F.col(k) for k in keep]
-    errors = []
-    for name, path_col in mapping.items():
-        texts = docs.select(path_col.alias("_p")).where(F.col("_p").isNotNull()).distinct()
-        rows = texts.limit(max_paths + 1).collect()
-        if len(rows) > max_paths:
-            raise ValueError(f"{name}: more than {max_paths} distinct path texts")
-        value = F.lit(None).cast("string")
-        err = F.lit(None).cast("string")
-        for r in rows:
-            text = r["_p"]
-            try:
-                c = paths.compile_path(text, cols, properties)
-            except ValueError as exc:
-                err = F.when(path_col == F.lit(text), F.lit(str(exc))).otherwise(err)
-                continue
-            value = F.when(path_col == F.lit(text), paths.render(c)).otherwise(value)
-            err = F.when(path_col == F.lit(text), c.error).otherwise(err)
-        out_cols.append(value.alias(name))
-        errors.append(err)
+    cols, errors = docs.columns, []
+    for i, (name, path_col) in enumerate(mapping.items()):
+        docs = paths.evaluate_per_row(docs, path_col, f"_v{i}", f"_e{i}", cols, properties)
+        errors.append(F.col(f"_e{i}"))
     err = F.coalesce(*errors) if errors else F.lit(None).cast("string")
-    return docs.select(*out_cols,
+    return docs.select(*[F.col(k) for k in keep], *[F.col(f"_v{i}").alias(name) for i, name in enumerate(mapping)],
                        F.when(err.isNull(), F.lit(SUCCESS)).otherwise(F.lit(FAILURE)).alias("route"),
                        err.alias("error"))

@@ -3,9 +3,10 @@ tests call) plus batch operations covering every result kind."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contentlake.operators.mutate import update_documents
 from contentlake.operators.operations import register_operation
 
 
@@ -31,13 +32,33 @@ def add_to_favorites(favorites: DataFrame | None, docs: DataFrame, user) -> Data
     return both.distinct()
 
 
+def attach_records(docs: DataFrame, records: DataFrame, document: Column,
+                   xpath: Column) -> tuple[DataFrame, DataFrame]:
+    """Attach each record's bytes to ``document`` (id or path) at ``xpath``.
+
+    Returns (docs', results): the property becomes ``{name, length, digest}``
+    (the bytes stay with their record; of several records for one property the
+    last by ``req_id`` wins), the file name defaults to the record's id, and an
+    unknown document is a failure row."""
+    named = records.select(
+        "req_id", document.cast("string").alias("document"), xpath.cast("string").alias("xpath"),
+        F.coalesce("filename", F.col("req_id").cast("string")).alias("filename"),
+        F.octet_length("content").cast("long").alias("length"), F.md5("content").alias("digest"))
+    by_path = F.col("document").startswith("/")
+    blob = F.to_json(F.struct(F.col("filename").alias("name"), "length", "digest"))
+    changes = named.select("req_id", F.when(~by_path, F.col("document")).alias("doc_id"),
+                           F.when(by_path, F.col("document")).alias("doc_path"),
+                           F.col("xpath").alias("prop"), blob.alias("val"))
+    docs2, done = update_documents(docs, changes, seq_col="req_id", req_key="req_id", path_col="doc_path")
+    return docs2, named.join(done.select("req_id", "route", "error"), "req_id")
+
+
 def _attach(spark, inputs, params, store) -> DataFrame:
-    """Blob.Attach: attach each record's bytes to ``document`` at ``xpath``;
-    returns the blob (one row per input)."""
-    return inputs.select("req_id",
-                         params.get("document", F.lit(None)).cast("string").alias("document"),
-                         params.get("xpath", F.lit("file:content")).cast("string").alias("xpath"),
-                         F.col("filename"), F.octet_length("content").cast("long").alias("length"))
+    """Blob.Attach: returns the blob (one row per input), routed; the table
+    change is :func:`attach_records`."""
+    _, results = attach_records(store["docs"], inputs, params.get("document", F.lit(None)),
+                                params.get("xpath", F.lit("file:content")))
+    return results
 
 
 # batch operations over the uploads table, one per result kind

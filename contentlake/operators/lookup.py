@@ -27,6 +27,7 @@ from contentlake.operators.routing import FAILURE, SUCCESS, emit_original, union
 
 NO_REFERENCE = "no document reference"
 NOT_FOUND = "document not found"
+DEFAULT_REPO = "default"
 
 
 def _blank(c: Column) -> Column:
@@ -63,24 +64,39 @@ def requests_are_small(requests: DataFrame) -> bool:
 def get_document(requests: DataFrame, docs: DataFrame, id_col: str = "req_docid",
                  path_col: str = "req_path", doc_cols: list[str] | None = None,
                  prefix: str = "doc_", original: bool = False,
-                 small: bool | None = None) -> DataFrame:
+                 small: bool | None = None, repo_col: str | None = None) -> DataFrame:
     """Resolve each request to its document.
 
     Output: request columns, ``doc_*`` columns of the match (null on
     failure), ``route`` (success / failure) and ``error``. With
     ``original`` the requests are also passed through on ``original``.
     ``small`` is the caller's checked bound on ``requests`` (checked here
-    when not given).
+    when not given). With ``repo_col`` every key is a pair with the document's
+    ``repo``: a request is answered by the repository it names (blank:
+    ``default``), so several repositories can share ids and paths.
     """
     doc_cols = doc_cols or docs.columns
     kind, ref = reference(id_col, path_col)
+    within = lambda repo, key: F.concat(repo, F.lit("\u0001"), key)
+    if repo_col:
+        ref = within(F.when(~_blank(F.col(repo_col)), F.col(repo_col)).otherwise(F.lit(DEFAULT_REPO)), ref)
+    own = (lambda key: within(F.col("repo"), F.col(key))) if repo_col else F.col
     req = requests.withColumns({"_rk": kind, "_r": ref})
-    keyed = doc_keys(docs.select(*dict.fromkeys(["id", "path", *doc_cols])))
-    keyed = keyed.select(F.col("ref_kind").alias("_dk"), F.col("ref").alias("_d"),
-                         *_prefixed(keyed, doc_cols, prefix), F.lit(True).alias("_hit"))
     if small is None:
         small = requests_are_small(requests)
-    joined = preserving_lookup(req, keyed, ["_rk", "_r"], ["_dk", "_d"], small=small)
+    if small:
+        keyed = doc_keys(docs.select(*dict.fromkeys(["id", "path", *doc_cols, *(["repo"] if repo_col else [])])))
+        d = within(F.col("repo"), F.col("ref")) if repo_col else F.col("ref")
+        keyed = keyed.select(F.col("ref_kind").alias("_dk"), d.alias("_d"),
+                             *_prefixed(keyed, doc_cols, prefix), F.lit(True).alias("_hit"))
+        joined = preserving_lookup(req, keyed, ["_rk", "_r"], ["_dk", "_d"], small=True)
+    else:
+        # paths become ids on a thin projection; the payload moves once, by id
+        thin = docs.select(own("path").alias("_dk"), own("id").alias("_pi"))
+        req = req.join(thin, (req["_rk"] == "path") & (req["_r"] == thin["_dk"]), "left")
+        req = req.withColumn("_ri", F.when(F.col("_rk") == "path", F.col("_pi")).otherwise(F.col("_r"))).drop("_pi")
+        full = docs.select(own("id").alias("_d"), *_prefixed(docs, doc_cols, prefix), F.lit(True).alias("_hit"))
+        joined = req.join(full, req["_ri"] == full["_d"], "left").drop("_ri")
     out = joined.withColumns({
         "route": F.when(F.col("_hit"), F.lit(SUCCESS)).otherwise(F.lit(FAILURE)),
         "error": F.when(F.col("_hit"), F.lit(None).cast("string"))

@@ -29,6 +29,9 @@ from contentlake.operators.routing import FAILURE, SUCCESS
 PARENT_NOT_FOUND = "parent not found"
 ALREADY_EXISTS = "document already exists"
 DUPLICATE_IN_BATCH = "another request creates the same path"
+NO_NAME = "no parent path or name"
+ID_TAKEN = "document id already exists"
+DUPLICATE_ID = "another request creates the same id"
 MODEL_NOT_FOUND = "workflow model not found"
 EMPTY_PROPS = "map<string,variant>"
 # change sets (updated / trashed / deleted / cancelled keys) up to this many
@@ -78,8 +81,9 @@ def create_documents(docs: DataFrame, requests: DataFrame, *, req_key: str = "re
     ``dc:title`` = title or name; dynamic ``properties`` are JSON-or-string
     (null skipped); ``blob_ref`` = {xpath, batch, index} column names adds an
     ``{upload-batch, upload-fileId}`` reference when all three are set.
-    Failures: missing parent, existing path, or a second request for the
-    same path (the smallest request key wins).
+    Failures: no parent path or name, missing parent, existing path or id, or
+    a second request for the same path or id (the smallest request key that
+    has no other failure wins). Every request gives exactly one result row.
     """
     t = F.coalesce(F.col(title), F.col(name)) if title else F.col(name)
     props = dict(properties or {})
@@ -95,7 +99,9 @@ def create_documents(docs: DataFrame, requests: DataFrame, *, req_key: str = "re
         F.col(doc_type).alias("_type"), t.alias("_title"),
         (F.col(new_id) if new_id else F.lit(None).cast("string")).alias("_nid"),
         props_col.alias("_props"))
-    req = req.withColumn("_path", child_path(F.col("_pp"), F.col("_name")))
+    req = req.withColumn("_path", child_path(F.col("_pp"), F.col("_name")))  # null if either is
+    doc_id = F.coalesce(F.col("_nid"), F.concat(F.lit("d-"), F.substring(F.sha2(F.col("_path"), 256), 1, 24)))
+    req = req.withColumn("_id", doc_id)
     # One pass over docs answers both questions (does the parent exist, is
     # the new path taken): each request contributes two path keys, matched
     # against the (path, id) projection of docs. A proven-small batch is
@@ -106,20 +112,29 @@ def create_documents(docs: DataFrame, requests: DataFrame, *, req_key: str = "re
         F.struct(F.lit("parent").alias("kind"), F.col("_pp").alias("key")),
         F.struct(F.lit("self").alias("kind"), F.col("_path").alias("key")))).alias("_k")) \
         .select("_req", "_k.kind", "_k.key")
+    wanted = req.where(F.col("_id").isNotNull()).select(F.col("_id").alias("_w")).distinct()
     if requests_are_small(requests):
-        keys = F.broadcast(keys)
+        keys, wanted = F.broadcast(keys), F.broadcast(wanted)
+    taken = docs.select("id").join(wanted, F.col("id") == F.col("_w")).select("_w").distinct()
     found = (docs.select("path", "id").join(keys, F.col("path") == F.col("key"))
                  .groupBy("_req")
                  .agg(F.max(F.when(F.col("kind") == "parent", F.col("id"))).alias("_parent_id"),
                       F.max(F.when(F.col("kind") == "self", F.col("id"))).alias("_existing_id")))
     first = req.groupBy("_path").agg(F.min("_req").alias("_first"))
-    j = (req.join(found, "_req", "left").join(first, "_path")
-            .withColumn("_exists", F.col("_existing_id").isNotNull()))
-    error = (F.when(F.col("_parent_id").isNull(), F.lit(PARENT_NOT_FOUND))
-              .when(F.col("_exists"), F.lit(ALREADY_EXISTS))
+    j = (req.join(found, "_req", "left").join(first, "_path", "left")
+            .join(taken, req["_id"] == taken["_w"], "left"))
+    error = (F.when(F.col("_path").isNull(), F.lit(NO_NAME))
+              .when(F.col("_parent_id").isNull(), F.lit(PARENT_NOT_FOUND))
+              .when(F.col("_existing_id").isNotNull(), F.lit(ALREADY_EXISTS))
+              .when(F.col("_w").isNotNull(), F.lit(ID_TAKEN))
               .when(F.col("_req") != F.col("_first"), F.lit(DUPLICATE_IN_BATCH)))
-    doc_id = F.coalesce(F.col("_nid"), F.concat(F.lit("d-"), F.substring(F.sha2(F.col("_path"), 256), 1, 24)))
-    j = j.withColumns({"_err": error, "_id": doc_id})
+    j = j.withColumn("_err", error)
+    if new_id:   # derived ids are as unique as the paths
+        owner = (j.where(F.col("_err").isNull()).groupBy(F.col("_id").alias("_oid"))
+                  .agg(F.min("_req").alias("_owner")))
+        j = j.join(owner, j["_id"] == owner["_oid"], "left").withColumn(
+            "_err", F.when(F.col("_err").isNull() & (F.col("_req") != F.col("_owner")), F.lit(DUPLICATE_ID))
+                     .otherwise(F.col("_err")))
     results = j.select(
         F.col("_req").alias(req_key),
         F.when(F.col("_err").isNull(), F.lit(SUCCESS)).otherwise(F.lit(FAILURE)).alias("route"),
@@ -135,20 +150,27 @@ def create_documents(docs: DataFrame, requests: DataFrame, *, req_key: str = "re
 
 def _latest_values(updates: DataFrame, doc_col: str, prop_col: str, val_col: str,
                    seq_col: str | None) -> DataFrame:
-    """Last value per (document, property) by request order; ``max_by`` is
-    partially aggregated, so a hot document is reduced map-side."""
-    seq = F.col(seq_col) if seq_col else F.lit(0)
+    """Last value per (document, property) by request order (without an order:
+    the greatest value, so that reruns agree); ``max_by`` is partially
+    aggregated, so a hot document is reduced map-side."""
+    seq = F.struct(seq_col, val_col) if seq_col else F.col(val_col)
     return (updates.groupBy(doc_col, prop_col)
                    .agg(F.max_by(F.col(val_col), seq).alias("_v")))
 
 
 def update_documents(docs: DataFrame, updates: DataFrame, *, doc_col: str = "doc_id",
                      prop_col: str = "prop", val_col: str = "val", seq_col: str | None = None,
-                     req_key: str | None = None) -> tuple[DataFrame, DataFrame]:
+                     req_key: str | None = None,
+                     path_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Set dynamic properties (long-form updates) and keep all others.
 
-    Values are JSON-or-string; null values are skipped. Results: one row per
-    update row (or per ``req_key``) - success when the document exists."""
+    The document is named by id, or with ``path_col`` by path where the id is
+    blank. Values are JSON-or-string; null values are skipped; ``seq_col``
+    orders the updates of one property. Results: one row per update row (or
+    per ``req_key``) - success when the document exists."""
+    if path_col:
+        found = get_document(updates, docs, doc_col, path_col, doc_cols=["id"], prefix="_at_")
+        updates = found.withColumn(doc_col, F.coalesce("_at_id", doc_col)).drop("_at_id", "route", "error")
     clean = updates.where(F.col(val_col).isNotNull())
     latest = _latest_values(clean, doc_col, prop_col, val_col, seq_col)
     new_props = (latest.groupBy(doc_col)
@@ -160,9 +182,9 @@ def update_documents(docs: DataFrame, updates: DataFrame, *, doc_col: str = "doc
     if small_updates:
         new_props = F.broadcast(new_props)
     d = docs.join(new_props, docs["id"] == new_props[doc_col], "left").drop(doc_col)
+    old = F.coalesce("properties", _empty_props())
     merged = F.when(F.col("_new").isNull(), F.col("properties")).otherwise(F.map_concat(
-        F.map_filter(F.col("properties"), lambda k, v: ~F.map_contains_key(F.col("_new"), k)),
-        F.col("_new")))
+        F.map_filter(old, lambda k, v: ~F.map_contains_key(F.col("_new"), k)), F.col("_new")))
     docs2 = d.withColumn("properties", merged).drop("_new")
     keys = [req_key] if req_key else [doc_col, prop_col]
     ids = docs.select(F.col("id").alias("_id"), F.lit(True).alias("_hit"))
@@ -209,8 +231,9 @@ def delete_documents(docs: DataFrame, requests: DataFrame, id_col: str = "req_do
 
 def attach_blobs(docs: DataFrame, requests: DataFrame, *, req_key: str = "req_id",
                  doc_col: str = "req_docid", xpath_col: str = "xpath", batch_col: str = "batch",
-                 index_col: str = "idx") -> tuple[DataFrame, DataFrame]:
+                 index_col: str = "idx", path_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Set the property at xpath to ``{upload-batch, upload-fileId}``.
+    ``path_col`` names the document where the id is blank.
 
     Blank batch or index -> failure ``No upload batch`` (no lookup);
     unknown document -> failure."""
@@ -221,8 +244,8 @@ def attach_blobs(docs: DataFrame, requests: DataFrame, *, req_key: str = "req_id
                              F.col(index_col).alias("upload-fileId")))
     upd = ok.select(F.col(req_key), F.col(doc_col).alias("doc_id"),
                     F.coalesce(F.col(xpath_col), F.lit("file:content")).alias("prop"),
-                    ref.alias("val"), F.col(req_key).alias("_seq"))
-    docs2, res = update_documents(docs, upd, seq_col="_seq", req_key=req_key)
+                    ref.alias("val"), F.col(req_key).alias("_seq"), *([path_col] if path_col else []))
+    docs2, res = update_documents(docs, upd, seq_col="_seq", req_key=req_key, path_col=path_col)
     failed = guarded.where(F.col("_blank")).select(
         F.col(req_key), F.col(doc_col).alias("doc_id"), F.lit(FAILURE).alias("route"),
         F.lit(NO_BATCH).alias("error"))
@@ -259,12 +282,16 @@ def cancel_workflows(docs: DataFrame, workflows: DataFrame, requests: DataFrame,
                      req_key: str = "req_id", model_col: str = "workflow",
                      id_col: str = "req_docid", path_col: str = "req_path") -> tuple[DataFrame, DataFrame]:
     """Cancel every running instance with the given name on each document:
-    one success row per cancelled instance (none when nothing matches);
-    unresolved documents fail."""
+    one success row per cancelled instance, under the smallest request key that
+    asks for it; other requests find it no longer running and get no row, like
+    requests that match nothing. Unresolved documents fail."""
     res, small = _resolve(docs, requests, id_col, path_col)
     ok = res.where(F.col("route") == SUCCESS)
     running = workflows.where(F.col("state") == "running").select(
         F.col("doc_id").alias("_wd"), F.col("name").alias("_wn"), "workflow_id")
+    # one request per (document, name): instances and requests never multiply
+    ok = (ok.groupBy(F.col("doc_id").alias("_od"), F.col(model_col).alias("_om"))
+            .agg(F.min_by(F.struct(*ok.columns), F.col(req_key)).alias("_ok")).select("_ok.*"))
     okb = _maybe_broadcast(ok, small and is_narrow(ok))   # workflows stream through
     hits = (running.join(okb, (okb["doc_id"] == running["_wd"]) & (okb[model_col] == running["_wn"]))
                    .drop("_wd", "_wn"))

@@ -93,6 +93,18 @@ def split_entries(df: DataFrame, entries_col: str = "entries", pos_col: str = "e
                            *[F.col(f"_e.{f}").alias(f) for f in fields if f not in exploded.columns])
 
 
+def gate_empty_input(requests: DataFrame, allow: bool = False) -> DataFrame:
+    """The requests, or - if there are none and ``allow`` is set - one request
+    with null columns, so that an operator with configured arguments runs once.
+    By default an empty input stays empty."""
+    if not allow:
+        return requests
+    one = requests.sparkSession.range(1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in requests.schema.fields], F.lit(1).alias("_one"))
+    some = requests.limit(1).select(F.lit(1).alias("_one"))
+    return requests.unionByName(one.join(some, "_one", "left_anti").drop("_one"))
+
+
 def run_operation(spark: SparkSession, name: str, inputs: DataFrame | None = None,
                   params: dict[str, Column | str | None] | None = None, split: bool = True,
                   original: bool = False, key: str = "req_id",
@@ -138,7 +150,8 @@ def run_operation(spark: SparkSession, name: str, inputs: DataFrame | None = Non
                          F.to_json(F.struct(*payload)).alias("content"))
     else:
         out = res
-    out = routed(out, SUCCESS)
+    if "route" not in out.columns:   # an operation may route its own rows
+        out = routed(out, SUCCESS)
     if failed is not None:
         out = union_routes(out, failed.select(key, "route", "error"))
     if original and inputs is not None:

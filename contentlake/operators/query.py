@@ -16,6 +16,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,8 +25,9 @@ from pyspark.sql import functions as F
 from contentlake.functions.args import (
     DEFAULT_MAX_RESULTS, DEFAULT_PAGE_INDEX, DEFAULT_PAGE_SIZE, split_params_text,
 )
-from contentlake.operators.routing import FAILURE, NEXT_PAGE, SUCCESS
+from contentlake.operators.routing import FAILURE, NEXT_PAGE, ORIGINAL, SUCCESS, union_routes
 from contentlake.plans.numbering import global_position
+from contentlake.session import materialize
 
 
 def sort_columns(sort_by: str | Iterable[str] | None, sort_order: str | None,
@@ -96,8 +98,12 @@ def next_pages(df: DataFrame, group_cols: list[str] | None = None,
 def all_pages(df: DataFrame, sort_by=None, sort_order: str | None = None,
               page_size: int = DEFAULT_PAGE_SIZE, max_results: int | None = None,
               tie_break: str | None = "id", pos_col: str = "pos") -> DataFrame:
-    """Every page of the sorted result: what feeding ``next_page`` back into
-    the query until exhausted produces, in one job.
+    """Every page of the sorted result in one job. Without ``max_results`` that
+    is what feeding ``next_page`` back into the query until exhausted produces.
+
+    ``max_results`` here caps the whole listing. That is another rule than the
+    one of :func:`next_pages`, whose records carry the full results count: a
+    first request's cap limits its own page and none of those that follow.
 
     Capped results (at most ``max_results`` rows) are numbered after a top-k;
     uncapped ones use the two-pass global position (no single-task window).
@@ -138,21 +144,56 @@ def run_provider(spark: SparkSession, name: str, params: str | list | None = Non
     return page(df, **paging) if paging else df
 
 
+def _carried(sql: str, args, by: list[str], sort_order: str | None) -> dict[str, Column]:
+    """What a next page or a failure must carry to ask again."""
+    text = lambda v: F.lit(v or None).cast("string")
+    return {"query": F.lit(sql), "sort_by": text(",".join(by)), "sort_order": text(sort_order),
+            "params": text(json.dumps(args, default=str) if args else None)}
+
+
 def query_or_failure(spark: SparkSession, name: str, sql: str, args=None,
                      page_size: int = DEFAULT_PAGE_SIZE, page_index: int = DEFAULT_PAGE_INDEX,
                      max_results: int = DEFAULT_MAX_RESULTS, sort_by=None, sort_order=None,
                      tie_break: str | None = "id") -> DataFrame:
-    """Run one query; when it fails to analyse, return a single failure row
-    that echoes the effective parameters (and no page rows)."""
-    echo = {"query_name": F.lit(name), "page_size": F.lit(str(page_size)),
+    """Run one query; when it fails - in analysis, or while the page is
+    computed - return a single failure row with the whole message. Every row
+    echoes the effective parameters: query, sort, params and paging.
+
+    The page (at most ``page_size`` rows, kept in the checkpoint folder) is
+    computed here, so that a failing cast is a failure row and not a dead job."""
+    by = [sort_by] if isinstance(sort_by, str) else list(sort_by or [])
+    echo = {"query_name": F.lit(name), **_carried(sql, args, by, sort_order), "page_size": F.lit(str(page_size)),
             "page_index": F.lit(str(page_index)), "max_results": F.lit(str(max_results))}
     try:
         df = run_query(spark, sql, args)
-        df.schema  # force analysis  # noqa: B018
-        rows = page(df, sort_by, sort_order, page_size, page_index, max_results, tie_break)
+        rows = materialize(page(df, sort_by, sort_order, page_size, page_index, max_results, tie_break))
         return rows.withColumns({**echo, "route": F.lit(SUCCESS),
                                  "error": F.lit(None).cast("string")})
-    except Exception as exc:  # analysis errors of user query text
-        msg = str(exc).strip().splitlines()[0][:200] if str(exc).strip() else type(exc).__name__
+    except Exception as exc:  # the user's query text may be anything
+        msg = str(exc).strip() or type(exc).__name__
         return spark.range(1).select(*[v.alias(k) for k, v in echo.items()],
                                      F.lit(FAILURE).alias("route"), F.lit(msg).alias("error"))
+
+
+def paged_query(spark: SparkSession, name: str, sql: str | None = None, args=None,
+                original: DataFrame | None = None, page_size: int = DEFAULT_PAGE_SIZE,
+                page_index: int = DEFAULT_PAGE_INDEX, max_results: int = DEFAULT_MAX_RESULTS,
+                sort_by=None, sort_order: str | None = None) -> DataFrame:
+    """One call for a paged query (``sql``) or a registered provider (``name``
+    alone): the page's rows on ``success`` (or one ``failure`` row), the next
+    page's record, with the query, sort and params it needs, on ``next_page``,
+    and the request that started it on ``original``."""
+    if sql is None:
+        if name not in PROVIDERS:
+            raise KeyError(f"unknown page provider {name!r}")
+        sql, args = PROVIDERS[name], split_params_text(args) if isinstance(args, str) else list(args or [])
+    out = query_or_failure(spark, name, sql, args or None, page_size, page_index, max_results, sort_by, sort_order)
+    if "pos" in out.columns:   # the page could be computed
+        by = [sort_by] if isinstance(sort_by, str) else list(sort_by or [])
+        more = next_pages(run_query(spark, sql, args or None), page_size=page_size, page_index=page_index,
+                          extra={"query_name": F.lit(name), **_carried(sql, args, by, sort_order)})
+        more = more.withColumns({c: F.col(c).cast("string") for c in ("page_size", "page_index", "max_results")})
+        out = union_routes(out, more)
+    if original is not None:
+        out = union_routes(out, original.withColumn("route", F.lit(ORIGINAL)))
+    return out

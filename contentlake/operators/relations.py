@@ -18,7 +18,7 @@ from contentlake.operators.lookup import get_document, requests_are_small
 from contentlake.operators.routing import FAILURE, SUCCESS, emit_original, union_routes
 from contentlake.plans.numbering import position_within
 
-NO_BATCH = "No upload batch"
+NO_BATCH = "No upload batch"   # fixed value: users see it in nx-error
 BLOB_NOT_FOUND = "blob not found"
 # blob requests up to this many rows have their (doc, xpath) keys broadcast
 # into the blob scan, so only matched blobs' bytes ever leave their files
@@ -69,9 +69,11 @@ def workflows_named(workflows: DataFrame, name: str, name_col: str = "name") ->
 
 def get_blob(requests: DataFrame, blobs: DataFrame, doc_col: str = "req_docid",
              xpath_col: str | None = "req_xpath", original: bool = True,
-             blob_cols: list[str] | None = None) -> DataFrame:
+             blob_cols: list[str] | None = None, path_col: str | None = None,
+             docs: DataFrame | None = None) -> DataFrame:
     """Blob of (document, xpath) per request (xpath defaults to the main
-    file). Missing -> failure; the request also goes to ``original``.
+    file). Missing -> failure; the request also goes to ``original``. With
+    ``path_col`` and ``docs`` a request with a blank id names its document by path.
 
     When the request side is proven small its keys are broadcast, so the
     blob table is scanned in place and only matched blobs move; otherwise a
@@ -79,6 +81,9 @@ def get_blob(requests: DataFrame, blobs: DataFrame, doc_col: str = "req_docid",
     blob_cols = blob_cols or ["filename", "mime_type", "length", "digest", "content"]
     xp = F.coalesce(F.col(xpath_col), F.lit(DEFAULT_XPATH)) if xpath_col else F.lit(DEFAULT_XPATH)
     req = requests.withColumns({"_d": F.col(doc_col), "_x": xp})
+    if path_col:
+        found = get_document(req, docs, doc_col, path_col, doc_cols=["id"], prefix="_at_")
+        req = found.withColumn("_d", F.coalesce("_at_id", "_d")).drop("_at_id", "route", "error")
     b = blobs.select(F.col("doc_id").alias("_bd"), F.col("xpath").alias("_bx"), *blob_cols,
                      F.lit(True).alias("_hit"))
     small = row_count_at_most(requests, BLOB_REQUEST_BROADCAST_ROWS)
@@ -105,8 +110,12 @@ def resolve_blob_refs(refs: DataFrame, uploads: DataFrame, batch_col: str = "upl
                       idx_col: str = "upload_file_id",
                       upload_cols: list[str] | None = None) -> DataFrame:
     """Document -> uploaded blob via its ``{upload-batch, upload-fileId}``
-    reference: a two-column equi-join, bytes projected last."""
+    reference: a two-column equi-join, bytes projected last. A reference to
+    nothing is a failure row."""
     upload_cols = upload_cols or ["filename", "length"]
     u = uploads.select(F.col("batch").alias("_b"), F.col("idx").alias("_i"), *upload_cols)
-    return (refs.join(u, (refs[batch_col] == u["_b"]) & (refs[idx_col] == u["_i"]))
-                .drop("_b", "_i"))
+    out = refs.join(u, (refs[batch_col] == u["_b"]) & (refs[idx_col] == u["_i"]), "left")
+    hit = F.col("_b").isNotNull()
+    return out.withColumns({
+        "route": F.when(hit, F.lit(SUCCESS)).otherwise(F.lit(FAILURE)),
+        "error": F.when(~hit, F.lit(BLOB_NOT_FOUND))}).drop("_b", "_i")

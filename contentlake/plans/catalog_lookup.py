@@ -118,3 +118,27 @@ def get_document_json(spark, sf):
                       F.when(ok, F.lit("document")).alias("entity"),
                       F.col("doc_id").alias("docid"),
                       F.when(ok, ej.prefixed_entity_json("doc_")).alias("content"))
+
+
+@query("get_document_shuffle", same_oracle_as="get_document")
+def get_document_shuffle(spark, sf):
+    """The lookup as planned for a request side that isn't small."""
+    t = tables(spark, sf)
+    return lookup.get_document(repo.requests(t), repo.docs(t), doc_cols=DOC_OUT, small=False)
+
+
+@query("get_document_multi_repo", oracle=f"""
+with {RESOLVED_REQUESTS}
+select req_id, req_docid, req_path, case when req_id % 3 = 0 then 'archive' when req_id % 3 = 1 then '' end req_repo,
+       doc_id, case when req_id % 3 = 0 then 'Old ' || doc_title else doc_title end doc_title,
+       case when doc_id is null then null when req_id % 3 = 0 then 'archive' else 'default' end doc_repo,
+       case when doc_id is null then 'failure' else 'success' end route,
+       case when doc_id is null then {ERROR_OF_MISS} end error
+from r_res""")
+def get_document_multi_repo(spark, sf):
+    """Two repositories with the same ids and paths: one answer per request."""
+    t = tables(spark, sf)
+    docs = repo.docs(t).select("id", "path", "title", F.lit("default").alias("repo"))
+    both = docs.unionByName(docs.withColumns({"title": F.concat(F.lit("Old "), "title"), "repo": F.lit("archive")}))
+    reqs = repo.requests(t).withColumn("req_repo", F.when(F.col("req_id") % 3 == 0, "archive").when(F.col("req_id") % 3 == 1, ""))
+    return lookup.get_document(reqs, both, doc_cols=["id", "title", "repo"], repo_col="req_repo")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from contentlake.operators import blobs, mutate
 from contentlake.plans.registry import query
-from contentlake.plans.sql_snippets import ERROR_OF_MISS, RESOLVED_REQUESTS
+from contentlake.plans.sql_snippets import ERROR_OF_MISS, NUM_TEXT, RESOLVED_REQUESTS
 from contentlake.session import materialize, shared_dir
 from contentlake.sources import repository as repo
 from contentlake.sources import snapshots
@@ -50,17 +50,30 @@ def create_document(spark, sf):
     return results
 
 
-@query("update_document", oracle="""
+# ids of everything _with_notes holds: the base tree, a folder per source, the notes
+_FOLDERS = """
+folders as (select 'd-' || substring(sha256('/' || source), 1, 24) id, '/' || source path, source title
+            from (select distinct source from documents))"""
+_ALL_DOCS = f"""{_FOLDERS},
+every as (select id, path from v_docs union all select id, path from folders
+          union all select id, path from v_notes where lang <> 'de')"""
+
+
+@query("update_document", oracle=f"""
+with {_FOLDERS}
 select id doc_id, 'dc:title' key, title value from v_notes where lang <> 'de'
+union all select id, 'dc:title', title from folders
 union all select id, 'note:lang', lang from v_notes where lang <> 'de'
 union all select u.doc_id, u.prop, u.val from v_updates u join v_notes n on n.id = u.doc_id
-  where n.lang <> 'de'""")
+  where n.lang <> 'de'
+union all select doc_id, prop,
+  case when prop in ('cust:acctbal', 'ord:totalprice') then {NUM_TEXT.format(v='val')} else val end
+  from v_props""")
 def update_document(spark, sf):
     t = tables(spark, sf)
     docs, _ = _with_notes(t)
     docs2, _ = mutate.update_documents(docs, repo.updates(t))
-    notes = docs2.where(F.col("type") == "Note")
-    return notes.select(F.col("id").alias("doc_id"), F.explode("properties").alias("key", "v")) \
+    return docs2.select(F.col("id").alias("doc_id"), F.explode("properties").alias("key", "v")) \
         .select("doc_id", "key", F.col("v").cast("string").alias("value"))
 
 
@@ -82,15 +95,15 @@ def _label_requests(t, col, value):
                      F.lit(None).cast("string").alias("req_path"))
 
 
-@query("trash_document", oracle="""
+@query("trash_document", oracle=f"""
+with {_ALL_DOCS}
 select n.id, coalesce(l.toxic = 1, false) trashed
-from v_notes n left join labels l on n.id = 'd' || cast(l.doc_id as varchar)
-where n.lang <> 'de'""")
+from every n left join labels l on n.id = 'd' || cast(l.doc_id as varchar)""")
 def trash_document(spark, sf):
     t = tables(spark, sf)
     docs, _ = _with_notes(t)
     docs2, _ = mutate.trash_documents(docs, _label_requests(t, "toxic", 1))
-    return docs2.where(F.col("type") == "Note").select("id", "trashed")
+    return docs2.select("id", "trashed")
 
 
 @query("trash_results", oracle="""
@@ -107,69 +120,73 @@ def trash_results(spark, sf):
     return res
 
 
-@query("delete_document", oracle="""
-select n.id from v_notes n left join labels l on n.id = 'd' || cast(l.doc_id as varchar)
-where n.lang <> 'de' and coalesce(l.quality, 1) <> 0""")
+@query("delete_document", oracle=f"""
+with {_ALL_DOCS}
+select n.id from every n left join labels l on n.id = 'd' || cast(l.doc_id as varchar)
+where coalesce(l.quality, 1) <> 0""")
 def delete_document(spark, sf):
     t = tables(spark, sf)
     docs, _ = _with_notes(t)
     docs2, _ = mutate.delete_documents(docs, _label_requests(t, "quality", 0))
-    return docs2.where(F.col("type") == "Note").select("id")
+    return docs2.select("id")
 
 
 def _attach_requests(t):
-    cv = t.conversations.select("conv_id", "turn", "role").where(F.col("turn") == 0)
+    cv = t.conversations.select("conv_id", "turn", "role")
     batch = F.concat(F.lit("b"), F.col("conv_id").cast("string"))
-    return cv.select(F.col("conv_id").alias("req_id"),
+    turn = F.col("turn").cast("string")
+    return cv.select(F.concat(F.col("conv_id").cast("string"), F.lit("-"), turn).alias("req_id"),
                      F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("req_docid"),
-                     F.lit("file:content").alias("xpath"),
+                     F.when(F.col("turn") == 0, "file:content").otherwise(F.concat(F.lit("file:turn"), turn)).alias("xpath"),
                      F.when(F.col("role") == "system", F.lit(" ")).otherwise(batch).alias("batch"),
-                     F.lit("0").alias("idx"))
+                     turn.alias("idx"))
 
 
 @query("attach_blob", oracle="""
-with r as (select conv_id req_id, 'c' || cast(conv_id as varchar) doc_id, role,
-                  'b' || cast(conv_id as varchar) batch from conversations where turn = 0)
+with r as (select cast(conv_id as varchar) || '-' || cast(turn as varchar) req_id,
+                  'c' || cast(conv_id as varchar) doc_id, role, turn,
+                  'b' || cast(conv_id as varchar) batch from conversations)
 select r.req_id, r.doc_id,
        case when role = 'system' or c.c_custkey is null then 'failure' else 'success' end route,
        case when role = 'system' then 'No upload batch'
             when c.c_custkey is null then 'document not found' end error,
        case when role <> 'system' and c.c_custkey is not null then batch end upload_batch,
-       case when role <> 'system' and c.c_custkey is not null then '0' end upload_file_id
+       case when role <> 'system' and c.c_custkey is not null then cast(turn as varchar) end upload_file_id
 from r left join customer c on r.doc_id = 'c' || cast(c.c_custkey as varchar)""")
 def attach_blob(spark, sf):
     t = tables(spark, sf)
     docs = repo.docs_with_properties(t)
-    docs2, res = mutate.attach_blobs(docs, _attach_requests(t))
-    refs = docs2.select(F.col("id").alias("_id"),
-                        F.try_variant_get(F.col("properties")["file:content"], '$["upload-batch"]', "string")
-                        .alias("upload_batch"),
-                        F.try_variant_get(F.col("properties")["file:content"], '$["upload-fileId"]', "string")
-                        .alias("upload_file_id"))
-    out = res.join(refs, res["doc_id"] == refs["_id"], "left").drop("_id")
+    reqs = _attach_requests(t)
+    docs2, res = mutate.attach_blobs(docs, reqs)
+    held = docs2.select(F.col("id").alias("_id"), F.explode("properties").alias("_x", "v")).select(
+        "_id", "_x", F.try_variant_get("v", '$["upload-batch"]', "string").alias("upload_batch"),
+        F.try_variant_get("v", '$["upload-fileId"]', "string").alias("upload_file_id"))
+    res = res.join(reqs.select("req_id", "xpath"), "req_id")
+    out = res.join(held, (res["doc_id"] == held["_id"]) & (res["xpath"] == held["_x"]), "left").drop("_id", "_x")
     return out.select("req_id", "doc_id", "route", "error",
                       F.when(F.col("route") == "success", F.col("upload_batch")).alias("upload_batch"),
                       F.when(F.col("route") == "success", F.col("upload_file_id")).alias("upload_file_id"))
 
 
 @query("create_with_blob", oracle="""
-select 'conv_' || cast(conv_id as varchar) name, '/conv_' || cast(conv_id as varchar) path,
+select 'conv_' || cast(conv_id as varchar) || '_' || cast(turn as varchar) name,
+       '/conv_' || cast(conv_id as varchar) || '_' || cast(turn as varchar) path,
        case when role <> 'system' then 'b' || cast(conv_id as varchar) end upload_batch,
-       case when role <> 'system' then '0' end upload_file_id
-from conversations where turn = 0""")
+       case when role <> 'system' then cast(turn as varchar) end upload_file_id
+from conversations
+union all select name, path, null, null from v_docs""")
 def create_with_blob(spark, sf):
     t = tables(spark, sf)
-    cv = t.conversations.select("conv_id", "turn", "role").where(F.col("turn") == 0)
-    reqs = cv.select(F.col("conv_id").alias("req_id"), F.lit("/").alias("parent_path"),
-                     F.concat(F.lit("conv_"), F.col("conv_id").cast("string")).alias("name"),
+    cv = t.conversations.select("conv_id", "turn", "role")
+    name = F.concat_ws("_", F.lit("conv"), F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    reqs = cv.select(name.alias("req_id"), F.lit("/").alias("parent_path"), name.alias("name"),
                      F.lit("File").alias("type"), F.lit("file:content").alias("xpath"),
                      F.concat(F.lit("b"), F.col("conv_id").cast("string")).alias("batch"),
-                     F.when(F.col("role") != "system", F.lit("0")).alias("idx"))
+                     F.when(F.col("role") != "system", F.col("turn").cast("string")).alias("idx"))
     docs2, _ = mutate.create_documents(repo.docs_with_properties(t), reqs, title=None,
                                        blob_ref={"xpath": "xpath", "batch": "batch", "index": "idx"})
-    conv = docs2.where(F.col("name").startswith("conv_"))
-    ref = F.col("properties")["file:content"]
-    return conv.select("name", "path",
+    ref = F.try_element_at("properties", F.lit("file:content"))
+    return docs2.select("name", "path",
                        F.try_variant_get(ref, '$["upload-batch"]', "string").alias("upload_batch"),
                        F.try_variant_get(ref, '$["upload-fileId"]', "string").alias("upload_file_id"))
 
@@ -229,10 +246,10 @@ def sink_blobs(spark, sf):
     return back.select("batch", "idx", "filename", F.octet_length("content").cast("long").alias("length"))
 
 
-@query("sink_repo_snapshot", oracle="""
+@query("sink_repo_snapshot", oracle=f"""
+with {_ALL_DOCS}
 select n.id, n.path, coalesce(l.toxic = 1, false) trashed, 'default' repo
-from v_notes n left join labels l on n.id = 'd' || cast(l.doc_id as varchar)
-where n.lang <> 'de'""")
+from every n left join labels l on n.id = 'd' || cast(l.doc_id as varchar)""")
 def sink_repo_snapshot(spark, sf):
     t = tables(spark, sf)
     docs, _ = _with_notes(t)
@@ -240,7 +257,7 @@ def sink_repo_snapshot(spark, sf):
     out = shared_dir(spark, "snapshot")
     snapshots.write_snapshot(docs2, out)
     back = spark.read.parquet(out)
-    return back.where(F.col("type") == "Note").select("id", "path", "trashed", "repo")
+    return back.select("id", "path", "trashed", "repo")
 
 
 def _workflow_requests(t):
@@ -270,20 +287,32 @@ def start_workflow(spark, sf):
 
 
 @query("cancel_workflow", oracle=f"""
-with {RESOLVED_REQUESTS}
-select r_res.req_id, req_docid, req_path, 'signup' workflow, r_res.doc_id, w.workflow_id,
+with {RESOLVED_REQUESTS}, winner as (select doc_id, min(req_id) req_id from r_res where doc_id is not null group by doc_id)
+select r.req_id, req_docid, req_path, 'signup' workflow, r.doc_id, w.workflow_id,
        'success' route, cast(null as varchar) error
-from r_res join events e on e.event_id = r_res.req_id
-join v_workflows w on w.doc_id = r_res.doc_id and w.name = 'signup'
-where e.event_type = 'view'
+from r_res r join winner x on r.req_id = x.req_id
+join v_workflows w on w.doc_id = r.doc_id and w.name = 'signup'
 union all
-select r_res.req_id, req_docid, req_path, 'signup', null, null, 'failure', {ERROR_OF_MISS}
-from r_res join events e on e.event_id = r_res.req_id
-where e.event_type = 'view' and r_res.doc_id is null""")
+select req_id, req_docid, req_path, 'signup', null, null, 'failure', {ERROR_OF_MISS}
+from r_res where doc_id is null""")
 def cancel_workflow(spark, sf):
     t = tables(spark, sf)
-    ev = t.events.select(F.col("event_id").alias("req_id"), "event_type")
-    reqs = (repo.requests(t).join(ev, "req_id").where(F.col("event_type") == "view")
-                .select("req_id", "req_docid", "req_path", F.lit("signup").alias("workflow")))
+    reqs = repo.requests(t).withColumn("workflow", F.lit("signup"))
     _, res = mutate.cancel_workflows(repo.docs(t), repo.workflows(t), reqs)
     return res
+
+
+@query("workflow_table", oracle=f"""
+with {RESOLVED_REQUESTS}, hit as (select distinct doc_id from r_res where doc_id is not null)
+select workflow_id, w.doc_id, name, case when name = 'signup' and h.doc_id is not null then 'canceled' else state end state
+from v_workflows w left join hit h on w.doc_id = h.doc_id
+union all
+select 'wf-' || cast(r.req_id as varchar), r.doc_id, 'SerialDocumentReview', 'running'
+from r_res r join events e on e.event_id = r.req_id where r.doc_id is not null and e.event_type <> 'click'""")
+def workflow_table(spark, sf):
+    """The whole workflow table after starting and then cancelling."""
+    t = tables(spark, sf)
+    models = spark.createDataFrame([(m,) for m in WORKFLOW_MODELS], "name string")
+    started, _ = mutate.start_workflows(repo.docs(t), repo.workflows(t), _workflow_requests(t), models)
+    after, _ = mutate.cancel_workflows(repo.docs(t), started, repo.requests(t).withColumn("workflow", F.lit("signup")))
+    return after.select("workflow_id", "doc_id", "name", "state")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from contentlake.functions import args
 from contentlake.operators import builtin_operations as ops
-from contentlake.operators.operations import context_map, run_operation
+from contentlake.operators.lookup import get_children
+from contentlake.operators.operations import context_map, gate_empty_input, run_operation
 from contentlake.operators.routing import SUCCESS
 from contentlake.plans.registry import query
 from contentlake.plans.sql_snippets import RESOLVED_REQUESTS
@@ -36,15 +37,25 @@ def op_void(spark, sf):
                          store={"collections": _collections(t)})
 
 
-@query("empty_input_gate", oracle=f"""
-with {COLLECTIONS_SQL}
-select "user", name, 'success' route, cast(null as varchar) error from coll""")
+@query("empty_input_gate", oracle="""
+select 'allowed' flag, id child_id, 'success' route from v_docs where parent_id = 'root'
+union all
+select 'given', id, 'success' from v_docs where parent_id = 'root'""")
 def empty_input_gate(spark, sf):
-    """With no request at all the operation still runs once (the host's
-    'allow empty input' flag), here with an empty search term."""
+    """Children of the configured path. Without any request nothing runs, unless
+    the flag allows an empty input: then it runs once. With requests the flag
+    changes nothing."""
     t = tables(spark, sf)
-    return run_operation(spark, "User.GetCollections", params={"searchTerm": ""},
-                         store={"collections": _collections(t)})
+    docs, reqs = repo.docs(t), repo.requests(t).select("req_id")
+    none = reqs.where("req_id < 0")
+    cases = {"default": gate_empty_input(none), "allowed": gate_empty_input(none, allow=True),
+             "given": gate_empty_input(reqs.agg(F.min("req_id").alias("req_id")), allow=True)}
+    out = None
+    for flag, gated in cases.items():
+        at_root = gated.withColumns({"req_docid": F.lit(None).cast("string"), "req_path": F.lit("/")})
+        kids = get_children(at_root, docs, child_cols=["id"]).select(F.lit(flag).alias("flag"), "child_id", "route")
+        out = kids if out is None else out.unionByName(kids)
+    return out
 
 
 @query("op_document", oracle=f"""
@@ -77,16 +88,37 @@ def _blob_records(t):
     return u.select(F.concat("batch", F.lit("-"), "idx").alias("req_id"), "batch", "filename", "content")
 
 
+def _attach_to():
+    return F.concat(F.lit("c"), F.substring("batch", 2, 100))
+
+
 @query("op_blob", oracle="""
-select batch || '-' || idx req_id, 'doc-' || batch document, 'files:files' xpath, filename, length,
-       'success' route
-from v_uploads
-union all select batch || '-' || idx, null, null, filename, null, 'original' from v_uploads""")
+with u as (select batch || '-' || idx req_id, 'c' || substring(batch, 2) document, filename, length,
+                  md5(content) digest from v_uploads)
+select req_id, document, 'files:files' xpath, coalesce(filename, req_id) filename, length, digest,
+       case when c_custkey is null then 'failure' else 'success' end route,
+       case when c_custkey is null then 'document not found' end error
+from u left join customer on document = 'c' || cast(c_custkey as varchar)
+union all select req_id, null, null, filename, null, null, 'original', null from u""")
 def op_blob(spark, sf):
-    recs = _blob_records(tables(spark, sf))
-    res = run_operation(spark, "Blob.Attach", recs, original=True,
-                        params={"document": F.concat(F.lit("doc-"), F.col("batch")), "xpath": "files:files"})
-    return res.select("req_id", "document", "xpath", "filename", "length", "route")
+    t = tables(spark, sf)
+    res = run_operation(spark, "Blob.Attach", _blob_records(t), original=True,
+                        store={"docs": repo.docs_with_properties(t)},
+                        params={"document": _attach_to(), "xpath": "files:files"})
+    return res.select("req_id", "document", "xpath", "filename", "length", "digest", "route", "error")
+
+
+@query("op_blob_documents", oracle="""
+with u as (select batch, coalesce(filename, batch || '-' || idx) filename, batch || '-' || idx req_id from v_uploads),
+last as (select batch, max(req_id) req_id from u group by batch),
+f as (select 'c' || substring(u.batch, 2) id, u.filename from u join last using (batch, req_id))
+select d.id, f.filename attached from v_docs d left join f on d.id = f.id""")
+def op_blob_documents(spark, sf):
+    """The whole table after attaching: the last record of a document wins."""
+    t = tables(spark, sf)
+    docs, _ = ops.attach_records(repo.docs_with_properties(t), _blob_records(t), _attach_to(), F.lit("files:files"))
+    blob = F.try_element_at("properties", F.lit("files:files"))
+    return docs.select("id", F.try_variant_get(blob, "$.name", "string").alias("attached"))
 
 
 @query("op_context", oracle="""

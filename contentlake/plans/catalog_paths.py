@@ -9,12 +9,10 @@ from contentlake.functions.values import json_or_string, variant_kind
 from contentlake.operators import attributes
 from contentlake.operators import relations
 from contentlake.plans.registry import query
+from contentlake.plans.sql_snippets import NUM_TEXT
 from contentlake.sources import repository as repo
 from contentlake.sources.tables import tables
 
-# DuckDB twin of Spark's decimal rendering after JSON parsing: trailing
-# zeros of the fraction are not kept ('1863.80' -> '1863.8', '12.00' -> '12')
-NUM_TEXT = "case when {v} like '%.%' then rtrim(rtrim({v}, '0'), '.') else {v} end"
 
 
 @query("path_entity_field", oracle="""
@@ -99,17 +97,18 @@ def path_array_predicate(spark, sf):
 
 
 @query("path_match_collapse", oracle="""
-with m as (select doc_id, count(*) n, min(name) v from v_files where length > 45000 group by doc_id)
+with m as (select doc_id, count(*) n, min(name) v, to_json(list(name order by pos)) l
+           from v_files where length > 45000 group by doc_id)
 select d.id doc_id,
        case when coalesce(m.n, 0) = 0 then 'null' when m.n = 1 then 'value' else 'list' end kind,
-       coalesce(m.n, 0) n_matches, case when m.n = 1 then m.v end single_value
-from v_docs d left join m on d.id = m.doc_id where d.type = 'File'""")
+       coalesce(m.n, 0) n_matches, case when m.n = 1 then m.v end single_value,
+       cast(case when m.n > 1 then m.l end as varchar) list_value
+from v_docs d left join m on d.id = m.doc_id""")
 def path_match_collapse(spark, sf):
     t = tables(spark, sf)
     f = repo.files(t).select("doc_id", "pos", "name", "length")
     matches = attributes.element_path(f, "files:files/[length>45000]/name")
-    orders = repo.docs(t).where(F.col("type") == "File").select(F.col("id").alias("doc_id"))
-    return attributes.collapse_counts(orders, matches)
+    return attributes.collapse_counts(repo.docs(t).select(F.col("id").alias("doc_id")), matches)
 
 
 @query("path_vector_collapse", oracle="""
@@ -147,9 +146,9 @@ with pv as (
   from v_props group by doc_id)
 select d.id, pv.title_prop, pv.priority, pv.total, d.state doc_state,
        cast(null as varchar) nothing, 'success' route, cast(null as varchar) error
-from v_docs d left join pv on d.id = pv.doc_id where d.type = 'File'""")
+from v_docs d left join pv on d.id = pv.doc_id""")
 def doc_to_columns_mapped(spark, sf):
-    d = repo.docs_with_properties(tables(spark, sf)).where(F.col("type") == "File")
+    d = repo.docs_with_properties(tables(spark, sf))
     return attributes.document_to_columns(d, {
         "title_prop": "dc:title", "priority": "ord:priority", "total": "ord:totalprice",
         "doc_state": "state", "nothing": "missing:x"})
@@ -193,16 +192,22 @@ with pv as (
 select d.id, case d.state when 'project' then pv.title when 'review' then pv.priority
                           else pv.total end picked,
        'success' route, cast(null as varchar) error
-from v_docs d left join pv on d.id = pv.doc_id where d.type = 'File'""")
+from v_docs d left join pv on d.id = pv.doc_id
+union all
+select id || '/own', null, 'success', null from v_docs""")
 def doc_to_columns_templated(spark, sf):
     """The path of each row comes from the record: a template over its
     attributes (here the attribute ``nx-prop`` chosen by document state)."""
-    d = repo.docs_with_properties(tables(spark, sf)).where(F.col("type") == "File")
+    d = repo.docs_with_properties(tables(spark, sf))
     attrs = F.create_map(F.lit("nx-prop"), F.when(F.col("state") == "project", "dc:title")
                          .when(F.col("state") == "review", "ord:priority")
                          .otherwise("ord:totalprice"))
-    d = d.withColumn("attributes", attrs)
-    return attributes.document_to_columns_templated(d, {"picked": args.template("${nx-prop}")})
+    picked = {"picked": args.template("${nx-prop}")}
+    out = attributes.document_to_columns_templated(d.withColumn("attributes", attrs), picked)
+    # a path text of its own for every document: as many texts as rows
+    own = F.create_map(F.lit("nx-prop"), F.concat(F.lit("own:"), F.col("id"), F.lit("/2")))
+    each = attributes.document_to_columns_templated(d.withColumn("attributes", own), picked)
+    return out.unionByName(each.withColumn("id", F.concat("id", F.lit("/own"))))
 
 
 @query("get_audit_json", oracle="""
@@ -221,12 +226,12 @@ def get_audit_json(spark, sf):
 @query("path_validate", oracle="""
 select id, case when state = 'approved' then 'failure' else 'success' end route,
        state = 'approved' invalid_path
-from v_docs where type = 'File'""")
+from v_docs""")
 def path_validate(spark, sf):
     """Path texts are validated when compiled: a schema step below a value
     (``ord:totalprice/nested:x``) is rejected, and only the rows carrying
     that path fail; valid paths on the other rows still evaluate."""
-    d = repo.docs_with_properties(tables(spark, sf)).where(F.col("type") == "File")
+    d = repo.docs_with_properties(tables(spark, sf))
     attrs = F.create_map(F.lit("nx-prop"), F.when(F.col("state") == "approved", "ord:totalprice/nested:x")
                          .otherwise("dc:title"))
     out = attributes.document_to_columns_templated(d.withColumn("attributes", attrs),

@@ -97,20 +97,45 @@ def page_provider(spark, sf):
 
 
 @query("query_error_echo", oracle="""
-select 'folders' query_name, id, pos, '5' page_size, '0' page_index, '1000' max_results,
-       'success' route, false has_error
-from (select id, row_number() over (order by id) pos from v_docs where type = 'Folder') where pos <= 5
-union all
-select 'broken', null, null, '5', '0', '1000', 'failure', true""")
+with q as (select 'folders' query_name, 'select id from docs where type = ''Folder''' query
+  union all select 'broken', 'select no_such_column from docs'
+  union all select 'failing', 'select cast(title as int) id from docs')
+select q.query_name, query, 'id' sort_by, f.id, f.pos, '5' page_size, '0' page_index, '1000' max_results,
+       case when q.query_name = 'folders' then 'success' else 'failure' end route,
+       q.query_name <> 'folders' has_error
+from q left join (select id, row_number() over (order by id) pos from v_docs where type = 'Folder') f
+  on q.query_name = 'folders' and f.pos <= 5
+where q.query_name <> 'folders' or f.pos is not null""")
 def query_error_echo(spark, sf):
     _docs_view(spark, sf)
     good = q.query_or_failure(spark, "folders", "select id from docs where type = 'Folder'",
                               page_size=5, sort_by="id")
     bad = q.query_or_failure(spark, "broken", "select no_such_column from docs",
                              page_size=5, sort_by="id")
-    out = union_routes(good, bad)
-    return out.select("query_name", "id", "pos", "page_size", "page_index", "max_results",
-                      "route", F.col("error").isNotNull().alias("has_error"))
+    # this one analyses, and fails only when it runs
+    failing = q.query_or_failure(spark, "failing", "select cast(title as int) id from docs",
+                                 page_size=5, sort_by="id")
+    out = union_routes(union_routes(good, bad), failing)
+    return out.select("query_name", "query", "sort_by", "id", "pos", "page_size", "page_index",
+                      "max_results", "route", F.col("error").isNotNull().alias("has_error"))
+
+
+@query("paged_query", oracle="""
+select id, pos, 'success' route, cast(null as varchar) req_id, '1000' max_results, '1' page_index from (
+  select id, row_number() over (order by title, id) pos from v_docs where state = 'project' and type = 'File')
+where pos between 11 and 20
+union all
+select null, null, 'next_page', null, cast(count(*) as varchar), '2' from v_docs
+where state = 'project' and type = 'File' having count(*) > 20
+union all
+select null, null, 'original', 'r1', null, null""")
+def paged_query(spark, sf):
+    """The page of a provider, its next-page record and the request, from one call."""
+    _docs_view(spark, sf)
+    request = spark.range(1).select(F.lit("r1").alias("req_id"))
+    out = q.paged_query(spark, "docs_by_type_and_state", args="File,project", original=request,
+                        sort_by="title", page_size=10, page_index=1)
+    return out.select("id", "pos", "route", "req_id", "max_results", "page_index")
 
 
 def _pages(spark, sf):

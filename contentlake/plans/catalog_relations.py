@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from contentlake.functions import args
 from contentlake.operators import lookup, relations
 from contentlake.plans.registry import query
 from contentlake.plans.sql_snippets import ERROR_OF_MISS, RESOLVED_REQUESTS
@@ -117,16 +118,18 @@ def src_blobs(spark, sf):
 
 
 @query("blob_ref_resolve", oracle="""
-select 'cv' || cast(conv_id as varchar) doc_id, 'b' || cast(conv_id as varchar) upload_batch,
-       '0' upload_file_id, u.filename, u.length
-from (select distinct conv_id from conversations) c
-join v_uploads u on u.batch = 'b' || cast(conv_id as varchar) and u.idx = '0'""")
+with r as (select 'cv' || cast(conv_id as varchar) doc_id, 'b' || cast(conv_id as varchar) upload_batch,
+                  cast(turn + 1 as varchar) upload_file_id from conversations)
+select r.*, u.filename, u.length, case when u.batch is null then 'failure' else 'success' end route,
+       case when u.batch is null then 'blob not found' end error
+from r left join v_uploads u on u.batch = upload_batch and u.idx = upload_file_id""")
 def blob_ref_resolve(spark, sf):
     t = tables(spark, sf)
-    refs = (t.conversations.select("conv_id").distinct()
-             .select(F.concat(F.lit("cv"), F.col("conv_id").cast("string")).alias("doc_id"),
-                     F.concat(F.lit("b"), F.col("conv_id").cast("string")).alias("upload_batch"),
-                     F.lit("0").alias("upload_file_id")))
+    # every turn refers to the next one's upload: the last of a conversation to nothing
+    refs = t.conversations.select(
+        F.concat(F.lit("cv"), F.col("conv_id").cast("string")).alias("doc_id"),
+        F.concat(F.lit("b"), F.col("conv_id").cast("string")).alias("upload_batch"),
+        (F.col("turn") + 1).cast("string").alias("upload_file_id"))
     uploads = repo.uploads(t).withColumn("length", F.octet_length("content").cast("long"))
     return relations.resolve_blob_refs(refs, uploads)
 
@@ -169,29 +172,35 @@ def src_entity_json(spark, sf):
 @query("sink_entity_json", oracle="""
 select json_object('entity-type', 'document', 'uid', id, 'path', path, 'type', type,
                    'title', title, 'state', state, 'parentRef', parent_id)::varchar value
-from v_docs where type = 'Folder'""")
+from v_docs where id <> 'root'""")
 def sink_entity_json(spark, sf):
-    d = repo.docs(tables(spark, sf)).where(F.col("type") == "Folder")
+    d = repo.docs(tables(spark, sf)).where(F.col("id") != "root")
     out = shared_dir(spark, "entity-json")
     ej.write_json_lines(d, ej.entity_json(d), out)
     return spark.read.text(out)
 
 
 def _entity_records(t):
+    """Records whose ``nx-entity`` attribute and JSON agree (view), disagree
+    (click: a document said to be a workflow; signup: no entity-type at all), or
+    whose content is no JSON object (error, purchase)."""
     ev = t.events.select("event_id", "event_type", "user_id")
     uid = F.concat(F.lit("c"), F.col("user_id").cast("string"))
-    content = (F.when(F.col("event_type") == "view", F.to_json(F.struct(
-                   F.lit("document").alias("entity-type"), uid.alias("uid"))))
-                .when(F.col("event_type") == "click", F.to_json(F.struct(
-                   F.lit("workflow").alias("entity-type"), uid.alias("uid")))))
-    return ev.select(F.col("event_id").alias("req_id"), F.encode(content, "UTF-8").alias("content"))
+    kind, document = F.col("event_type"), F.to_json(F.struct(F.lit("document").alias("entity-type"), uid.alias("uid")))
+    content = (F.when(kind.isin("view", "click"), document)
+                .when(kind == "signup", F.to_json(F.struct(uid.alias("uid"))))
+                .when(kind == "error", F.lit("not json")).otherwise(F.lit("[1]")))
+    attribute = F.when(kind == "click", "workflow").otherwise("document")
+    return ev.select(F.col("event_id").alias("req_id"), F.encode(content, "UTF-8").alias("content"),
+                     F.create_map(F.lit(args.ATTR_ENTITY), attribute).alias("attributes"))
 
 
 @query("entity_guard", oracle="""
-select event_id req_id, event_type = 'view' inline_used from events""")
+select event_id req_id, event_type in ('view', 'signup') inline_used from events""")
 def entity_guard(spark, sf):
     r = _entity_records(tables(spark, sf))
-    return r.select("req_id", ej.parse_document(F.col("content")).isNotNull().alias("inline_used"))
+    entity = F.col("attributes")[args.ATTR_ENTITY]
+    return r.select("req_id", ej.parse_document(F.col("content"), entity=entity).isNotNull().alias("inline_used"))
 
 
 @query("inline_or_lookup", oracle=f"""
@@ -207,11 +216,11 @@ def inline_or_lookup(spark, sf):
     t = tables(spark, sf)
     ev = t.events.select(F.col("event_id").alias("req_id"), "event_type", "user_id")
     uid = F.col("user_id").cast("string")
-    content = F.when(F.col("event_type") == "view", F.to_json(F.struct(
-        F.lit("document").alias("entity-type"), F.concat(F.lit("c"), uid).alias("uid"),
-        F.concat(F.lit("Inline "), uid).alias("title"))))
+    # every record holds a document; the attribute says which of them are used
+    content = F.to_json(F.struct(F.concat(F.lit("c"), uid).alias("uid"), F.concat(F.lit("Inline "), uid).alias("title")))
+    entity = F.when(F.col("event_type") == "view", "document").otherwise("workflow")
     records = (repo.requests(t).join(ev, "req_id")
                    .select("req_id", "req_docid", "req_path",
                            ej.parse_document(F.encode(content, "UTF-8"),
-                                             {"id": "uid", "title": "title"}).alias("inline")))
+                                             {"id": "uid", "title": "title"}, entity).alias("inline")))
     return lookup.inline_or_lookup(records, repo.docs(t), "inline", doc_cols=["id", "title"])

@@ -72,8 +72,7 @@ def stream_upsert(spark, sf):
         return mutate.update_documents(table, batch)[0]
 
     latest = streams.stream_upsert(spark, changes, docs, merge)
-    notes = spark.read.parquet(latest).where(F.col("type") == "Note")
-    return notes.select(F.col("id").alias("doc_id"), F.explode("properties").alias("key", "v")) \
+    return spark.read.parquet(latest).select(F.col("id").alias("doc_id"), F.explode("properties").alias("key", "v")) \
         .select("doc_id", "key", F.col("v").cast("string").alias("value"))
 
 

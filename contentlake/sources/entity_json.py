@@ -43,14 +43,19 @@ def entity_type(v: Column) -> Column:
     return F.try_variant_get(v, f'$["{ENTITY_TYPE}"]', "string")
 
 
-def parse_document(content: Column, fields: dict[str, str] | None = None) -> Column:
+def parse_document(content: Column, fields: dict[str, str] | None = None,
+                   entity: Column | None = None) -> Column:
     """Inline document from record content: a struct of docs columns, or
-    null when the content is not a JSON document entity (entity guard)."""
+    null when the record carries no document (entity guard). The guard is the
+    record's ``nx-entity`` attribute where ``entity`` gives it - whatever the
+    JSON says of itself - and otherwise the content's own ``entity-type``."""
     fields = fields or {"id": "uid", "path": "path", "type": "type", "title": "title"}
     v = parse_content(content)
     doc = F.struct(*[F.try_variant_get(v, f'$["{src}"]', "string").alias(dst)
                      for dst, src in fields.items()])
-    return F.when(entity_type(v) == DOCUMENT, doc)
+    guard = entity_type(v) == DOCUMENT if entity is None else (
+        (entity == DOCUMENT) & F.schema_of_variant(v).startswith("OBJECT"))
+    return F.when(guard, doc)
 
 
 def write_json_lines(df: DataFrame, text_col: Column, path: str) -> None:

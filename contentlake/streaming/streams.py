@@ -111,6 +111,14 @@ def stream_route(spark: SparkSession, stream: DataFrame,
     return sink
 
 
+def _newest_version(spark: SparkSession, table_dir: str) -> int | None:
+    """The highest ``v-<n>`` whose write was finished (by its success file)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(table_dir, "v-*", "_SUCCESS"))
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    numbers = [int(f.getPath().getParent().getName()[2:]) for f in found or []]
+    return max(numbers, default=None)
+
+
 def stream_upsert(spark: SparkSession, changes: DataFrame, initial: DataFrame,
                   merge: Callable[[DataFrame, DataFrame], DataFrame], table_dir: str | None = None,
                   checkpoint: str | None = None, trigger: dict | None = None) -> str:
@@ -119,14 +127,17 @@ def stream_upsert(spark: SparkSession, changes: DataFrame, initial: DataFrame,
     ``merge(table, batch) -> table'``. Batch ``n`` reads version ``v-n``
     (written by batch ``n-1`` before it committed, or the initial table)
     and writes ``v-(n+1)`` with overwrite, so a replayed batch reproduces
-    the same version. Returns the folder of the newest version written by
-    the time it returns (with a continuous trigger the stream keeps adding
-    versions ``v-<n>`` after that)."""
+    the same version. The initial table is written only if there is no version
+    yet, so a restart on the same folders goes on from the newest one. Returns
+    the folder of the newest complete version by the time it returns (with a
+    continuous trigger the stream keeps adding versions ``v-<n>`` after that)."""
     table_dir = table_dir or shared_dir(spark, "stream-table")
     checkpoint = checkpoint or shared_dir(spark, "stream-upsert-ckpt")
     version = lambda n: os.path.join(table_dir, f"v-{n:09d}")
-    initial.write.mode("overwrite").parquet(version(0))
-    newest = {"v": 0}
+    newest = {"v": _newest_version(spark, table_dir)}
+    if newest["v"] is None:
+        initial.write.mode("overwrite").parquet(version(0))
+        newest["v"] = 0
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         current = spark.read.parquet(version(batch_id))

@@ -140,3 +140,36 @@ def test_wide_requests_broadcast_only_keys(spark):
     c = relations.get_related(narrow, repo.docs(t), wf, ["workflow_id"]).select("req_id", "workflow_id")
     d = relations.get_related(wide, repo.docs(t), wf, ["workflow_id"]).select("req_id", "workflow_id")
     assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
+
+
+def test_every_create_request_has_one_result_and_ids_stay_unique(spark):
+    t = tables(spark, SF_SMALL)
+    docs = repo.docs_with_properties(t)
+    reqs = spark.createDataFrame(
+        [(1, None, "a", "i1"), (2, "/", None, "i2"), (3, "/", "a", "c1"), (4, "/", "b", "same"), (5, "/", "c", "same"),
+         (6, "/nowhere", "d", "late"), (7, "/", "d", "late")], "req_id long, parent_path string, name string, new_id string")
+    docs2, res = mutate.create_documents(docs, reqs.selectExpr("*", "'File' AS type"), title=None, new_id="new_id")
+    errors = {r["req_id"]: r["error"] for r in res.collect()}
+    assert errors == {1: mutate.NO_NAME, 2: mutate.NO_NAME, 3: mutate.ID_TAKEN, 4: None, 5: mutate.DUPLICATE_ID,
+                      6: mutate.PARENT_NOT_FOUND, 7: None}
+    assert docs2.count() == docs.count() + 2 == docs2.select("id").distinct().count()
+
+
+def test_update_of_a_document_without_properties_and_by_path(spark):
+    docs = spark.createDataFrame([("a", "/a"), ("b", "/b")], "id string, path string").withColumn(
+        "properties", F.lit(None).cast("map<string,variant>"))
+    ups = spark.createDataFrame([(1, "a", None, "x:y", "1"), (2, "a", None, "x:y", "0"), (3, None, "/b", "x:y", "7"), (4, "z", None, "x:y", "1")],
+                                "req_id long, doc_id string, doc_path string, prop string, val string")
+    docs2, res = mutate.update_documents(docs, ups, seq_col="req_id", req_key="req_id", path_col="doc_path")
+    got = {r["id"]: r["v"] for r in docs2.select("id", F.col("properties")["x:y"].cast("string").alias("v")).collect()}
+    assert got == {"a": "0", "b": "7"}
+    assert {r["req_id"]: r["route"] for r in res.collect()} == {1: "success", 2: "success", 3: "success", 4: "failure"}
+
+
+def test_an_instance_is_cancelled_once(spark):
+    docs = spark.createDataFrame([("a", "/a")], "id string, path string")
+    wf = spark.createDataFrame([("w1", "a", "M", "running"), ("w2", "a", "M", "running")], "workflow_id string, doc_id string, name string, state string")
+    reqs = spark.createDataFrame([(2, "a", None, "M"), (1, None, "/a", "M")], "req_id long, req_docid string, req_path string, workflow string")
+    wf2, res = mutate.cancel_workflows(docs, wf, reqs)
+    assert sorted((r["req_id"], r["workflow_id"]) for r in res.collect()) == [(1, "w1"), (1, "w2")]
+    assert wf2.where("state = 'canceled'").count() == 2

@@ -154,3 +154,24 @@ def test_any_path_compiles_or_is_rejected_and_never_fails_a_job(doc, step_lists)
         cols += [paths.render(c).alias(f"v{i}"), c.error.alias(f"e{i}")]
     if cols:
         doc.select(*cols).collect()
+
+
+ROW_PATHS = ["dc:title", "n:o", "n:o/k/z", "n:o/l/2/b", "n:o/l/-1", "n:o/l/0", "n:o/l/9", "n:o/l/-9", "n:o/l/[a>1]/b", "n:o/v/[.>0.2]",
+             "n:o/v/[.>5]", "n:o/l/[b='q']", "id", "title/x", "nope", ".", "properties/dc:title", "dc:title/a:b", "/dc:title/", "a//b",
+             "n:o/l/[a", "n:o/l/[a~1]", "n:o/l/[a>x]", "", "e:m/1", "n:o/l/[a>0]/a", "dc:t\u00eftle", "title/dc:x", "n:o/./k"]
+
+
+def test_paths_per_row_follow_the_compiled_ones(spark):
+    cols = ["id", "title", "properties"]
+    docs = spark.sql("""select 'a' id, 'T' title, map('dc:title', parse_json('"x"'), 'n:o', parse_json(
+        '{"k":{"z":5},"l":[{"a":1,"b":"q"},{"a":3,"b":"r"},{"a":null}],"v":[0.1,0.5,0.9]}'), 'e:m', parse_json('[]')) properties""")
+    rows = docs.withColumn("p", F.explode(F.lit(ROW_PATHS)))
+    got = {r["p"]: (r["v"], r["e"]) for r in paths.evaluate_per_row(rows, F.col("p"), "v", "e", cols).collect()}
+    valid = {}
+    for text in ROW_PATHS:
+        try:
+            valid[text] = paths.compile_path(text, cols)
+        except ValueError:
+            assert got[text][0] is None and got[text][1]
+    out = docs.select(*[F.struct(paths.render(c), c.error).alias(f"c{i}") for i, c in enumerate(valid.values())]).first()
+    assert [got[t] for t in valid] == [tuple(x) for x in out]

@@ -96,6 +96,10 @@ def test_document_operation_and_plain_operation(spark):
 
 def test_blob_operation(spark):
     rec = spark.createDataFrame([(1, "data.txt", bytearray(b"data"))], "req_id long, filename string, content binary")
-    res = operations.run_operation(spark, "Blob.Attach", rec, original=True,
+    store = {"docs": repo.docs_with_properties(tables(spark, SF_SMALL))}
+    res = operations.run_operation(spark, "Blob.Attach", rec, original=True, store=store,
                                    params={"document": "c1", "xpath": "files:files"})
     assert _counts(res) == {"success": 1, "original": 1}
+    lost = operations.run_operation(spark, "Blob.Attach", rec, original=True, store=store,
+                                    params={"document": "nowhere", "xpath": "files:files"})
+    assert _counts(lost) == {"failure": 1, "original": 1}

@@ -56,3 +56,22 @@ def test_shuffle_path_with_hot_document(spark, monkeypatch):
     n_c1 = repo.docs(t).where("parent_id = 'c1'").count()
     hot_children = kids.where("req_id % 3 = 0 and route = 'success'").count()
     assert hot_children == reqs.where("req_id % 3 = 0").count() * n_c1
+
+
+def test_upsert_goes_on_from_the_newest_version(spark, tmp_path):
+    from contentlake.streaming import streams
+
+    source, table, checkpoint = (str(tmp_path / x) for x in ("in", "table", "ckpt"))
+    initial = spark.createDataFrame([(1, "old")], "id long, v string")
+    spark.createDataFrame([(1, "new")], "id long, v string").write.parquet(source)
+
+    def run():
+        changes = streams.read_stream(spark, source)
+        merge = lambda old, batch: batch.unionByName(old.join(batch, "id", "left_anti"))
+        latest = streams.stream_upsert(spark, changes, initial, merge, table, checkpoint)
+        return [tuple(r) for r in spark.read.parquet(latest).collect()]
+
+    assert run() == [(1, "new")]
+    assert run() == [(1, "new")]
+    spark.createDataFrame([(2, "two")], "id long, v string").write.mode("append").parquet(source)
+    assert sorted(run()) == [(1, "new"), (2, "two")]
