@@ -31,10 +31,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
-
-
 # small frames kept by lookups; released by the caller when its result has
 # been written (every streaming micro-batch does so)
 _KEPT: list[DataFrame] = []

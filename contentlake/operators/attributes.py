@@ -31,14 +31,6 @@ def document_to_columns_all(docs: DataFrame, schemas: list[str] | None = None,
                 .select("doc_id", "key", variant_to_text(F.col("v")).alias("value")))
 
 
-def document_to_attribute_map(docs: DataFrame, schemas: list[str] | None = None,
-                              properties: str = "properties") -> Column:
-    """Same as :func:`document_to_columns_all` but as a MAP<STRING,STRING> column."""
-    props = include_schemas(F.col(properties), schemas)
-    clean = F.map_filter(props, lambda k, v: v.isNotNull() & ~F.is_variant_null(v))
-    return F.transform_values(clean, lambda k, v: variant_to_text(v))
-
-
 def document_to_columns(docs: DataFrame, mapping: dict[str, str], keep: list[str] | None = None,
                         properties: str = "properties") -> DataFrame:
     """Mapping ``attribute -> path``: one column per attribute (null when the

@@ -149,19 +149,6 @@ def docs(t: Tables, full: bool = False, properties: bool = False,
     return out
 
 
-def props(t: Tables) -> DataFrame:
-    """Document properties in long form: doc_id, prop, val (all strings)."""
-    cust = t.customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    c_rows = cust.select(F.concat(F.lit("c"), _s("c_custkey")).alias("doc_id"), F.explode(F.array(*[
-        F.struct(F.lit(k).alias("prop"), v.alias("val")) for k, v in _customer_props()
-    ])).alias("p")).select("doc_id", "p.prop", "p.val")
-    orders = t.orders.select("o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice")
-    o_rows = orders.select(F.concat(F.lit("o"), _s("o_orderkey")).alias("doc_id"), F.explode(F.array(*[
-        F.struct(F.lit(k).alias("prop"), v.alias("val")) for k, v in _order_props()
-    ])).alias("p")).select("doc_id", "p.prop", "p.val")
-    return c_rows.unionByName(o_rows)
-
-
 def docs_with_properties(t: Tables, schemas: list[str] | None = None) -> DataFrame:
     """Full ``docs`` with ``properties MAP<STRING, VARIANT>``: each row's map
     is built from the source row itself, so no shuffle is needed for it."""

@@ -18,15 +18,11 @@ def write_snapshot(docs: DataFrame, path: str, partition_by: str = "repo") -> No
          .parquet(path))
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).format(fmt).save(path)
-
-
 def write_clustered(df: DataFrame, path: str, keys: list[str], fmt: str = "parquet") -> None:
-    """Write sorted by ``keys`` across and within files (range partitioned),
-    so each file and row group covers a narrow key range: lookups by key
-    prune files and row groups from their min/max statistics. Unlike
-    ``partitionBy`` on a high-cardinality key (one folder per batch), the
-    file count follows the data volume, not the number of keys."""
-    (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    """Write sorted by ``keys`` within files, rows of the first key together
+    (hash partitioned: no sampling pass over the payload): lookups by key prune
+    row groups from their min/max statistics. Unlike ``partitionBy`` on a
+    high-cardinality key (one folder per batch), the file count follows the
+    data volume, not the number of keys."""
+    (df.repartition(keys[0]).sortWithinPartitions(*keys)
        .write.mode("overwrite").format(fmt).save(path))

@@ -21,7 +21,6 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
 
 from contentlake.functions.joins import release_kept
 from contentlake.operators.lookup import get_document
@@ -63,13 +62,6 @@ def _batch_writer(sink: str, fmt: str = "parquet", partition_by: list[str] | Non
     return write
 
 
-def run_available_now(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
-                      partition_by: list[str] | None = None) -> StreamingQuery:
-    """Process everything available, in micro-batches, then stop."""
-    return _start(df.writeStream.foreachBatch(_batch_writer(sink, fmt, partition_by))
-                    .option("checkpointLocation", checkpoint), None)
-
-
 def stream_lookup(spark: SparkSession, requests: DataFrame, docs: DataFrame,
                   doc_cols: list[str] | None = None, sink: str | None = None,
                   checkpoint: str | None = None, original: bool = False,
