@@ -4,7 +4,7 @@ A document's set are its distinct five-word shingles, hashed to 64 bits.
 Documents of equal sets form a class; only classes are compared. A class has
 ``COORDINATES`` signature coordinates, each posted under its (coordinate, value).
 Pairs at the similarity threshold agree in so many coordinates that fewer than
-``LEAST`` agreements have a chance of about 1e-9, so:
+``LEAST`` agreements have a chance of about 1e-6, so:
 
 * values that one class has are skipped, classes with fewer than LEAST shared
   values too;
@@ -12,9 +12,11 @@ Pairs at the similarity threshold agree in so many coordinates that fewer than
   are posted (the prefix): two classes that agree in LEAST coordinates share at
   least one posted value, and very frequent values are hardly ever read;
 * within a posting list every class is first paired with one member, the list's
-  hub; lists whose members are then in one component are skipped; what is left is
-  paired across components only. So a group of n near copies costs n pairs per
-  list and round, while no link between components is lost.
+  hub; lists whose members are then in one component are skipped; in what is left
+  members of different components are paired if a shingle among the rarest of
+  both sets, and its place there, leave room for the threshold. So a group of n
+  near copies costs n pairs per list, while no link between
+  components is lost.
 
 Pairs that agree in LEAST coordinates are confirmed on the full sets.
 """
@@ -32,8 +34,7 @@ from contentlake.llm.common import stage
 from contentlake.llm.components import components
 
 SHINGLE = 5
-COORDINATES, LEAST = 64, 24
-HUB_ROUNDS = 3
+COORDINATES, LEAST = 64, 30
 #: Ids up to which the compared classes are broadcast to the scan of the texts.
 BROADCAST_IDS = 1_000_000
 CHARS = 2_000_000  # text in arrays at once
@@ -170,23 +171,42 @@ def _similar_sizes(threshold: int):
     return (100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
 
 
-def _hub_pairs(posts: DataFrame, salt: int) -> DataFrame:
-    """Every member of a list with its hub, if they are in different components."""
-    order = F.col("id") if salt == 0 else F.xxhash64("id", F.lit(salt))
-    hubs = posts.groupBy("token").agg(F.min(F.struct(order.alias("o"), "id", "n", "component")).alias("hub"))
+def _hub_pairs(posts: DataFrame) -> DataFrame:
+    """Every member of a list with its hub, the one with the least id."""
+    hubs = posts.groupBy("token").agg(F.min(F.struct("id", "n", "component")).alias("hub"))
     return (posts.join(hubs, "token").where(F.col("component") != F.col("hub.component"))
             .select(F.col("hub.id").alias("a"), F.col("hub.n").alias("n_a"), F.col("id").alias("b"), F.col("n").alias("n_b")))
 
 
-def _cross_pairs(posts: DataFrame) -> DataFrame:
-    """All pairs of a list's members that are in different components: pairs of
-    the list's components first, then their members."""
-    parts = posts.select("token", "component").distinct()
-    other = parts.select("token", F.col("component").alias("far"))
-    met = parts.join(other, "token").where("component < far")
-    a = posts.select("token", "component", F.col("id").alias("a"), F.col("n").alias("n_a"))
-    b = posts.select("token", F.col("component").alias("far"), F.col("id").alias("b"), F.col("n").alias("n_b"))
-    return met.join(a, ["token", "component"]).join(b, ["token", "far"]).select("a", "n_a", "b", "n_b")
+def _rarest_first(ids: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """(shingle, id, n, pos): of every set the part that a similar set can't
+    miss altogether, its rarest shingles, with their places in that order;
+    shingles that no other set of ``ids`` has are left out."""
+    rows = sets.join(ids, "id", "left_semi").select("id", "n", F.explode("shingles").alias("shingle"))
+    freq = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("freq"))
+    order = (rows.join(freq, "shingle").groupBy("id")  # a document's own shingles
+             .agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("freq", "shingle"))).alias("t")))
+    least = F.ceil(F.col("n") * threshold / 100).cast("int")
+    part = order.select("id", "n", F.posexplode(F.slice("t", F.lit(1), F.col("n").cast("int") - least + 1)).alias("pos", "t"))
+    return part.where("t.freq > 1").select("t.shingle", "id", "n", "pos")
+
+
+def _cross_pairs(posts: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs of members of open lists that are in different components and
+    may be similar: their sets share a shingle among the rarest of both, and
+    what stands behind it in both is enough for the threshold. The first shingle
+    that two similar sets share in this order always passes."""
+    now = posts.select("id", "component").distinct()
+    rare = stage(_rarest_first(now.select("id"), sets, threshold).join(now, "id"), "rarest")
+    parts = rare.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("members"))
+    main = parts.groupBy("shingle").agg(F.max(F.struct("members", "component")).alias("main")).select("shingle", "main.component")
+    mine = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "pos", "component")]
+    rest = rare.join(main, ["shingle", "component"], "left_anti").select("shingle", *mine("a"))
+    other = rare.select(F.col("shingle").alias("shingle_b"), *mine("b"))
+    behind = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+    may = (F.col("component_a") != F.col("component_b")) & (behind * (100 + threshold) >= threshold * (F.col("n_a") + F.col("n_b")))
+    return (rest.join(other, (F.col("shingle") == F.col("shingle_b")) & may & _similar_sizes(threshold))
+            .select(F.col("id_a").alias("a"), "n_a", F.col("id_b").alias("b"), "n_b"))
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -225,14 +245,14 @@ def near_duplicates(docs: DataFrame, threshold: int = 75, id_col: str = "doc_id"
 
     component = None  # (id, component) of the classes that have links
     links = None
-    for r in range(HUB_ROUNDS + 1):
+    for step in ("hubs", "rest"):
         now = posts.withColumn("component", F.col("id")) if component is None else (
             posts.join(component, "id", "left").withColumn("component", F.coalesce("component", "id")))
         parts = now.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
         now = stage(now.join(parts.select("token"), "token", "left_semi"), "open-lists")
         if now.isEmpty():
             break
-        pairs = _hub_pairs(now, r) if r < HUB_ROUNDS else _cross_pairs(now)
+        pairs = _hub_pairs(now) if step == "hubs" else _cross_pairs(now, sets, threshold)
         found = stage(_confirmed(pairs, classes, sets, threshold), "links")
         links = found if links is None else links.unionByName(found)
         if found.isEmpty():
