@@ -13,8 +13,11 @@ and (anchor rank, outer) pairs by grouping: a node whose inner string is unique
 drops out, one whose outer string occurs again is past the threshold as a whole,
 the others go on with both halves of the range, whose inner strings are longer:
 50, 125, 162, ... up to LENGTH bytes, where inner and outer are one. Of nodes that
-are through only one per outer string stays, as a partner for the others. So a
-group of n copies costs n rows, and the edges of a match eight rounds.
+are through only one per outer string stays, as a partner for the others. Nodes
+that share their inner string with at most ``FEW`` others are finished in place:
+all their strings are ranked in the task that the shared rank sends them to. So a
+group of n copies costs n rows, and the edges of a match at most eight rounds.
+The first round needs no text; only nodes that go on carry the bytes around them.
 
 Texts that occur more than once are removed whole at once, and take part once.
 Ranks are 64-bit hashes under a 64-bit seed rank.
@@ -31,13 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contentlake.functions.joins import bounded_broadcast
-from contentlake.llm.common import stage
+from contentlake.llm.common import discard, stage
 
 LENGTH = 200
 SEED = 50
 REACH = LENGTH - SEED  # an anchor's largest distance from a string's start
 BATCH_BYTES = 2_000_000
 BROADCAST_ROWS = 1_000_000
+FEW = 64
 _RNG = np.random.default_rng(10)
 _BYTE = _RNG.integers(0, 1 << 64, 256, dtype=np.uint64, endpoint=False)
 _BASE = 0x9E3779B97F4A7C15
@@ -103,18 +107,9 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _anchor_table(docs: DataFrame) -> DataFrame:
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [t.encode("utf-8", "replace") for t in batch["text"]]
-            h1, h2 = batch["h1"].to_numpy(), batch["h2"].to_numpy()
-            begin = 0
-            while begin < len(texts):
-                end, size = begin, 0
-                while end < len(texts) and (size < BATCH_BYTES or end == begin):
-                    size += len(texts[end])
-                    end += 1
-                owner, pos, rank = anchors(texts[begin:end])
-                yield pd.DataFrame({"h1": h1[begin:end][owner], "h2": h2[begin:end][owner], "pos": pos, "rank": rank})
-                begin = end
+        for part, texts in _parts(batches):
+            owner, pos, rank = anchors(texts)
+            yield pd.DataFrame({"h1": part["h1"].to_numpy()[owner], "h2": part["h2"].to_numpy()[owner], "pos": pos, "rank": rank})
 
     return docs.select("h1", "h2", "text").mapInPandas(find, "h1 bigint, h2 bigint, pos bigint, rank bigint")
 
@@ -138,25 +133,56 @@ def _rank(nodes: pd.DataFrame) -> pd.DataFrame:
                         if whole.all() else pd.Series(outer, index=nodes.index).astype("Int64").where(whole))
 
 
-def _first_nodes(texts: DataFrame) -> DataFrame:
-    """Ranked root nodes of the anchors (``found``: position, rank) of each text."""
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
+    """Rows in pieces of about ``BATCH_BYTES`` of text, and their texts as bytes."""
+    for batch in batches:
+        texts = [t.encode("utf-8", "replace") for t in batch["text"]]
+        begin = 0
+        while begin < len(texts):
+            end, size = begin, 0
+            while end < len(texts) and (size < BATCH_BYTES or end == begin):
+                size += len(texts[end])
+                end += 1
+            yield batch.iloc[begin:end], texts[begin:end]
+            begin = end
+
+
+def _roots(texts: DataFrame) -> DataFrame:
+    """Ranked root nodes of the anchors (``found``: position, rank) of each text,
+    without bytes: the inner string is the seed, the outer one all that is in reach."""
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for h1, h2, text, found in zip(batch["h1"], batch["h2"], batch["text"], batch["found"]):
-                data = text.encode("utf-8", "replace")
-                for f in found:
-                    pos, n = f["pos"], len(data)
-                    least, most = max(0, pos + LENGTH - n), min(REACH, pos)
-                    rows.append((h1, h2, pos, f["rank"], 0, REACH, least, most, data[pos - most:pos + LENGTH - least]))
-                if len(rows) > 5000:
-                    yield _rank(pd.DataFrame(rows, columns=[c.split()[0] for c in NODE.split(", ")]))
-                    rows = []
-            if rows:
-                yield _rank(pd.DataFrame(rows, columns=[c.split()[0] for c in NODE.split(", ")]))
+        for part, texts in _parts(batches):
+            counts = part["found"].map(len).to_numpy()
+            own = np.repeat(np.arange(len(part)), counts)
+            pos = np.array([f["pos"] for found in part["found"] for f in found], np.int64)
+            rank = np.array([f["rank"] for found in part["found"] for f in found], np.int64)
+            sizes = np.array([len(t) for t in texts], np.int64)
+            at = (np.cumsum(sizes) - sizes)[own] + pos
+            least, most = np.maximum(0, pos + LENGTH - sizes[own]), np.minimum(REACH, pos)
+            outer = Hashes(b"".join(texts)).of(at - most, at + LENGTH - least).view(np.int64)
+            yield pd.DataFrame({
+                "h1": part["h1"].to_numpy()[own], "h2": part["h2"].to_numpy()[own], "pos": pos, "rank": rank, "lo": 0, "hi": REACH,
+                "least": least, "most": most, "inner_rank": rank,
+                "outer_rank": pd.Series(outer).astype("Int64").where((least == 0) & (most == REACH))})
+
+    return texts.mapInPandas(build, "h1 bigint, h2 bigint, pos bigint, rank bigint, lo int, hi int, least int, most int, "
+                                    "inner_rank bigint, outer_rank bigint")
+
+
+def _with_bytes(roots: DataFrame, texts: DataFrame) -> DataFrame:
+    """Root nodes with the bytes around them."""
 
-    return texts.mapInPandas(build, RANKED)
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part, texts in _parts(batches):
+            rows = [(h1, h2, f["pos"], f["rank"], 0, REACH, f["least"], f["most"],
+                     data[f["pos"] - f["most"]:f["pos"] + LENGTH - f["least"]], f["rank"])
+                    for h1, h2, data, found in zip(part["h1"], part["h2"], texts, part["found"]) for f in found]
+            yield pd.DataFrame(rows, columns=[*(c.split()[0] for c in NODE.split(", ")), "inner_rank"])
+
+    # a text's own anchors
+    found = roots.groupBy(*TEXT).agg(F.collect_list(F.struct("pos", "rank", "least", "most")).alias("found"))
+    return texts.join(found, TEXT).mapInPandas(cut, f"{NODE}, inner_rank bigint")
 
 
 def _halves(nodes: DataFrame) -> DataFrame:
@@ -177,30 +203,82 @@ def _halves(nodes: DataFrame) -> DataFrame:
     return nodes.mapInPandas(split, RANKED)
 
 
-def repeated_ranges(nodes: DataFrame) -> DataFrame:
+RANGES = "h1 bigint, h2 bigint, begin bigint, end bigint"
+SHARED = ["rank", "lo", "hi", "inner_rank"]
+
+
+def _ranges_of(nodes: pd.DataFrame) -> pd.DataFrame:
+    """The runs of strings that occur again among ``nodes``, all of which are
+    there that share an inner string."""
+    h = Hashes(b"".join(nodes["around"]))
+    sizes = nodes["around"].map(len).to_numpy()
+    lo, hi, least, most, pos = (nodes[c].to_numpy() for c in ("lo", "hi", "least", "most", "pos"))
+    near, far = np.maximum(lo, least), np.minimum(hi, most)
+    anchor = np.cumsum(sizes) - sizes + far
+    n = far - near + 1
+    node = np.repeat(np.arange(len(nodes)), n)
+    first = np.cumsum(n) - n
+    d = far[node] - (np.arange(len(node)) - first[node])  # descending: strings in text order
+    begin = anchor[node] - d
+    key = _mix(h.of(begin, begin + LENGTH) ^ _mix(nodes["rank"].to_numpy().view(np.uint64)[node] + d.astype(np.uint64)))
+    _, which, count = np.unique(key, return_inverse=True, return_counts=True)
+    again = count[which] > 1
+    edge = np.concatenate([[True], node[1:] != node[:-1]])
+    before, after = np.concatenate([[False], again[:-1]]), np.concatenate([again[1:], [False]])
+    starts = np.flatnonzero(again & (edge | ~before))
+    ends = np.flatnonzero(again & (np.concatenate([edge[1:], [True]]) | ~after))
+    own = node[starts]
+    return pd.DataFrame({"h1": nodes["h1"].to_numpy()[own], "h2": nodes["h2"].to_numpy()[own],
+                         "begin": pos[own] - d[starts], "end": pos[own] - d[ends] + LENGTH})
+
+
+def _finished(nodes: DataFrame) -> DataFrame:
+    """Ranges of nodes that have few partners each."""
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            open_ = (rows[SHARED] == rows[SHARED].iloc[-1]).all(axis=1).to_numpy()  # may go on in the next batch
+            rest = rows[open_].reset_index(drop=True)
+            if not open_.all():
+                yield _ranges_of(rows[~open_].reset_index(drop=True))
+        if rest is not None and len(rest):
+            yield _ranges_of(rest)
+
+    rows = nodes.select("h1", "h2", "pos", "lo", "hi", "least", "most", "around", "rank", "inner_rank")
+    return rows.repartition(*SHARED).sortWithinPartitions(*SHARED).mapInPandas(finish, RANGES)
+
+
+def _ranked(nodes: DataFrame) -> DataFrame:
+    """(node, through, few, goes_on) of the nodes whose inner string isn't unique."""
+    slim = nodes.select("node", "rank", "lo", "hi", "inner_rank", "outer_rank")
+    same = ["rank", "lo", "hi"]
+    outer = (slim.where(F.col("outer_rank").isNotNull()).groupBy(*same, "outer_rank")
+             .agg(F.count(F.lit(1)).alias("n_out"), F.min("node").alias("kept")).where("n_out > 1"))
+    inner = slim.groupBy(*same, "inner_rank").agg(F.count(F.lit(1)).alias("n_in")).where("n_in > 1")
+    partner = (F.col("kept") == F.col("node")) & (F.col("n_in") > F.col("n_out"))
+    return stage(slim.join(inner, [*same, "inner_rank"]).join(outer, [*same, "outer_rank"], "left").select(
+        "node", F.col("n_out").isNotNull().alias("through"), (F.col("n_in") <= FEW).alias("few"),
+        ((F.col("lo") < F.col("hi")) & (F.col("n_out").isNull() | partner)).alias("goes_on")), "states")
+
+
+def repeated_ranges(roots: DataFrame, texts: DataFrame) -> DataFrame:
     """(h1, h2, begin, end): byte ranges made of strings that occur again."""
-    found = None
+    nodes, found, last = roots, None, None
     while True:
         nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-        slim = nodes.select("node", "rank", "lo", "hi", "inner_rank", "outer_rank")
-        same = ["rank", "lo", "hi"]
-        outer = (slim.where(F.col("outer_rank").isNotNull()).groupBy(*same, "outer_rank")
-                 .agg(F.count(F.lit(1)).alias("n_out"), F.min("node").alias("kept")).where("n_out > 1"))
-        inner = slim.groupBy(*same, "inner_rank").agg(F.count(F.lit(1)).alias("n_in")).where("n_in > 1")
-        # nodes whose inner string is unique end here
-        state = (slim.join(inner, [*same, "inner_rank"]).join(outer, [*same, "outer_rank"], "left")
-                 .select("node", F.col("n_out").isNotNull().alias("through"),
-                         (F.col("lo") < F.col("hi")).alias("splits"),
-                         (F.col("n_out").isNull() | ((F.col("kept") == F.col("node")) & (F.col("n_in") > F.col("n_out")))).alias("goes_on")))
-        state = stage(state, "states")
-        through = nodes.join(bounded_broadcast(state.where("through").select("node"), BROADCAST_ROWS), "node", "left_semi")
-        ranges = stage(through.select(*TEXT, (F.col("pos") - F.col("hi")).alias("begin"),
-                                      (F.col("pos") - F.col("lo") + LENGTH).alias("end")), "ranges")
+        if last is not None:
+            discard(last)
+        state = _ranked(nodes)
+        pick = lambda which: nodes.join(bounded_broadcast(state.where(which).select("node"), BROADCAST_ROWS), "node", "left_semi")
+        bytes_of = (lambda n: _with_bytes(n, texts)) if last is None else (lambda n: n.drop("node", "outer_rank"))
+        whole = pick("through").select(*TEXT, (F.col("pos") - F.col("hi")).alias("begin"), (F.col("pos") - F.col("lo") + LENGTH).alias("end"))
+        ranges = stage(whole.unionByName(_finished(bytes_of(pick("goes_on and few")))), "ranges")
         found = ranges if found is None else found.unionByName(ranges)
-        further = state.where("goes_on and splits").select("node")
-        if further.isEmpty():
+        if state.where("goes_on and not few").isEmpty():
             return found
-        nodes = _halves(nodes.join(bounded_broadcast(further, BROADCAST_ROWS), "node", "left_semi").drop("node", "inner_rank", "outer_rank"))
+        last, nodes = nodes, _halves(bytes_of(pick("goes_on and not few")).drop("inner_rank"))
 
 
 SPANS = "array<struct<begin:bigint,end:bigint>>"
@@ -228,10 +306,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     twice = stage(twice, "repeated-ranks")
     again = found.join(bounded_broadcast(twice, BROADCAST_ROWS), "rank", "left_semi")
     by_text = stage(again.groupBy(*TEXT).agg(F.sort_array(F.collect_set(F.struct("pos", "rank"))).alias("found")), "by-text")
+    discard(found)
     # one row of every text that has such anchors
     wanted = bounded_broadcast(by_text.select(*TEXT), BROADCAST_ROWS)
     texts = stage(keyed.select(*TEXT, "text").join(wanted, TEXT, "left_semi").dropDuplicates(TEXT), "texts")
-    ranges = repeated_ranges(_first_nodes(texts.join(by_text, TEXT)))
+    ranges = repeated_ranges(_roots(texts.join(by_text, TEXT)), texts)
 
     # a text's ranges are at most as many as its anchors' nodes
     merged = F.aggregate(

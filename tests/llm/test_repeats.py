@@ -2,6 +2,9 @@ import hashlib
 import random
 from collections import Counter
 
+import pytest
+
+from contentlake.llm import repeats
 from contentlake.llm.repeats import LENGTH, remove_repeats
 from tests.llm.helpers import documents, empty, prose, rows
 
@@ -31,7 +34,9 @@ def test_awkward_rows(spark):
     check(spark, rows())
 
 
-def test_passages_at_all_offsets(spark):
+@pytest.mark.parametrize("few", [64, 1])  # finished in place; by rounds of doubling
+def test_passages_at_all_offsets(spark, monkeypatch, few):
+    monkeypatch.setattr(repeats, "FEW", few)
     r = random.Random(8)
     passage = prose(r, 90)
     data = []
