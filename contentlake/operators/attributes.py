@@ -48,6 +48,15 @@ def document_to_columns(docs: DataFrame, mapping: dict[str, str], keep: list[str
         err.alias("error"))
 
 
+def entity_stamp(out: DataFrame, id_col: str = "id", entity: Column | str = "document") -> DataFrame:
+    """Every row of an operator's output with ``entity`` and ``docid`` (the
+    reference's ``nx-entity`` and ``nx-docid``), replacing columns of these
+    names. A row without document has neither."""
+    kind = entity if isinstance(entity, Column) else F.lit(entity)
+    here = F.col(id_col).isNotNull()
+    return out.withColumns({"entity": F.when(here, kind), "docid": F.col(id_col).cast("string")})
+
+
 def element_path(elements: DataFrame, path: str, doc_col: str = "doc_id",
                  pos_col: str = "pos") -> DataFrame:
     """Evaluate the steps after an array property on its long-form table.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from contentlake.operators import lookup, routing
+from contentlake.operators.attributes import entity_stamp as stamp
 from contentlake.plans.registry import query
 from contentlake.plans.sql_snippets import ERROR_OF_MISS, RESOLVED_REQUESTS
 from contentlake.sources import repository as repo
@@ -69,8 +70,16 @@ def get_children(spark, sf):
 @query("entity_stamp", oracle="""
 select id doc_id, path doc_path, 'document' entity from v_docs where type = 'Folder'""")
 def entity_stamp(spark, sf):
-    d = repo.docs(tables(spark, sf), full=True).where(F.col("type") == "Folder")
-    return d.select(F.col("id").alias("doc_id"), F.col("path").alias("doc_path"), "entity")
+    """Folders only, as its SQL; ``entity_stamp_documents`` stamps all documents."""
+    d = stamp(repo.docs(tables(spark, sf))).where(F.col("type") == "Folder")
+    return d.select(F.col("docid").alias("doc_id"), F.col("path").alias("doc_path"), "entity")
+
+
+@query("entity_stamp_documents", oracle="""
+select id, path, type, 'document' entity, id docid from v_docs""")
+def entity_stamp_documents(spark, sf):
+    """Every document (root, folders, files) with its entity and id."""
+    return stamp(repo.docs(tables(spark, sf))).select("id", "path", "type", "entity", "docid")
 
 
 @query("route_outputs", oracle=f"""
