@@ -4,7 +4,7 @@ A document's set are its distinct five-word shingles, hashed to 64 bits.
 Documents of equal sets form a class; only classes are compared. A class has
 ``COORDINATES`` signature coordinates, each posted under its (coordinate, value).
 Pairs at the similarity threshold agree in so many coordinates that fewer than
-``LEAST`` agreements have a chance of about 1e-6, so:
+``LEAST`` agreements have a chance of about 5e-11, so:
 
 * values that one class has are skipped, classes with fewer than LEAST shared
   values too;
@@ -34,7 +34,7 @@ from contentlake.llm.common import stage
 from contentlake.llm.components import components
 
 SHINGLE = 5
-COORDINATES, LEAST = 64, 30
+COORDINATES, LEAST = 64, 24
 #: Ids up to which the compared classes are broadcast to the scan of the texts.
 BROADCAST_IDS = 1_000_000
 CHARS = 2_000_000  # text in arrays at once

@@ -76,3 +76,12 @@ def test_components_of_a_path_and_a_star(spark):
 def test_empty(spark):
     members, links = minhash.near_duplicates(empty(spark))
     assert members.count() == 0 and links.count() == 0
+
+
+def test_pairs_at_the_threshold_with_few_agreeing_coordinates(spark):
+    """Two pairs at exactly 0.75 (6 of 8 shingles) that agree in 27 and 29 of 64 coordinates."""
+    data = []
+    for n, first in enumerate((5101207, 6170431)):
+        for i in (0, 1):
+            data.append((2 * n + i, " ".join(f"w{j}" for j in range(first + i, first + i + 11)), "en", "s", 0))
+    check(spark, data)
