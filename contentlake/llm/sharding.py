@@ -5,7 +5,12 @@ hash; in every round a group looks at how its members lie, its units ask to
 move to the shard that already holds most of their neighbours, and quotas let
 through only as many as the target's capacity allows: every i -> j move that a
 j -> i move pays for, plus the room the target has left for linked documents.
-Larger gains go first. Documents without neighbours can stand anywhere without
+Larger gains go first. A group that is larger than a shard asks for one shard's
+worth of rows only, and its units are drawn one by one, so that it fills the
+room that is there. A smaller group that isn't together yet passes over shards
+that are full. Rounds go on until two in a row don't raise the cohesion (the mean
+share of its group that a linked document has in its shard) by ``1 / STOP``.
+Documents without neighbours can stand anywhere without
 cutting an edge, so they are what the final step moves to make the shard
 counts differ by one at most.
 
@@ -16,33 +21,50 @@ is at most ``n_shards * UNITS`` rows, and no list of pairs exists.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contentlake.llm.common import stage
+from contentlake.llm.common import discard, stage
 
 #: Units per shard into which the members of one group are dealt; a unit moves
 #: as one, so no single move shifts more than 1 / (n_shards * UNITS) of a group.
 UNITS = 16
+#: Rounds end when the cohesion rises by less than one in so many.
+STOP = 1000
 #: Rows that one ranking window holds on average.
 ROWS_PER_BUCKET = 20_000
 
 
-def _wanted(labels: DataFrame, seed: int) -> DataFrame:
-    """Adds ``to`` (the shard a unit asks for) and ``bucket`` (log2 of the
-    edges saved per document) to every unit; ``to = shard`` if it stays."""
+def _draw(seed: int, *cols: str):
+    """A number in [0, 1) per value of ``cols``."""
+    return F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
+
+
+def _wanted(labels: DataFrame, seed: int, capacity: int, full: list[int]) -> DataFrame:
+    """Adds ``to`` (the shard a unit asks for), ``asking`` (rows of its group
+    that ask) and ``bucket`` (log2 of the edges saved per document) to every
+    unit; ``to = shard`` if it stays. Of a group larger than a shard only as
+    many rows ask as the shard can still hold of it."""
     group, here = Window.partitionBy("h1", "h2"), Window.partitionBy("h1", "h2", "shard")
-    best = F.max(F.struct("cnt", F.xxhash64("h1", "shard", F.lit(seed)).alias("tie"), "shard")).over(group)
+    open_ = ~F.col("shard").isin(full) | (F.col("members") > capacity) | (F.col("cnt") == F.col("members"))
+    best = F.max(F.struct(open_.cast("int"), "cnt", F.xxhash64("h1", "shard", F.lit(seed)).alias("tie"), "shard")).over(group)
     gain = F.col("best.cnt") - F.col("cnt") + F.col("n")
+    outside = F.col("members") - F.col("best.cnt")
+    fits = F.greatest(F.lit(0), F.lit(capacity) - F.col("best.cnt")) / F.greatest(outside, F.lit(1))
+    asks = (F.col("members") <= capacity) | (_draw(seed + 1_000_003, "h1", "h2", "u") < fits)
     return (labels.withColumn("cnt", F.sum("n").over(here)).withColumn("best", best)
-            .withColumn("to", F.col("best.shard"))
+            .withColumn("to", F.when(asks, F.col("best.shard")).otherwise(F.col("shard")))
+            .withColumn("asking", F.least(outside, F.greatest(F.lit(0), F.lit(capacity) - F.col("best.cnt"))))
             .withColumn("bucket", F.floor(F.log2(F.greatest(gain, F.lit(1)).cast("double"))).cast("int"))
-            .drop("best", "cnt"))
+            .withColumn("together", F.expr("1000 * n * cnt div members")).drop("best", "cnt"))
 
 
-def _quotas(wants: list, linked: list[int], capacity: int, k: int) -> tuple[list[int], list[float]]:
+def _quotas(wants: list, linked: list[int], capacity: int, k: int) -> tuple[list[int], list[float], list[float]]:
     """For each pair (from * k + to): the gain bucket from which moves pass and
-    the share of that bucket that passes. ``wants``: rows (shard, to, bucket,
+    the share of that bucket that passes; and the rows that
+    the quotas let into each shard. ``wants``: rows (shard, to, bucket,
     n), at most k * k * 64 of them."""
     flow = [0] * (k * k)
     for r in wants:
@@ -54,40 +76,49 @@ def _quotas(wants: list, linked: list[int], capacity: int, k: int) -> tuple[list
             into[j] += flow[i * k + j] - paid[i * k + j]
     share = [min(1.0, max(0, capacity - linked[j]) / into[j]) if into[j] else 0.0 for j in range(k)]
     left = [paid[p] + (flow[p] - paid[p]) * share[p % k] for p in range(k * k)]
+    through = [sum(left[j::k]) for j in range(k)]
     threshold, fraction = [99] * (k * k), [0.0] * (k * k)
     for r in sorted(wants, key=lambda r: -r["bucket"]):
         p = r["shard"] * k + r["to"]
         if left[p] > 0:
             threshold[p], fraction[p] = r["bucket"], min(1.0, left[p] / r["n"])
             left[p] -= r["n"]
-    return threshold, fraction
+    return threshold, fraction, through
 
 
-def propagate(labels: DataFrame, n_rows: int, n_shards: int, rounds: int) -> DataFrame:
-    """Rounds of balanced label propagation over units (h1, h2, u, n, shard)."""
-    k = n_shards
-    for r in range(rounds):
-        asked = stage(_wanted(labels, r), "wants")
+def propagate(labels: DataFrame, n_rows: int, n_shards: int) -> DataFrame:
+    """Rounds of balanced label propagation over units (h1, h2, u, n, members,
+    shard), until they don't help any more."""
+    k, capacity, last = n_shards, n_rows // n_shards, None
+    cohesion, idle = 0, 0
+    for r in itertools.count():
         linked = [0] * k
-        for row in asked.groupBy("shard").agg(F.sum("n").alias("n")).collect():  # k rows
+        for row in labels.groupBy("shard").agg(F.sum("n").alias("n")).collect():  # k rows
             linked[row["shard"]] = row["n"]
+        asked = stage(_wanted(labels, r, capacity, [j for j in range(k) if linked[j] >= capacity]), "wants")
+        if last is not None:
+            discard(last)
+        last = labels = asked
+        now = asked.agg(F.sum("together")).first()[0] or 0
+        idle = 0 if now >= cohesion + max(1000, 1000 * sum(linked) // STOP) else idle + 1
+        cohesion = max(cohesion, now)
         wants = (asked.where("to <> shard").groupBy("shard", "to", "bucket")
                  .agg(F.sum("n").alias("n")).collect())  # k * k * 64 rows at most
-        if not wants:
+        if idle == 2 or not sum(linked):
             break
-        threshold, fraction = _quotas(wants, linked, n_rows // k, k)
+        threshold, fraction, through = _quotas(wants, linked, capacity, k)
         pair = F.col("shard") * k + F.col("to") + 1
         least, part = F.element_at(F.lit(threshold), pair), F.element_at(F.lit(fraction), pair)
-        # one draw per group, so that the units of a group that move together stay together
-        draw = F.pmod(F.xxhash64("h1", "h2", F.lit(r)), F.lit(1 << 20)) / float(1 << 20)
+        # one draw per group, so that the units of a group that move together stay together;
+        # one per unit if the target doesn't take so many
+        draw = F.when(F.col("asking") > F.element_at(F.lit(through), F.col("to") + 1), _draw(r, "h1", "h2", "u")).otherwise(_draw(r, "h1", "h2"))
         passes = (F.col("to") != F.col("shard")) & (
             (F.col("bucket") > least) | ((F.col("bucket") == least) & (draw < part)))
-        labels = asked.withColumn("shard", F.when(passes, F.col("to")).otherwise(F.col("shard"))).drop("to", "bucket")
-    return labels
+        labels = asked.withColumn("shard", F.when(passes, F.col("to")).otherwise(F.col("shard"))).drop("to", "asking", "bucket", "together")
+    return labels.drop("to", "asking", "bucket", "together")
 
 
-def shard_documents(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col: str = "text",
-                    rounds: int = 3) -> DataFrame:
+def shard_documents(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` with its ``shard`` (0 .. n_shards - 1) and ``slot``
     (gapless from 0 within the shard), plus ``size`` (UTF-8 bytes + 8) and
     ``text_crc32``. The shards' row counts are at most one apart.
@@ -108,7 +139,7 @@ def shard_documents(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id",
     units = base.groupBy("h1", "h2", "u").agg(F.count(F.lit(1)).alias("n"))
     members = F.sum("n").over(Window.partitionBy("h1", "h2"))
     labels = units.withColumn("members", members).where("members > 1").withColumn("shard", F.col("u") % k)
-    labels = propagate(labels, n_rows, k, rounds)
+    labels = propagate(labels, n_rows, k)
 
     placed = stage(
         base.join(labels.select("h1", "h2", "u", F.col("shard").alias("label")), ["h1", "h2", "u"], "left")

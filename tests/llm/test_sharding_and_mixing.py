@@ -37,6 +37,18 @@ def test_copies_share_a_shard_and_a_hot_group_is_split(spark):
     assert max(Counter(out[i] for i in range(200)).values()) <= 100
 
 
+def test_a_hot_group_fills_a_shard_and_others_are_joined(spark):
+    """A third of the rows are one text (two shards' worth), the others copies in eights."""
+    data = [(i, "hot", "en", "s", 1) for i in range(480)]
+    data += [(480 + i, f"eight {i // 8}", "en", "s", 1) for i in range(480)]
+    data += [(960 + i, f"single {i}", "en", "s", 1) for i in range(480)]
+    out = {row["id"]: row["shard"] for row in shard_documents(documents(spark, data), n_shards=6).collect()}
+    assert set(Counter(out.values()).values()) == {240}
+    hot = max(Counter(out[i] for i in range(480)).values())
+    cut = sum(8 - max(Counter(out[480 + 8 * g + j] for j in range(8)).values()) for g in range(60))
+    assert hot >= 220 and cut <= 5, (hot, cut)
+
+
 def test_empty_tables(spark):
     assert shard_documents(empty(spark)).count() == 0
     assert mix_sources(empty(spark)).count() == 0
