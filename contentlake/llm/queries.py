@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from contentlake.llm.archives import convert_arc, read_warc, write_arc
 from contentlake.llm.common import table
 from contentlake.llm.decontam import contaminated, decontaminate
+from contentlake.llm.licenses import scan_licenses
 from contentlake.llm.main_text import main_text
 from contentlake.llm.minhash import near_duplicates
 from contentlake.llm.mixing import mix_sources
+from contentlake.llm.negatives import hard_negatives
 from contentlake.llm.quality import classify
 from contentlake.llm.repeats import remove_repeats
 from contentlake.llm.sharding import shard_documents
+from contentlake.llm.spelling import corpus_words, spelling_groups
 from contentlake.llm.tokens import count_tokens
 from contentlake.llm.topk import top_k
 
@@ -167,3 +170,44 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of 200-byte strings that occur again."""
     out = remove_repeats(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spelling variants among the words of all documents."""
+    return spelling_groups(corpus_words(table(spark, sf_dir, "documents")))
+
+
+#: The phrases that give a label by themselves.
+LICENSE_PHRASES = [("mit", "under the mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc")]
+
+
+@query
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their license phrases and the labels of matching templates."""
+    out = scan_licenses(table(spark, sf_dir, "documents"), LICENSE_PHRASES)
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word",
+                      F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 100th vector, with every 7th vector's label moved on."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return hard_negatives(vectors, F.col("id") % 100 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS a, c.vec_id AS c, q.label = c.label AS same, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+p AS (SELECT a, c AS p, score AS ps FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, c) <= 5),
+n AS (SELECT p.a, p, ps, c, score, row_number() OVER (PARTITION BY p.a, p ORDER BY score DESC, c) AS rank
+      FROM p JOIN s ON s.a = p.a AND NOT same AND 30 * ps <= 100 * score AND 100 * score <= 90 * ps)
+SELECT a AS anchor_id, p AS positive_id, CAST(rank AS INTEGER) AS rank, c AS negative_id, ps AS positive_score,
+       score AS negative_score FROM n WHERE rank <= 10
+"""
