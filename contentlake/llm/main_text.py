@@ -25,8 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TRAINING_PAGES = 800
-#: Fixed values of HTML: what is never text, and which elements make blocks.
-SILENT = frozenset("script style noscript template svg math iframe object textarea select button head title audio video canvas".split())
+#: Fixed values of HTML: what is never text (RAW: its content holds no tags), and which elements make blocks.
+RAW = frozenset("script style textarea iframe title".split())
+SILENT = frozenset("noscript template svg object select button head audio video canvas".split())
+#: Silent elements that hold none of their own name: a second start tag means that the first one wasn't closed.
+FLAT = frozenset("select button head".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -70,40 +73,75 @@ class Page:
         self._parse(source)
 
     def _parse(self, source: str) -> None:
-        at, silent, n = 0, None, len(source)
-        for m in _TAG.finditer(source):
-            begin = m.start()
-            if begin < at:
-                continue  # a tag inside a silent element
+        tags, at, n = self._tags(source), 0, len(source)
+        i = 0
+        while i < len(tags):
+            begin, end, name, closing, attributes = tags[i]
+            i += 1
             if begin > at:
                 self._text(source[at:begin])
-            at = m.end()
-            name = m.group(2) or m.group(5)
-            if name is None:
-                continue
-            name, closing = name.lower(), bool(m.group(1) or m.group(4))
+            at = end
             if name in SILENT:
-                if not closing and not (m.group(3) or m.group(6) or "").endswith("/"):
-                    silent = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(source, at)
-                    if name in ("head", "title") and silent is None:
-                        continue  # never closed: what follows is the page
-                    if name == "head":  # an unclosed head ends where the body begins
-                        body = re.compile(r"<body(?=[\s/>])", re.I).search(source, at)
-                        if body and body.start() < silent.start():
-                            at = body.start()
-                            continue
-                    at = silent.end() if silent else n
+                if not closing and not attributes.endswith("/"):
+                    i = self._after_silent(tags, i, name)
+                    # up to the end tag's end, or to the block that ends an unclosed element
+                    at = tags[i - 1][1] if i and tags[i - 1][2] == name and tags[i - 1][3] else tags[i][0] if i < len(tags) else n
             elif name == "a":
                 self.links = max(0, self.links + (-1 if closing else 1))
             elif name in BLOCK:
                 self._flush()
-                self._close(name) if closing else self._start(name, m.group(3) or m.group(6) or "")
+                self._close(name) if closing else self._start(name, attributes)
             elif name == "br" or name in VOID:
                 self.pending.append(" ")
         if at < n:
             self._text(source[at:])
         self._flush()
 
+    @staticmethod
+    def _tags(source: str) -> list[tuple[int, int, str, bool, str]]:
+        """(begin, end, name, is an end tag, attributes) of the tags; comments and raw
+        elements with their content have no name. An unclosed raw element goes on to
+        the end of the page, but for a title, which is no more than its tag."""
+        out, at = [], 0
+        for m in _TAG.finditer(source):
+            if m.start() < at:
+                continue  # inside a raw element
+            at, name = m.end(), (m.group(2) or m.group(5) or "").lower()
+            closing, attributes = bool(m.group(1) or m.group(4)), m.group(3) or m.group(6) or ""
+            if name in RAW:
+                if not closing and not attributes.endswith("/"):
+                    over = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(source, at)
+                    at = over.end() if over else at if name == "title" else len(source)
+                name = ""
+            out.append((m.start(), at, name, closing, attributes))
+        return out
+
+    def _after_silent(self, tags: list, i: int, name: str) -> int:
+        """The tag at which text goes on after the start tag ``i`` - 1 of a silent
+        element: behind its end tag. If the block around it ends first, or the page, the
+        element wasn't closed and ends at the next block."""
+        around, inner, depth, first_block = {self.tags[v] for v in self.open}, [], 1, len(tags)
+        for k in range(i, len(tags)):
+            _, _, tag, closing, _ = tags[k]
+            if tag == name:
+                depth += -1 if closing else 1
+                if not depth:
+                    return k + 1
+                if not closing and name in FLAT:
+                    return min(first_block, k)
+            elif tag in BLOCK:
+                first_block = min(first_block, k)
+                if name == "head" and tag == "body":
+                    return k
+                if not closing:
+                    inner.append(tag)
+                elif tag in inner:
+                    while inner.pop() != tag:
+                        pass
+                elif tag in around:
+                    return first_block
+        return first_block if first_block < len(tags) or name != "head" else i
+
     def _text(self, raw: str) -> None:
         text = entities.unescape(raw) if "&" in raw else raw
         self.pending.append(text)

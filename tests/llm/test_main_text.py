@@ -37,6 +37,35 @@ def test_broken_markup(model, source):
     assert isinstance(extract(source, model), str)
 
 
+LINE = "Here is a sentence of the article that says something."
+
+
+@pytest.mark.parametrize("name", ["button", "select", "svg", "object", "canvas", "noscript", "template", "audio", "video"])
+def test_unclosed_elements_end_with_their_block(model, name):
+    """What stands in the element goes; the article behind it, and other elements of its name, stay as they are."""
+    closed = f"<p>{LINE} <{name}>Share</{name}>{LINE}</p>"
+    for inside, after in ((f"<p>{LINE} <{name}>Share</p><p>{LINE}</p>", 1), (f"<p>{LINE}<{name} class='x'>Share<p>{LINE}</p>", 1),
+                          (f"<div><p>{LINE}</p><{name}>Share</div><p>{LINE}</p>", 1), (f"<p>{LINE}</p><{name}>Share", 0), (closed, 0)):
+        source = f"<body><article><h1>Head line of it</h1><p>{LINE}</p>{inside}{closed if after else ''}</article></body>"
+        text = extract(source, model)
+        assert "Share" not in text and text.count(LINE) == source.count(LINE), (name, inside)
+
+
+def test_nested_and_raw_silent_elements(model):
+    kept = f"<p>{LINE}</p>"
+    for silent in ("<svg><svg><text>no</text></svg><p>no</p></svg>", "<object><p>no</p><object>no</object></object>", "<noscript><div><p>no</p></div></noscript>",
+                   "<script>if (a < b) '</p></div>no'</script>", "<textarea><p>no</textarea>", "<button><p>no</p></button>", "<iframe></div>no</iframe>"):
+        text = extract(f"<body><article><h1>Head line of it</h1>{kept}{silent}{kept}</article></body>", model)
+        assert text == f"Head line of it\n\n{LINE}\n\n{LINE}", silent
+    text = extract(f"<html><head><title>no</title><meta x><body><article><h1>Head line of it</h1>{kept}{kept}</article></body>", model)
+    assert text == f"Head line of it\n\n{LINE}\n\n{LINE}"
+
+
+def test_math_is_text(model):
+    text = extract(f"<body><article><h1>Head line of it</h1><p>{LINE}</p><p>The sum <math><mi>x</mi><mo>+</mo><mn>1</mn></math> is more. {LINE}</p></article></body>", model)
+    assert f"The sum x+1 is more. {LINE}" in text
+
+
 def test_rows(spark, model):
     article = "<body><article><h1>Head line</h1>" + "<p>Some words that make a sentence.</p>" * 5 + "</article></body>"
     data = [(1, "u", article), (1, "u", article), (None, None, article), (2, "u", None), (3, None, ""), (4, "u", "<nav><a>x</a></nav>")]
