@@ -225,25 +225,29 @@ def _iso(date: str) -> str:
     return "1970-01-01T00:00:00Z"
 
 
-def record_id(url: str, date: str, key: str | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {date} {key}')}>"
+def record_id(path: str, place: int = -1) -> str:
+    """The identifier of the record at a place of a file; files have unique names."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{path.rpartition('/')[2]} {place}')}>"
 
 
-def warc_record(arc: dict, block: bytes, original: str | None) -> bytes:
-    """The WARC equivalent of an ARC record; ``original`` is the key of the
-    record that this one revisits, with the same payload."""
+def warc_record(arc: dict, block: bytes, identifier: str, original: dict | None = None) -> bytes:
+    """The WARC equivalent of an ARC record; ``original`` is the record with the same
+    payload that this one revisits: its ``id``, ``url``, ``date`` and ``key``."""
     head, payload, http = split_http(block)
     key, when = http.get(KEY_HEADER.lower()), _iso(arc["date"])
     digest = hashlib.sha256(payload).hexdigest()
     kind = "response" if head else "resource"
-    fields = [("WARC-Record-ID", record_id(arc["url"], arc["date"], key)), ("WARC-Date", when),
+    fields = [("WARC-Record-ID", identifier), ("WARC-Date", when),
               ("WARC-Target-URI", arc["url"]), ("WARC-IP-Address", arc["ip"]), ("WARC-Payload-Digest", f"sha256:{digest}"),
               ("WARC-Payload-Length", str(len(payload)))]
     if key is not None:
         fields.append((KEY_HEADER, key))
     if original is not None:
         kind, block = "revisit", head
-        fields += [("WARC-Profile", IDENTICAL), ("X-Refers-To-Key", original), ("WARC-Refers-To-Date", when)]
+        fields += [("WARC-Profile", IDENTICAL), ("WARC-Refers-To", original["id"]), ("WARC-Refers-To-Target-URI", original["url"]),
+                   ("WARC-Refers-To-Date", _iso(original["date"]))]
+        if original["key"] is not None:
+            fields.append(("X-Refers-To-Key", original["key"]))
     media = "application/http; msgtype=response" if head else arc["type"]
     fields += [("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"), ("Content-Type", media),
                ("Content-Length", str(len(block)))]
@@ -266,32 +270,33 @@ def warc_records(path: str) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, stream.take(int(fields["content-length"]))
 
 
-DIGESTS = "path string, ord bigint, key string, digest string, payload_bytes bigint"
-RECORDS = ("record_id string, record_type string, key string, url string, date string, refers_to_key string, "
+DIGESTS = "path string, ord bigint, key string, digest string, url string, date string"
+RECORDS = ("record_id string, record_type string, key string, url string, date string, refers_to string, refers_to_key string, "
            "payload_digest string, payload_bytes bigint, intact boolean")
 
 
 def revisits(arc_files: DataFrame) -> DataFrame:
     """(path, ord, original): the records whose payload, of ``LEAST_PAYLOAD``
     bytes or more, another record with a smaller key (as a number; ties: path
-    and place) has too, and that first record's key. Records without key come last."""
+    and place) has too, and that first record (``path, ord, key, url, date``). Records
+    without key come last."""
 
     def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path in batch["path"]:
                 rows = []
-                for n, (_, block) in enumerate(read_arc(path)):
+                for n, (arc, block) in enumerate(read_arc(path)):
                     _, payload, http = split_http(block)
                     if len(payload) >= LEAST_PAYLOAD:
-                        rows.append((path, n, http.get(KEY_HEADER.lower()), hashlib.sha256(payload).hexdigest(), len(payload)))
-                yield pd.DataFrame(rows, columns=["path", "ord", "key", "digest", "payload_bytes"])
+                        rows.append((path, n, http.get(KEY_HEADER.lower()), hashlib.sha256(payload).hexdigest(), arc["url"], arc["date"]))
+                yield pd.DataFrame(rows, columns=["path", "ord", "key", "digest", "url", "date"])
 
     found = stage(_spread(arc_files).mapInPandas(digests, DIGESTS), "digests")
-    rank = F.struct(F.coalesce(F.col("key").cast("long"), F.lit((1 << 63) - 1)).alias("k"), "path", "ord", "key")
+    rank = F.struct(F.coalesce(F.col("key").cast("long"), F.lit((1 << 63) - 1)).alias("k"), "path", "ord", "key", "url", "date")
     first = (found.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
              .select("digest", "first"))
     same = (F.col("path") == F.col("first.path")) & (F.col("ord") == F.col("first.ord"))
-    return found.join(first, "digest").where(~same).select("path", "ord", F.coalesce("first.key", F.lit("")).alias("original"))
+    return found.join(first, "digest").where(~same).select("path", "ord", F.col("first").alias("original"))
 
 
 def _spread(files: DataFrame) -> DataFrame:
@@ -309,9 +314,9 @@ def convert_arc(arc_files: DataFrame) -> DataFrame:
         out = _Roller(folder, ".warc.gz")
         for batch in batches:
             for path, back in zip(batch["path"], batch["back"]):
-                known = {r["ord"]: r["original"] for r in back} if back is not None else {}
+                known = {r["ord"]: {**r["original"], "id": record_id(r["original"]["path"], r["original"]["ord"])} for r in back} if back is not None else {}
                 for n, (arc, block) in enumerate(read_arc(path)):
-                    out.add(warc_record(arc, block, known.get(n)), _warcinfo)
+                    out.add(warc_record(arc, block, record_id(path, n), known.get(n)), _warcinfo)
         yield out.files()
 
     # a file's revisits are at most its records: FILE_BYTES bounds the list
@@ -320,7 +325,7 @@ def convert_arc(arc_files: DataFrame) -> DataFrame:
 
 def _warcinfo(path: str) -> bytes:
     body = b"software: contentlake\r\nformat: WARC File Format 1.1\r\n"
-    lines = [WARC_VERSION, "WARC-Type: warcinfo", f"WARC-Record-ID: {record_id(path.rpartition('/')[2], '', None)}",
+    lines = [WARC_VERSION, "WARC-Type: warcinfo", f"WARC-Record-ID: {record_id(path)}",
              "WARC-Date: 1970-01-01T00:00:00Z", "Content-Type: application/warc-fields", f"Content-Length: {len(body)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
@@ -346,7 +351,7 @@ def read_warc(warc_files: DataFrame) -> DataFrame:
                         digest = hashlib.sha256(payload).hexdigest()
                         intact, declared, size = intact and digest == declared, digest, len(payload)
                     rows.append((f["warc-record-id"], kind, f.get(KEY_HEADER.lower()), f["warc-target-uri"], f["warc-date"],
-                                 f.get("x-refers-to-key"), declared, size, intact))
+                                 f.get("warc-refers-to"), f.get("x-refers-to-key"), declared, size, intact))
                 yield pd.DataFrame(rows, columns=[c.split()[0] for c in RECORDS.split(", ")])
 
     return _spread(warc_files.select("path")).mapInPandas(read, RECORDS)

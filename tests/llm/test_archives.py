@@ -38,7 +38,7 @@ def test_versions_have_their_own_record_lines(tmp_path):
         (fields, got), = archives.read_arc(path)
         assert got == block and n == 1 and fields["date"] == "19970102030405" and fields["url"] == "http://a.example/%20x"
         assert len(fields) == len(archives.ARC_FIELDS[version])
-        record = archives.warc_record(fields, got, None)
+        record = archives.warc_record(fields, got, archives.record_id(path, 0))
         assert b"WARC-Date: 1997-01-02T03:04:05Z" in record and b"WARC-Type: response" in record
     # a bare space in an old URL belongs to the URL; a block without HTTP head is a resource
     roller = archives._Roller(str(tmp_path), ".arc.gz")
@@ -46,7 +46,7 @@ def test_versions_have_their_own_record_lines(tmp_path):
     roller.close()
     (fields, got), = archives.read_arc(roller.done[0][0])
     assert fields["url"] == "ftp://a.example/x y" and got == b"abc"
-    assert b"WARC-Type: resource" in archives.warc_record(fields, got, None)
+    assert b"WARC-Type: resource" in archives.warc_record(fields, got, archives.record_id("f", 0))
 
 
 def test_repeated_rows_null_keys_and_empty_table(spark):
@@ -57,3 +57,23 @@ def test_repeated_rows_null_keys_and_empty_table(spark):
         {("1", "response", None): 1, ("1", "revisit", "1"): 1, (None, "revisit", "1"): 1, (None, "response", None): 1})
     none = archives.write_arc(_pages(spark, data).limit(0), "page_id", "url", "html")
     assert archives.read_warc(archives.convert_arc(none)).count() == 0
+
+
+def test_query_with_null_and_repeated_ids(spark, tmp_path):
+    """Equal pages without id, and repeated ids with one url: identifiers are unique, revisits name their original."""
+    from contentlake.llm.queries import op4_warc
+
+    text, other = "r" * 150, "s" * 150
+    data = [(None, "u", text), (None, "u", text), (None, "u", text), (7, "v", other), (7, "v", other), (None, "v", other), (8, "v", "short")]
+    _pages(spark, data).write.parquet(str(tmp_path / "pages.parquet"))
+    out = op4_warc(spark, str(tmp_path)).collect()
+    assert Counter((r["page_id"], r["record_type"], r["refers_to"]) for r in out) == Counter(
+        {(None, "response", None): 1, (None, "revisit", None): 2, (7, "response", None): 1, (7, "revisit", 7): 1, (None, "revisit", 7): 1, (8, "response", None): 1})
+    files = archives.convert_arc(archives.write_arc(_pages(spark, data), "page_id", "url", "html"))
+    records = archives.read_warc(files).collect()
+    by_id = {r["record_id"]: r for r in records}
+    assert len(by_id) == len(data) and all(r["intact"] for r in records)
+    for r in records:
+        if r["record_type"] == "revisit":
+            original = by_id[r["refers_to"]]
+            assert original["record_type"] == "response" and original["payload_digest"] == r["payload_digest"]
