@@ -40,8 +40,11 @@ LENGTH = 200
 SEED = 50
 REACH = LENGTH - SEED  # an anchor's largest distance from a string's start
 BATCH_BYTES = 2_000_000
+PIECE_BYTES = 1 << 20  # of a longer text that are looked at once
+PIECE_NODES = 1_000  # nodes whose bytes or strings are hashed at once (a group of FEW is never cut)
 BROADCAST_ROWS = 1_000_000
 FEW = 64
+HOT, LEAST_HOT = 1_000, 10_000  # keys of more than a HOT-th of all nodes, and so many, are broadcast
 _RNG = np.random.default_rng(10)
 _BYTE = _RNG.integers(0, 1 << 64, 256, dtype=np.uint64, endpoint=False)
 _BASE = 0x9E3779B97F4A7C15
@@ -105,11 +108,27 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return owner, found - begins[owner], seed[found].view(np.int64)
 
 
+def anchors_of(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(position, seed rank) of the anchors of one text, piece by piece: whether a
+    position is an anchor is up to the strings around it, which lie within LENGTH."""
+    for begin in range(0, max(len(text), 1), PIECE_BYTES):
+        end, first = begin + PIECE_BYTES, max(0, begin - LENGTH)
+        _, pos, rank = anchors([text[first:end + LENGTH]])
+        pos = pos + first
+        here = (pos >= begin) & (pos < end)
+        yield pos[here], rank[here]
+
+
 def _anchor_table(docs: DataFrame) -> DataFrame:
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part, texts in _parts(batches):
+            h1, h2 = part["h1"].to_numpy(), part["h2"].to_numpy()
+            if len(texts) == 1:
+                for pos, rank in anchors_of(texts[0]):
+                    yield pd.DataFrame({"h1": h1[0], "h2": h2[0], "pos": pos, "rank": rank})
+                continue
             owner, pos, rank = anchors(texts)
-            yield pd.DataFrame({"h1": part["h1"].to_numpy()[owner], "h2": part["h2"].to_numpy()[owner], "pos": pos, "rank": rank})
+            yield pd.DataFrame({"h1": h1[owner], "h2": h2[owner], "pos": pos, "rank": rank})
 
     return docs.select("h1", "h2", "text").mapInPandas(find, "h1 bigint, h2 bigint, pos bigint, rank bigint")
 
@@ -160,7 +179,12 @@ def _roots(texts: DataFrame) -> DataFrame:
             sizes = np.array([len(t) for t in texts], np.int64)
             at = (np.cumsum(sizes) - sizes)[own] + pos
             least, most = np.maximum(0, pos + LENGTH - sizes[own]), np.minimum(REACH, pos)
-            outer = Hashes(b"".join(texts)).of(at - most, at + LENGTH - least).view(np.int64)
+            data, outer = b"".join(texts), np.empty(len(pos), np.int64)
+            for piece in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at // PIECE_BYTES)) + 1):  # ascending
+                if len(piece):
+                    first = int((at - most)[piece].min())
+                    h = Hashes(data[first:int((at + LENGTH - least)[piece].max())])
+                    outer[piece] = h.of((at - most)[piece] - first, (at + LENGTH - least)[piece] - first).view(np.int64)
             yield pd.DataFrame({
                 "h1": part["h1"].to_numpy()[own], "h2": part["h2"].to_numpy()[own], "pos": pos, "rank": rank, "lo": 0, "hi": REACH,
                 "least": least, "most": most, "inner_rank": rank,
@@ -189,7 +213,7 @@ def _halves(nodes: DataFrame) -> DataFrame:
     """Both halves of every node's range, ranked."""
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (b.iloc[i:i + PIECE_NODES] for b in batches for i in range(0, len(b), PIECE_NODES)):
             rows = []
             for r in batch.itertuples(index=False):
                 begin, mid = min(r.hi, r.most), (r.lo + r.hi) // 2  # ``around`` begins ``begin`` before the anchor
@@ -232,6 +256,17 @@ def _ranges_of(nodes: pd.DataFrame) -> pd.DataFrame:
                          "begin": pos[own] - d[starts], "end": pos[own] - d[ends] + LENGTH})
 
 
+def _whole_groups(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Sorted nodes in pieces of about ``PIECE_NODES`` that part no shared inner string."""
+    new = np.flatnonzero((rows[SHARED].to_numpy()[1:] != rows[SHARED].to_numpy()[:-1]).any(axis=1)) + 1
+    begin = 0
+    while begin < len(rows):
+        later = new[np.searchsorted(new, begin + PIECE_NODES):]
+        end = int(later[0]) if len(later) else len(rows)
+        yield rows.iloc[begin:end].reset_index(drop=True)
+        begin = end
+
+
 def _finished(nodes: DataFrame) -> DataFrame:
     """Ranges of nodes that have few partners each."""
 
@@ -242,7 +277,7 @@ def _finished(nodes: DataFrame) -> DataFrame:
             open_ = (rows[SHARED] == rows[SHARED].iloc[-1]).all(axis=1).to_numpy()  # may go on in the next batch
             rest = rows[open_].reset_index(drop=True)
             if not open_.all():
-                yield _ranges_of(rows[~open_].reset_index(drop=True))
+                yield from (_ranges_of(piece) for piece in _whole_groups(rows[~open_]))
         if rest is not None and len(rest):
             yield _ranges_of(rest)
 
@@ -250,17 +285,36 @@ def _finished(nodes: DataFrame) -> DataFrame:
     return rows.repartition(*SHARED).sortWithinPartitions(*SHARED).mapInPandas(finish, RANGES)
 
 
+def _with_counts(rows: DataFrame, counts: DataFrame, keys: list[str], n: str, hot: int, how: str) -> DataFrame:
+    """``rows`` joined with a table that has one row per key. The few keys of more than
+    ``hot`` rows are broadcast, so that their rows stay where they are."""
+    rows, few = rows.alias("r"), counts.where(F.col(n) > hot)
+    values = [c for c in counts.columns if c not in keys]
+    large = F.broadcast(few.select(*[F.col(k).alias(f"_{k}") for k in keys], *[F.col(v).alias(f"_hot_{v}") for v in values]))
+    met = rows.join(large, [rows[k] == large[f"_{k}"] for k in keys], "left").drop(*[f"_{k}" for k in keys])
+    is_hot = F.col(f"_hot_{n}").isNotNull()
+    done = met.where(is_hot).select("r.*", *[F.col(f"_hot_{v}").alias(v) for v in values])
+    rest = met.where(~is_hot).select("r.*").join(counts.where(F.col(n) <= hot), keys, how)
+    return done.unionByName(rest)
+
+
 def _ranked(nodes: DataFrame) -> DataFrame:
     """(node, through, few, goes_on) of the nodes whose inner string isn't unique."""
     slim = nodes.select("node", "rank", "lo", "hi", "inner_rank", "outer_rank")
     same = ["rank", "lo", "hi"]
-    outer = (slim.where(F.col("outer_rank").isNotNull()).groupBy(*same, "outer_rank")
-             .agg(F.count(F.lit(1)).alias("n_out"), F.min("node").alias("kept")).where("n_out > 1"))
-    inner = slim.groupBy(*same, "inner_rank").agg(F.count(F.lit(1)).alias("n_in")).where("n_in > 1")
+    hot = max(LEAST_HOT, nodes.count() // HOT)   # so at most HOT keys are broadcast
+    outer = stage(slim.where(F.col("outer_rank").isNotNull()).groupBy(*same, "outer_rank")
+                  .agg(F.count(F.lit(1)).alias("n_out"), F.min("node").alias("kept")).where("n_out > 1"), "outer")
+    inner = stage(slim.groupBy(*same, "inner_rank").agg(F.count(F.lit(1)).alias("n_in")).where("n_in > 1"), "inner")
     partner = (F.col("kept") == F.col("node")) & (F.col("n_in") > F.col("n_out"))
-    return stage(slim.join(inner, [*same, "inner_rank"]).join(outer, [*same, "outer_rank"], "left").select(
+    met = _with_counts(slim, inner, [*same, "inner_rank"], "n_in", hot, "inner")
+    met = _with_counts(met, outer, [*same, "outer_rank"], "n_out", hot, "left")
+    out = stage(met.select(
         "node", F.col("n_out").isNotNull().alias("through"), (F.col("n_in") <= FEW).alias("few"),
         ((F.col("lo") < F.col("hi")) & (F.col("n_out").isNull() | partner)).alias("goes_on")), "states")
+    discard(outer)
+    discard(inner)
+    return out
 
 
 def repeated_ranges(roots: DataFrame, texts: DataFrame) -> DataFrame:

@@ -49,5 +49,25 @@ def test_passages_at_all_offsets(spark, monkeypatch, few):
     check(spark, data)
 
 
+@pytest.mark.parametrize("few", [64, 1])
+def test_small_pieces_hot_keys_and_periods(spark, monkeypatch, few):
+    """A passage in a third of all rows, one-character and periodic texts; every bound small."""
+    for name, value in {"FEW": few, "PIECE_BYTES": 256, "PIECE_NODES": 3, "LEAST_HOT": 5, "HOT": 100, "BATCH_BYTES": 700}.items():
+        monkeypatch.setattr(repeats, name, value)
+    r = random.Random(9)
+    passage = prose(r, 80)
+    data = [(i, prose(r, r.randint(5, 120)) + (passage if i % 3 == 0 else "") + prose(r, 20), "en", "s", 0) for i in range(45)]
+    data += [(100, "z" * 1500, "en", "s", 0), (101, "xy" * 600, "en", "s", 0), (102, "yx" * 300 + "q", "en", "s", 0), (103, "z" * 400 + prose(r, 300), "en", "s", 0)]
+    check(spark, data)
+
+
+def test_anchors_of_a_long_text_in_pieces(monkeypatch):
+    text = (prose(random.Random(3), 2000) + "a" * 700 + "ab" * 500).encode()
+    _, pos, rank = repeats.anchors([text])
+    monkeypatch.setattr(repeats, "PIECE_BYTES", 333)
+    pieces = [(p, k) for ps, ks in repeats.anchors_of(text) for p, k in zip(ps.tolist(), ks.tolist())]
+    assert pieces == list(zip(pos.tolist(), rank.tolist()))
+
+
 def test_empty(spark):
     assert remove_repeats(empty(spark)).count() == 0
