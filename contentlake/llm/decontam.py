@@ -3,16 +3,17 @@
 The index is partitioned by document: a task writes segments of about
 ``SEGMENT_WORDS`` words, one row each, holding the segment's documents and,
 term by term, the ascending positions of the term (words of a segment are
-numbered on, with a gap after every document). Benchmark windows are looked up
-in every segment: the list of a window's rarest term, shifted by the term's
+numbered on, with a gap after every document). Benchmark windows are filed under
+their rarest term of the whole corpus; a segment looks up those whose term it has: the
+list of the segment's rarest term of a window, shifted by the term's
 place in the window, is intersected with the shifted lists of the next rarest
 ones until it is empty or all terms agree. No posting is ever shuffled, a
-frequent term costs only its list in each segment, and whole texts are read.
+frequent term costs only its list in each segment, windows of words that the corpus
+lacks cost nothing, and whole texts are read.
 """
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections.abc import Iterator
 
@@ -28,7 +29,8 @@ from contentlake.llm.common import stage
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WINDOW = 13
 SEGMENT_WORDS = 1_000_000
-#: Benchmark text that is sent to every task at once; a larger benchmark goes in blocks.
+#: Benchmark text that is sent to every task at once; a larger benchmark goes in blocks,
+#: each of which reads the index once.
 BLOCK_BYTES = 16 << 20
 
 INDEX_SCHEMA = ("segment string, doc_ids array<bigint>, n_words array<int>, terms array<binary>, "
@@ -47,8 +49,9 @@ def _segment(name: str, doc_ids: list, lengths: list[int], tokens: list[np.ndarr
     ids = np.concatenate([x for t in tokens for x in (t, gap)])
     at = np.flatnonzero(ids >= 0).astype(np.int32)
     own = ids[at]
-    order = np.argsort(own, kind="stable")
-    own, at = own[order], at[order]
+    # by term, then by place: one number to sort
+    order = np.sort((own.astype(np.int64) << 32) | at)
+    own, at = (order >> 32).astype(np.int32), order.astype(np.int32)
     present, first, counts = np.unique(own, return_index=True, return_counts=True)
     steps = np.diff(at, prepend=np.int32(0))
     steps[first] = at[first]
@@ -57,31 +60,23 @@ def _segment(name: str, doc_ids: list, lengths: list[int], tokens: list[np.ndarr
             "counts": counts.astype(np.int32), "postings": steps.astype("<i4").tobytes()}
 
 
-def build_index(docs: DataFrame, vocabulary: set[bytes] | None = None, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """Positional inverted index of ``docs`` (see ``INDEX_SCHEMA``): with a
-    ``vocabulary`` only its terms have postings, positions count all words.
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Positional inverted index of ``docs`` (see ``INDEX_SCHEMA``): postings of all words.
 
     Null and empty texts are documents without words. A text is never split, so
     a segment may be longer than ``SEGMENT_WORDS`` by one document. Null and
     repeated ids stay separate entries.
     """
-    known = None if vocabulary is None else {w: i for i, w in enumerate(sorted(vocabulary))}
-    known = docs.sparkSession.sparkContext.broadcast(known)
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get()
         part, n = task.partitionId() if task else 0, 0
-        fixed = known.value
-        vocab: dict = fixed if fixed is not None else {}
+        vocab = _Numbers()
         doc_ids, lengths, tokens, size = [], [], [], 0
         for batch in batches:
             for doc_id, text in zip(batch["id"], batch["text"]):
                 found = words(text)
-                if fixed is not None:
-                    ids = np.fromiter(map(vocab.get, found, itertools.repeat(-1)), np.int32, len(found))
-                else:
-                    ids = np.fromiter((vocab.setdefault(w, len(vocab)) for w in found), np.int32, len(found))
+                ids = np.fromiter(map(vocab.__getitem__, found), np.int32, len(found))
                 doc_ids.append(None if pd.isna(doc_id) else int(doc_id))
                 lengths.append(len(found))
                 tokens.append(ids)
@@ -89,7 +84,7 @@ def build_index(docs: DataFrame, vocabulary: set[bytes] | None = None, id_col: s
                 if size >= SEGMENT_WORDS:
                     yield pd.DataFrame([_segment(f"{part}-{n}", doc_ids, lengths, tokens, vocab)])
                     doc_ids, lengths, tokens, size, n = [], [], [], 0, n + 1
-                    vocab = fixed if fixed is not None else {}
+                    vocab = _Numbers()
         if doc_ids:
             yield pd.DataFrame([_segment(f"{part}-{n}", doc_ids, lengths, tokens, vocab)])
 
@@ -97,21 +92,37 @@ def build_index(docs: DataFrame, vocabulary: set[bytes] | None = None, id_col: s
     return rows.mapInPandas(segments, INDEX_SCHEMA)
 
 
+class _Numbers(dict):
+    """Words numbered as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class _Segment:
-    """Posting lists of one index row."""
+    """Posting lists of one index row, unpacked when they are asked for."""
 
     def __init__(self, row) -> None:
-        starts = np.concatenate([[0], np.cumsum(row.counts)]).astype(np.int64)
-        steps = np.frombuffer(row.postings, dtype="<i4")
-        self.lists = {bytes(t): np.cumsum(steps[a:b]) for t, a, b in zip(row.terms, starts[:-1], starts[1:])}
+        self.starts = np.concatenate([[0], np.cumsum(row.counts)]).astype(np.int64)
+        self.steps = np.frombuffer(row.postings, dtype="<i4")
+        self.terms = {t: i for i, t in enumerate(map(bytes, row.terms))}
+        self.unpacked: dict[bytes, np.ndarray] = {}
         self.begin = np.concatenate([[0], np.cumsum(np.asarray(row.n_words, dtype=np.int64) + 1)])
 
+    def list_of(self, term: bytes) -> np.ndarray | None:
+        got = self.unpacked.get(term)
+        if got is None and (i := self.terms.get(term)) is not None:
+            got = self.unpacked[term] = np.cumsum(self.steps[self.starts[i]:self.starts[i + 1]])
+        return got
+
     def phrase(self, window: tuple[bytes, ...]) -> np.ndarray:
         """Positions at which the window's words stand in a row."""
+        if not all(map(self.terms.__contains__, window)):
+            return np.empty(0, np.int64)
         lists = []
         for place, term in enumerate(window):
-            if (found := self.lists.get(term)) is None:
-                return np.empty(0, np.int64)
+            found = self.list_of(term)
             lists.append((len(found), place, found))
         lists.sort(key=lambda x: x[0])
         starts = lists[0][2] - lists[0][1]
@@ -126,7 +137,7 @@ class _Segment:
     def near(self, window: tuple[bytes, ...], slop: int) -> np.ndarray:
         """Positions of the window's rarest term that have every other term of
         the window, in any order, at most ``slop`` words away in the same document."""
-        lists = [self.lists.get(t) for t in set(window)]
+        lists = [self.list_of(t) for t in set(window)]
         if any(x is None for x in lists):
             return np.empty(0, np.int64)
         lists.sort(key=len)
@@ -152,24 +163,46 @@ def item_windows(rows: list) -> dict[tuple[bytes, ...], list[str]]:
 
 
 def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list]:
-    """The benchmark in blocks of about ``BLOCK_BYTES`` of text."""
+    """The benchmark in blocks of about ``BLOCK_BYTES`` of text, dealt by item and text, so
+    that the copies of a text are in all blocks."""
     rows = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.col(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = 1 + size // BLOCK_BYTES
     for b in range(n):
-        yield [(r["id"], r["text"]) for r in rows.where(F.pmod(F.xxhash64("text"), F.lit(n)) == b).collect()]
+        yield [(r["id"], r["text"]) for r in rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == b).distinct().collect()]
+
+
+def filed_windows(index: DataFrame, block: list) -> dict[bytes, list[tuple[tuple[bytes, ...], list[str]]]]:
+    """The windows of a block that the corpus may hold, under their rarest term."""
+    windows = item_windows(block)
+    vocabulary = {t for w in windows for t in w}
+    sent = index.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                at = [i for i, t in enumerate(map(bytes, row.terms)) if t in sent.value]
+                yield pd.DataFrame({"term": [row.terms[i] for i in at], "n": np.asarray(row.counts)[at].astype(np.int64)})
+
+    rows = index.select("terms", "counts").mapInPandas(count, "term binary, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    counts = {bytes(r["term"]): r["n"] for r in rows.collect()}  # words of the block
+    out: dict[bytes, list] = {}
+    for window, items in windows.items():
+        if all(t in counts for t in window):
+            out.setdefault(min(window, key=lambda t: (counts[t], t)), []).append((window, items))
+    return out
 
 
 def phrase_hits(index: DataFrame, block: list) -> DataFrame:
     """Documents (segment, ord) that hold a window of the block: the items and
     the merged word spans [lo, hi) that the occurrences cover."""
-    compiled = index.sparkSession.sparkContext.broadcast(item_windows(block))
+    filed = index.sparkSession.sparkContext.broadcast(filed_windows(index, block))
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
                 seg, by_doc = _Segment(row), {}
-                for window, items in compiled.value.items():
+                for window, items in (x for t in filed.value.keys() & seg.terms.keys() for x in filed.value[t]):
                     for p in seg.phrase(window).tolist():
                         d = int(np.searchsorted(seg.begin, p, "right")) - 1
                         got = by_doc.setdefault(d, (set(), []))
@@ -222,15 +255,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", ite
     count once; a null item id is the empty string. Every row of ``docs`` gives
     one row, also for null or repeated ids. Other columns are not read.
     """
-    small = (items.agg(F.sum(F.octet_length(text_col))).first()[0] or 0) <= BLOCK_BYTES
-    blocks = _blocks(items, item_id, text_col)
-    vocabulary = None
-    if small:  # only the benchmark's words need postings; a larger benchmark gets a full index
-        blocks = list(blocks)
-        vocabulary = {w for block in blocks for _, text in block for w in words(text)}
-    index = stage(build_index(docs, vocabulary, doc_id, text_col), "index")
+    index = stage(build_index(docs, doc_id, text_col), "index")
     hits = None
-    for block in blocks:
+    for block in _blocks(items, item_id, text_col):
         found = phrase_hits(index, block)
         hits = found if hits is None else hits.unionByName(found)
     span = "struct<lo:int,hi:int>"

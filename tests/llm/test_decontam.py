@@ -43,6 +43,25 @@ def test_against_brute_force(spark, monkeypatch):
         assert all(sum(s["hi"] - s["lo"] for s in r["spans"]) == r["n_hit"] for r in out)
 
 
+def test_windows_of_words_the_corpus_lacks_are_never_visited(spark):
+    data = [(i, f"alpha beta w{i} gamma delta", "en", "s", 0) for i in range(50)]
+    items = [(1, "beta w7 gamma"), (2, "beta w8 delta")] + [(i, f"alpha beta nowhere{i} gamma") for i in range(10, 900)]
+    index = decontam.build_index(documents(spark, data))
+    filed = decontam.filed_windows(index, [(str(i), t) for i, t in items])
+    assert {t: [w for w, _ in ws] for t, ws in filed.items()} == {b"w7": [(b"beta", b"w7", b"gamma")], b"w8": [(b"beta", b"w8", b"delta")]}
+
+
+def test_copies_of_a_benchmark_text_are_in_all_blocks(spark, monkeypatch):
+    """A text in a third of all items: no block holds them all; the result names them all."""
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 300)
+    items = [(i, "same words in a third of the items" if i % 3 == 0 else f"other text number {i}") for i in range(120)]
+    blocks = list(decontam._blocks(_items(spark, items), "item_id", "text"))
+    assert sum(map(len, blocks)) == 120 and max(map(len, blocks)) < 40
+    data = [(1, "x same words in a third of the items y", "en", "s", 0), (2, "nothing", "en", "s", 0)]
+    out = decontam.decontaminate(documents(spark, data), _items(spark, items)).collect()
+    assert Counter((r["doc_id"], r["n_words"], r["n_hit"], ",".join(r["item_ids"])) for r in out) == brute(data, items)
+
+
 def test_empty_tables(spark):
     assert decontam.decontaminate(empty(spark), _items(spark, [(1, "a b")])).count() == 0
     out = decontam.decontaminate(documents(spark), _items(spark, [])).collect()
