@@ -243,6 +243,20 @@ def _search(index: _Index, placed: DataFrame, anchors: DataFrame, schema: str, f
     return mine.groupBy(*keys).cogroup(theirs.groupBy(*keys)).applyInPandas(exact, found)
 
 
+class _Found:
+    """Rows of a result, collected as arrays; a column is an array or one value."""
+
+    def __init__(self, *names: str) -> None:
+        self.names, self.parts = names, []
+
+    def add(self, *values) -> None:
+        if len(values[-1]):
+            self.parts.append([v if isinstance(v, np.ndarray) else np.full(len(values[-1]), v) for v in values])
+
+    def frames(self) -> list[pd.DataFrame]:
+        return [pd.DataFrame({n: np.concatenate(c) for n, c in zip(self.names, zip(*self.parts))})] if self.parts else []
+
+
 def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k highest scores, ties to the smaller id."""
     if len(scores) > 4 * k:
@@ -287,12 +301,12 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, *, n_positives: int =
         return out
 
     def positives(some: pd.DataFrame, part: pd.DataFrame, scores: np.ndarray) -> list[pd.DataFrame]:
-        ids, labels, out = part["id"].to_numpy(), part["label"].to_numpy(), []
+        ids, labels, out = part["id"].to_numpy(), part["label"].to_numpy(), _Found("a", "positive_id", "positive_score")
         for i, (a, own, label) in enumerate(zip(some["a"], some["id"], some["label"])):
             at = np.flatnonzero((labels == label) & (ids != own))
             at = at[_top(scores[i, at], ids[at], n_positives)]
-            out.append(pd.DataFrame({"a": a, "positive_id": ids[at], "positive_score": scores[i, at]}))
-        return out
+            out.add(a, ids[at], scores[i, at])
+        return out.frames()
 
     near = _search(index, placed, anchors, "a bigint, id bigint, label bigint, v array<double>",
                    "a bigint, positive_id bigint, positive_score bigint", best_known, positives)
@@ -323,15 +337,20 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, *, n_positives: int =
         return out
 
     def negatives(some: pd.DataFrame, part: pd.DataFrame, scores: np.ndarray) -> list[pd.DataFrame]:
-        ids, labels, out = part["id"].to_numpy(), part["label"].to_numpy(), []
+        ids, labels, out = part["id"].to_numpy(), part["label"].to_numpy(), _Found("a", "p", "negative_id", "negative_score")
         for i, (span, a, own, label) in enumerate(zip(spans(some), some["a"], some["id"], some["label"])):
-            other = (labels != label) & (ids != own)
+            wanted = span[span[:, 0] <= span[:, 1]]
+            if not len(wanted):
+                continue
+            near = np.flatnonzero((labels != label) & (ids != own) & (scores[i] >= wanted[:, 0].min()) & (scores[i] <= wanted[:, 1].max()))
+            near = near[np.lexsort((ids[near], -scores[i, near]))]  # in the order of the result: a window is a run of it
+            falling = -scores[i, near]
             for j, (lo, hi) in enumerate(span):
-                at = np.flatnonzero(other & (scores[i] >= lo) & (scores[i] <= hi))
-                if len(at):
-                    at = at[_top(scores[i, at], ids[at], n_negatives)]
-                    out.append(pd.DataFrame({"a": a, "p": j + 1, "negative_id": ids[at], "negative_score": scores[i, at]}))
-        return out
+                if lo <= hi:
+                    first = np.searchsorted(falling, -hi)
+                    at = near[first:min(first + n_negatives, np.searchsorted(falling, -lo, side="right"))]
+                    out.add(a, j + 1, ids[at], scores[i, at])
+        return out.frames()
 
     far = _search(index, placed, asking, "a bigint, id bigint, label bigint, v array<double>, scores array<bigint>",
                   "a bigint, p int, negative_id bigint, negative_score bigint", windows, negatives)
