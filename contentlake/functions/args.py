@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: well-known record attributes
@@ -82,6 +82,17 @@ def resolve(config: str | None, key: str | None, default: object = None,
     return candidates[0] if len(candidates) == 1 else F.coalesce(*candidates)
 
 
+def fill_defaults(requests: DataFrame, key: Column) -> DataFrame:
+    """The arguments of a record that are not given (null), for those of its columns
+    that are there: ``title`` is the name, ``filename`` is ``data-<key>``,
+    ``blob_name`` (of an operation's blob) the key itself, ``idx`` 0, ``xpath`` the main
+    file."""
+    text = key.cast("string")
+    fill = {"title": F.col("name") if "name" in requests.columns else F.lit(None).cast("string"),
+            "filename": F.concat(F.lit("data-"), text), "blob_name": text, "idx": F.lit("0"), "xpath": F.lit(DEFAULT_XPATH)}
+    return requests.withColumns({c: F.coalesce(F.col(c), v) for c, v in fill.items() if c in requests.columns})
+
+
 def is_blank(c: Column) -> Column:
     return F.coalesce(F.trim(c), F.lit("")) == ""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -32,20 +33,23 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 # small frames kept by lookups; released by the caller when its result has
-# been written (every streaming micro-batch does so)
-_KEPT: list[DataFrame] = []
+# been written (every streaming micro-batch does so). Each thread - each stream's
+# batches have one of their own - keeps and releases its own frames.
+_KEPT = threading.local()
 
 
-def _keep(df: DataFrame) -> DataFrame:
+def keep(df: DataFrame) -> DataFrame:
+    """``df`` persisted until :func:`release_kept`: a small frame that is read twice."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _KEPT.append(kept)
+    _KEPT.frames = [*getattr(_KEPT, "frames", []), kept]
     return kept
 
 
 def release_kept() -> None:
-    """Unpersist the small frames lookups kept since the last release."""
-    while _KEPT:
-        _KEPT.pop().unpersist()
+    """Unpersist the small frames this thread's lookups kept since the last release."""
+    frames, _KEPT.frames = getattr(_KEPT, "frames", []), []
+    for df in frames:
+        df.unpersist()
 
 
 # A request-side frame at most this many rows is broadcast into lookups, so
@@ -55,7 +59,7 @@ LOOKUP_BROADCAST_ROWS = 200_000
 
 def preserving_lookup(left: DataFrame, right: DataFrame, left_keys: list[str],
                       right_keys: list[str], bound: int = LOOKUP_BROADCAST_ROWS,
-                      small: bool | None = None) -> DataFrame:
+                      small: bool | None = None, prune: str | None = None) -> DataFrame:
     """``left`` left-outer-joined with ``right`` on equal keys, where the
     right side holds at most one row per key.
 
@@ -65,7 +69,8 @@ def preserving_lookup(left: DataFrame, right: DataFrame, left_keys: list[str],
     matches are joined back to ``left`` - two small frames. Otherwise this
     is a plain shuffle left join (AQE splits skewed keys). ``small`` passes
     a bound the caller already proved (e.g. on the frame ``left`` was
-    derived from).
+    derived from). ``prune`` names a left key that is never blank: if the right key
+    is a folder of its files, only the folders that the keys name are read.
     """
     on_pairs = list(zip(left_keys, right_keys))
     if small is None:
@@ -75,8 +80,10 @@ def preserving_lookup(left: DataFrame, right: DataFrame, left_keys: list[str],
     # ``left`` is read twice (its keys, then the final join); it is proven
     # small, so keep it rather than recompute its lineage (a lost block is
     # recomputed, so this stays fault tolerant)
-    left = _keep(left)
+    left = keep(left)
     keys = left.select(*[F.col(lk).alias(f"_bk{i}") for i, (lk, _) in enumerate(on_pairs)]).distinct()
+    if prune:   # a predicate on the small side is what makes Spark prune the other one at run time
+        keys = keys.where(F.col(f"_bk{left_keys.index(prune)}") != "")
     match = reduce(lambda a, b: a & b,
                    [right[rk] == keys[f"_bk{i}"] for i, (_, rk) in enumerate(on_pairs)])
     hits = right.join(F.broadcast(keys), match).drop(*[f"_bk{i}" for i in range(len(on_pairs))])

@@ -35,8 +35,8 @@ from contentlake.functions.values import variant_to_text
 
 # fixed value: the property-step pattern of the path language
 SCHEMA_STEP = re.compile(r"[a-zA-Z_:][\w\-:]*:[a-zA-Z_:][\w\-:]*", re.ASCII)
-_INT = re.compile(r"[+-]?\d+")
-_PRED = re.compile(r"\[\s*([A-Za-z_][\w\-:]*|\.)\s*(>=|<=|!=|=|>|<)\s*(.+?)\s*\]")
+_INT = re.compile(r"[+-]?\d+", re.ASCII)
+_PRED = re.compile(r"\[\s*([A-Za-z_][\w\-:]*|\.)\s*(>=|<=|!=|=|>|<)\s*(.+?)\s*\]", re.ASCII)
 OUT_OF_RANGE = "no array element at this index"
 
 
@@ -266,14 +266,14 @@ def _take_step(state: Column, step: Column) -> Column:
     null, first = F.lit(None).cast("variant"), F.try_element_at(state["m"], F.lit(1))
     is_index, is_pred = step.rlike(f"^{_INT.pattern}$"), step.startswith("[")
     arr = _as_array(first)
-    n, k = F.size(arr), step.try_cast("int")
+    n, k = F.size(arr), step.try_cast("bigint")   # null: longer than any array
     idx = F.when(k < 0, n + k).otherwise(k)
-    bad = is_index & ~state["many"] & arr.isNotNull() & ((idx < 0) | (idx > n))
+    bad = is_index & ~state["many"] & arr.isNotNull() & (k.isNull() | (idx < 0) | (idx > n))
     named = F.transform(state["m"], lambda x: F.try_variant_get(x, _key(step), "variant"))
     m = (F.when((is_index | is_pred) & state["many"], F.array(null))
           .when(is_pred, F.filter(arr, lambda x: _matches_predicate(x, step)))
           .when(is_index, F.array(F.when(arr.isNull() | bad | (idx == 0), null)
-                                   .otherwise(F.try_element_at(arr, F.greatest(idx, F.lit(1))))))
+                                   .otherwise(F.try_element_at(arr, F.greatest(idx, F.lit(1)).try_cast("int")))))
           .when(step == ".", F.array(null))
           .when(state["many"], F.filter(named, lambda y: y.isNotNull()))
           .otherwise(named))

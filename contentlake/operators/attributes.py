@@ -7,13 +7,14 @@ runs in Python.
 Array properties stored as child tables (``doc_id, pos, <members>``, one
 row per element) are walked with :func:`element_path`: index steps become
 ``pos`` filters, predicates become row filters, and the null / value /
-list collapse is a per-document count. No document's elements are ever
-gathered into one row, so a huge array does not land in one task.
+list collapse is a per-document count with the list in numbered chunks. No
+document's elements are ever gathered into one row, so a huge array does not
+land in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from contentlake.functions import paths
@@ -32,20 +33,27 @@ def document_to_columns_all(docs: DataFrame, schemas: list[str] | None = None,
 
 
 def document_to_columns(docs: DataFrame, mapping: dict[str, str], keep: list[str] | None = None,
-                        properties: str = "properties") -> DataFrame:
+                        properties: str = "properties", nulls: Observation | None = None) -> DataFrame:
     """Mapping ``attribute -> path``: one column per attribute (null when the
     path yields nothing), plus ``route``/``error`` when a path fails on a row
-    (e.g. an array index out of range)."""
+    (e.g. an array index out of range).
+
+    The host warns about an attribute whose path yields nothing; here ``nulls``, an
+    ``Observation``, counts them per attribute (and the ``documents``) in the pass that
+    writes the rows: ``nulls.get`` has the counts after the first action."""
     keep = keep if keep is not None else ["id"]
     cols = docs.columns
     compiled = {name: paths.compile_path(p, cols, properties) for name, p in mapping.items()}
     errors = [c.error for c in compiled.values()]
     err = F.coalesce(*errors) if errors else F.lit(None).cast("string")
-    return docs.select(
+    out = docs.select(
         *[F.col(k) for k in keep],
         *[paths.render(c).alias(name) for name, c in compiled.items()],
         F.when(err.isNull(), F.lit(SUCCESS)).otherwise(F.lit(FAILURE)).alias("route"),
         err.alias("error"))
+    if nulls is None:
+        return out
+    return out.observe(nulls, F.count(F.lit(1)).alias("documents"), *[F.count_if(F.col(name).isNull()).alias(name) for name in compiled])
 
 
 def entity_stamp(out: DataFrame, id_col: str = "id", entity: Column | str = "document") -> DataFrame:
@@ -109,26 +117,40 @@ def element_path(elements: DataFrame, path: str, doc_col: str = "doc_id",
     return out
 
 
-def collapse_counts(doc_ids: DataFrame, matches: DataFrame, doc_col: str = "doc_id",
-                    pos_col: str = "pos") -> DataFrame:
-    """Per document: ``kind`` null / value / list, ``n_matches``, the single
-    value when there is exactly one match, and ``list_value`` (JSON, in order)
-    when there are several. Nulls before the first value are dropped; later
-    ones count and stay in the list. The list is one value of one document."""
-    rows = matches.select(doc_col, F.struct(F.col(pos_col).alias("p"), F.col("value").alias("v")).alias("_m"))
-    agg = rows.groupBy(doc_col).agg(
-        F.min(F.when(F.col("_m.v").isNotNull(), F.col("_m.p"))).alias("_first"),
-        F.array_sort(F.collect_list("_m")).alias("_all"))
-    out = doc_ids.select(doc_col).join(agg, doc_col, "left")
-    found = F.filter("_all", lambda m: m["p"] >= F.col("_first"))
-    out = out.withColumn("_m", F.coalesce(found, F.array().cast("array<struct<p:bigint,v:string>>")))
-    n = F.size("_m")
-    return out.select(
-        doc_col,
-        F.when(n == 0, "null").when(n == 1, "value").otherwise("list").alias("kind"),
-        n.cast("long").alias("n_matches"),
-        F.when(n == 1, F.try_element_at("_m", F.lit(1))["v"]).alias("single_value"),
-        F.when(n > 1, F.to_json(F.transform("_m", lambda m: m["v"]))).alias("list_value"))
+#: Element positions that one row of a collapsed list covers.
+LIST_CHUNK = 1000
+
+
+def collapse_matches(doc_ids: DataFrame, matches: DataFrame, doc_col: str = "doc_id", pos_col: str = "pos",
+                     chunk: int = LIST_CHUNK) -> tuple[DataFrame, DataFrame]:
+    """The null / value / list collapse of each document's matches, in two parts.
+
+    * per document: ``kind`` (null / value / list), ``n_matches`` and the single value
+      when there is exactly one match;
+    * the lists: ``doc_id, chunk, n_values, list_value`` (JSON, in order), where chunk c
+      holds the matches at element positions c * chunk + 1 to (c + 1) * chunk. Numbers
+      ascend and may skip.
+
+    Nulls before the first value are dropped; later ones count and stay in the list.
+    Everything is reduced per (document, chunk) first, at most ``chunk`` elements each,
+    so a document with very many elements is spread over as many tasks as it has
+    chunks; per document only one short row a chunk is left."""
+    element = F.struct(F.col(pos_col).cast("long").alias("p"), F.col("value").alias("v"))
+    parts = (matches.groupBy(doc_col, F.floor((F.col(pos_col) - 1) / chunk).cast("long").alias("chunk"))
+                    .agg(F.array_sort(F.collect_list(element)).alias("_e"),
+                         F.min(F.when(F.col("value").isNotNull(), F.col(pos_col).cast("long"))).alias("_p")))
+    first = parts.groupBy(doc_col).agg(F.min("_p").alias("_first"))
+    parts = parts.join(first, doc_col).withColumn("_e", F.filter("_e", lambda m: m["p"] >= F.col("_first")))
+    n = F.size("_e")
+    parts = parts.where(n > 0).select(doc_col, "chunk", n.cast("long").alias("n_values"), F.transform("_e", lambda m: m["v"]).alias("_v"))
+    counts = parts.groupBy(doc_col).agg(F.sum("n_values").alias("_n"), F.min_by(F.col("_v")[0], "chunk").alias("_one"))
+    out = doc_ids.select(doc_col).join(counts, doc_col, "left")
+    total = F.coalesce("_n", F.lit(0))
+    out = out.select(doc_col, F.when(total == 0, "null").when(total == 1, "value").otherwise("list").alias("kind"),
+                     total.alias("n_matches"), F.when(total == 1, F.col("_one")).alias("single_value"))
+    several = counts.where("_n > 1").select(doc_col)
+    lists = parts.join(several, doc_col, "left_semi").select(doc_col, "chunk", "n_values", F.to_json("_v").alias("list_value"))
+    return out, lists
 
 
 def document_to_columns_templated(docs: DataFrame, mapping: dict[str, Column],

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contentlake.functions.args import fill_defaults
 from contentlake.operators.routing import ORIGINAL, SUCCESS, routed, union_routes
 
 
@@ -29,12 +30,11 @@ def upload_blobs(uploads: DataFrame | None, requests: DataFrame, *, req_key: str
     filename = ``data-<request key>``. Results carry batch, index and
     filename on ``success`` plus the request on ``original``."""
     key = F.col(req_key).cast("string")
-    rows = requests.select(
+    rows = fill_defaults(requests.select(
         F.col(req_key),
         F.coalesce(F.col(batch_col), new_batch_id(key)).alias("batch"),
-        F.coalesce(F.col(index_col), F.lit("0")).alias("idx"),
-        F.coalesce(F.col(filename_col), F.concat(F.lit("data-"), key)).alias("filename"),
-        F.col(content_col).cast("binary").alias("content"))
+        F.col(index_col).alias("idx"), F.col(filename_col).alias("filename"),
+        F.col(content_col).cast("binary").alias("content")), key)
     stored = rows.drop(req_key)
     uploads2 = stored if uploads is None else uploads.unionByName(stored, allowMissingColumns=True)
     results = routed(rows.select(req_key, "batch", "idx", "filename",

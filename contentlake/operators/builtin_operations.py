@@ -83,10 +83,20 @@ def _batch_first(spark, inputs, params, store):
 
 
 def _batch_name(spark, inputs, params, store):
-    return inputs.select("req_id", F.concat(F.lit("batch "), F.col("req_id")).alias("content"))
+    """The file name of the batch's first named part."""
+    named = store["uploads"].where(F.col("filename").isNotNull()).groupBy(F.col("batch").alias("req_id")).agg(
+        F.min_by("filename", F.struct(F.col("idx").cast("int"), "idx")).alias("content"))
+    return inputs.select("req_id").join(named, "req_id")
+
+
+def drop_batches(uploads: DataFrame, inputs: DataFrame) -> DataFrame:
+    """The uploads without the batches that ``inputs`` (``req_id``) name."""
+    gone = inputs.select(F.col("req_id").alias("batch")).distinct()
+    return uploads.join(gone, "batch", "left_anti")
 
 
 def _batch_drop(spark, inputs, params, store):
+    """Batch.Drop returns nothing; the table after it is :func:`drop_batches`."""
     return inputs.select("req_id")
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from contentlake.functions.args import is_blank
 from contentlake.functions.joins import (
-    bounded_broadcast, is_narrow, preserving_lookup, row_count_at_most,
+    bounded_broadcast, is_narrow, keep, preserving_lookup, row_count_at_most,
 )
 from contentlake.functions.values import json_or_string
 from contentlake.operators.lookup import NOT_FOUND, get_document, requests_are_small
@@ -102,27 +102,24 @@ def create_documents(docs: DataFrame, requests: DataFrame, *, req_key: str = "re
     req = req.withColumn("_path", child_path(F.col("_pp"), F.col("_name")))  # null if either is
     doc_id = F.coalesce(F.col("_nid"), F.concat(F.lit("d-"), F.substring(F.sha2(F.col("_path"), 256), 1, 24)))
     req = req.withColumn("_id", doc_id)
-    # One pass over docs answers both questions (does the parent exist, is
-    # the new path taken): each request contributes two path keys, matched
-    # against the (path, id) projection of docs. A proven-small batch is
-    # broadcast, so docs stream through unshuffled; per request the two
-    # answers are folded back with a small aggregation. Request keys are
-    # unique per request.
-    keys = req.select("_req", F.explode(F.array(
-        F.struct(F.lit("parent").alias("kind"), F.col("_pp").alias("key")),
-        F.struct(F.lit("self").alias("kind"), F.col("_path").alias("key")))).alias("_k")) \
-        .select("_req", "_k.kind", "_k.key")
-    wanted = req.where(F.col("_id").isNotNull()).select(F.col("_id").alias("_w")).distinct()
-    if requests_are_small(requests):
-        keys, wanted = F.broadcast(keys), F.broadcast(wanted)
-    taken = docs.select("id").join(wanted, F.col("id") == F.col("_w")).select("_w").distinct()
-    found = (docs.select("path", "id").join(keys, F.col("path") == F.col("key"))
-                 .groupBy("_req")
-                 .agg(F.max(F.when(F.col("kind") == "parent", F.col("id"))).alias("_parent_id"),
-                      F.max(F.when(F.col("kind") == "self", F.col("id"))).alias("_existing_id")))
+    # One scan of docs answers all three questions (does the parent exist, is the new
+    # path taken, is the new id taken): the distinct references of all requests are
+    # matched against the ids and paths of docs. Those of a proven-small batch are
+    # broadcast, so docs stream through unshuffled; the few matches are joined back.
+    small = requests_are_small(requests)
+    kinds = (("path", "_pp"), ("path", "_path"), ("id", "_id"))
+    keys = req.select(F.explode(F.array(*[F.struct(F.lit(k).alias("_rk"), F.col(c).alias("_r")) for k, c in kinds])).alias("_k")) \
+        .select("_k._rk", "_k._r").where(F.col("_r").isNotNull()).distinct()
+    refs = docs.select("id", F.explode(F.array(*[F.struct(F.lit(k).alias("_dk"), F.col(k).alias("_d")) for k in ("path", "id")])).alias("_x")) \
+        .select("id", "_x._dk", "_x._d")
+    match = (F.col("_dk") == F.col("_rk")) & (F.col("_d") == F.col("_r"))
+    hits = refs.join(_maybe_broadcast(keys, small), match).groupBy("_rk", "_r").agg(F.max("id").alias("_at"))
+    if small:      # at most three rows per request; kept, as it is joined three times
+        hits = F.broadcast(keep(hits))
+    at = lambda kind, key, out: hits.where(F.col("_rk") == kind).select(F.col("_r").alias(key), F.col("_at").alias(out))
     first = req.groupBy("_path").agg(F.min("_req").alias("_first"))
-    j = (req.join(found, "_req", "left").join(first, "_path", "left")
-            .join(taken, req["_id"] == taken["_w"], "left"))
+    j = (req.join(at("path", "_pp", "_parent_id"), "_pp", "left").join(at("path", "_path", "_existing_id"), "_path", "left")
+            .join(at("id", "_id", "_w"), "_id", "left").join(_maybe_broadcast(first, small), "_path", "left"))
     error = (F.when(F.col("_path").isNull(), F.lit(NO_NAME))
               .when(F.col("_parent_id").isNull(), F.lit(PARENT_NOT_FOUND))
               .when(F.col("_existing_id").isNotNull(), F.lit(ALREADY_EXISTS))
@@ -148,6 +145,21 @@ def create_documents(docs: DataFrame, requests: DataFrame, *, req_key: str = "re
     return docs.unionByName(_fill_doc_columns(created, docs)), results
 
 
+def _named(docs: DataFrame, rows: DataFrame, doc_col: str, path_col: str | None,
+           inline_col: str | None) -> DataFrame:
+    """``rows`` whose ``doc_col`` names the document: an inline document's id, the given
+    id, or the id at the given path - in one split, so that rows that know their
+    document never meet the table here."""
+    if inline_col:
+        rows = rows.withColumn(doc_col, F.coalesce(F.col(f"{inline_col}.id"), doc_col)).drop(inline_col)
+    if not path_col:
+        return rows
+    known = ~is_blank(F.col(doc_col)) | is_blank(F.col(path_col))
+    found = get_document(rows.where(~known), docs, doc_col, path_col, doc_cols=["id"], prefix="_at_")
+    found = found.withColumn(doc_col, F.coalesce("_at_id", doc_col)).select(*rows.columns)
+    return rows.where(known).unionByName(found)
+
+
 def _latest_values(updates: DataFrame, doc_col: str, prop_col: str, val_col: str,
                    seq_col: str | None) -> DataFrame:
     """Last value per (document, property) by request order (without an order:
@@ -160,17 +172,17 @@ def _latest_values(updates: DataFrame, doc_col: str, prop_col: str, val_col: str
 
 def update_documents(docs: DataFrame, updates: DataFrame, *, doc_col: str = "doc_id",
                      prop_col: str = "prop", val_col: str = "val", seq_col: str | None = None,
-                     req_key: str | None = None,
-                     path_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+                     req_key: str | None = None, path_col: str | None = None,
+                     inline_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Set dynamic properties (long-form updates) and keep all others.
 
     The document is named by id, or with ``path_col`` by path where the id is
-    blank. Values are JSON-or-string; null values are skipped; ``seq_col``
+    blank. ``inline_col`` is a struct of already-parsed document fields (null when the
+    record carried no usable document): an inline document's own ``id`` names it and
+    needs no lookup; only the rows left with a path are looked up. Values are JSON-or-string; null values are skipped; ``seq_col``
     orders the updates of one property. Results: one row per update row (or
     per ``req_key``) - success when the document exists."""
-    if path_col:
-        found = get_document(updates, docs, doc_col, path_col, doc_cols=["id"], prefix="_at_")
-        updates = found.withColumn(doc_col, F.coalesce("_at_id", doc_col)).drop("_at_id", "route", "error")
+    updates = _named(docs, updates, doc_col, path_col, inline_col)
     clean = updates.where(F.col(val_col).isNotNull())
     latest = _latest_values(clean, doc_col, prop_col, val_col, seq_col)
     new_props = (latest.groupBy(doc_col)
@@ -231,9 +243,11 @@ def delete_documents(docs: DataFrame, requests: DataFrame, id_col: str = "req_do
 
 def attach_blobs(docs: DataFrame, requests: DataFrame, *, req_key: str = "req_id",
                  doc_col: str = "req_docid", xpath_col: str = "xpath", batch_col: str = "batch",
-                 index_col: str = "idx", path_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+                 index_col: str = "idx", path_col: str | None = None,
+                 inline_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Set the property at xpath to ``{upload-batch, upload-fileId}``.
-    ``path_col`` names the document where the id is blank.
+    ``path_col`` names the document where the id is blank, ``inline_col`` holds it
+    where the record carries it (see :func:`update_documents`).
 
     Blank batch or index -> failure ``No upload batch`` (no lookup);
     unknown document -> failure."""
@@ -244,8 +258,8 @@ def attach_blobs(docs: DataFrame, requests: DataFrame, *, req_key: str = "req_id
                              F.col(index_col).alias("upload-fileId")))
     upd = ok.select(F.col(req_key), F.col(doc_col).alias("doc_id"),
                     F.coalesce(F.col(xpath_col), F.lit("file:content")).alias("prop"),
-                    ref.alias("val"), F.col(req_key).alias("_seq"), *([path_col] if path_col else []))
-    docs2, res = update_documents(docs, upd, seq_col="_seq", req_key=req_key, path_col=path_col)
+                    ref.alias("val"), F.col(req_key).alias("_seq"), *[c for c in (path_col, inline_col) if c])
+    docs2, res = update_documents(docs, upd, seq_col="_seq", req_key=req_key, path_col=path_col, inline_col=inline_col)
     failed = guarded.where(F.col("_blank")).select(
         F.col(req_key), F.col(doc_col).alias("doc_id"), F.lit(FAILURE).alias("route"),
         F.lit(NO_BATCH).alias("error"))

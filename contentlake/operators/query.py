@@ -9,6 +9,8 @@
   only ``start + page_size`` rows per partition survive the map side;
 * next page: one aggregation gives the result count; the next-page record
   carries ``page_index + 1`` and ``max_results`` = the results count;
+* keyset pages: the next-page record carries the last sort key, and the next page
+  is a range filter on it, as cheap at any depth;
 * all pages: a global position without a single-task window, see
   :mod:`contentlake.plans.numbering`;
 * page providers: named queries with positional parameters.
@@ -120,6 +122,54 @@ def all_pages(df: DataFrame, sort_by=None, sort_order: str | None = None,
         "page_index", F.floor((F.col(pos_col) - 1) / F.lit(page_size)).cast("long"))
 
 
+# ---------------------------------------------------------------- keyset paging
+
+def _after_key(columns: list[tuple[str, bool, Column]]) -> Column:
+    """Rows behind a key in the order of :func:`sort_columns` (ascending: nulls first,
+    descending: nulls last). ``columns``: name, descending, the key's value. Only
+    comparisons with literals, so that the filter is pushed to the scan."""
+    (name, desc, value), rest = columns[0], columns[1:]
+    c, null = F.col(name), value is None
+    if desc:
+        beyond, tied = (F.lit(False), c.isNull()) if null else ((c < value) | c.isNull(), c == value)
+    else:
+        beyond, tied = (c.isNotNull(), c.isNull()) if null else (c > value, c == value)
+    return beyond | (tied & _after_key(rest)) if rest else beyond
+
+
+def keyset_page(df: DataFrame, sort_by=None, sort_order: str | None = None, page_size: int = DEFAULT_PAGE_SIZE,
+                after: str | None = None, tie_break: str = "id") -> tuple[DataFrame, DataFrame]:
+    """One page by its position in the order instead of its number: ``(rows, next_page)``.
+
+    ``after`` is the text from the ``after`` column of the previous page's ``next_page``
+    record (null for the first page): the last row's sort key as JSON. The page is a
+    top-k of ``page_size`` + 1 rows behind a range filter on the sort key, which prunes
+    the scan, so that page 10,000 costs no more than page 1, whereas
+    :func:`page` keeps all rows up to its end. ``next_page`` has one row, or none when
+    the page is the last: ``page_size``, ``after``, ``route``.
+
+    Pages are stable under inserts and deletes elsewhere in the order. ``tie_break`` must
+    be unique and not null."""
+    by = [sort_by] if isinstance(sort_by, str) else list(sort_by or [])
+    desc = (sort_order or "ASC").strip().upper() == "DESC"
+    keys = by if tie_break in by else [*by, tie_break]
+    if after is not None:
+        values = json.loads(after)
+        if list(values) != keys:
+            raise ValueError(f"the key {after!r} is not one of the order {keys}")
+        literal = lambda k: None if values[k] is None else F.lit(values[k]).cast(df.schema[k].dataType)
+        df = df.where(_after_key([(k, desc and k in by, literal(k)) for k in keys]))
+    order = sort_columns(by, sort_order, tie_break)
+    window = Window.orderBy(*order)   # over at most page_size + 1 rows
+    top = materialize(df.orderBy(*order).limit(page_size + 1).withColumn("_pos", F.row_number().over(window)))
+    rows = top.where(F.col("_pos") <= page_size)
+    key = F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in keys]), {"ignoreNullFields": "false"})
+    following = top.where(F.col("_pos").isin(page_size, page_size + 1)).groupBy().agg(
+        F.min_by(key, "_pos").alias("after"), F.count(F.lit(1)).alias("_n")).where("_n = 2")
+    following = following.select(F.lit(page_size).cast("long").alias("page_size"), "after", F.lit(NEXT_PAGE).alias("route"))
+    return rows.drop("_pos"), following
+
+
 # ---------------------------------------------------------------- providers
 
 PROVIDERS: dict[str, str] = {}

@@ -60,15 +60,19 @@ def arg_blank_check(spark, sf):
 
 
 @query("arg_defaults", oracle="""
-select batch, coalesce(idx, '0') idx, coalesce(filename, 'data-' || batch || '-' || idx) filename,
-       'file:content' xpath
+select batch, case when idx = '0' then '0' else idx end idx, coalesce(filename, 'data-' || batch || '-' || idx) filename,
+       coalesce(filename, batch || '-' || idx) blob_name, 'part ' || idx name,
+       case when idx = '1' then 'Second' else 'part ' || idx end title,
+       case when idx = '1' then 'files:files' else 'file:content' end xpath
 from v_uploads""")
 def arg_defaults(spark, sf):
+    """Records with and without index, file names, title and xpath."""
     u = repo.uploads(tables(spark, sf))
-    rec_id = F.concat("batch", F.lit("-"), "idx")
-    return u.select("batch", F.coalesce("idx", F.lit("0")).alias("idx"),
-                    F.coalesce("filename", F.concat(F.lit("data-"), rec_id)).alias("filename"),
-                    F.lit(args.DEFAULT_XPATH).alias("xpath"))
+    second = F.col("idx") == "1"
+    records = u.select("batch", F.concat_ws("-", "batch", "idx").alias("rec_id"), F.nullif("idx", F.lit("0")).alias("idx"), "filename",
+                       F.col("filename").alias("blob_name"), F.concat(F.lit("part "), "idx").alias("name"),
+                       F.when(second, "Second").alias("title"), F.when(second, "files:files").alias("xpath"))
+    return args.fill_defaults(records, F.col("rec_id")).drop("rec_id")
 
 
 @query("attr_merge", oracle=f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from contentlake.operators import lookup, routing
+from contentlake.operators import lookup, relations, routing
 from contentlake.operators.attributes import entity_stamp as stamp
 from contentlake.plans.registry import query
 from contentlake.plans.sql_snippets import ERROR_OF_MISS, RESOLVED_REQUESTS
@@ -67,12 +67,13 @@ def get_children(spark, sf):
     return lookup.get_children(repo.requests(t), repo.docs(t))
 
 
-@query("entity_stamp", oracle="""
-select id doc_id, path doc_path, 'document' entity from v_docs where type = 'Folder'""")
+@query("entity_stamp", oracle=f"""
+with {RESOLVED_REQUESTS}
+select req_id, doc_id, doc_path, case when doc_id is not null then 'document' end entity, doc_id docid from r_res""")
 def entity_stamp(spark, sf):
-    """Folders only, as its SQL; ``entity_stamp_documents`` stamps all documents."""
-    d = stamp(repo.docs(tables(spark, sf))).where(F.col("type") == "Folder")
-    return d.select(F.col("docid").alias("doc_id"), F.col("path").alias("doc_path"), "entity")
+    """The output of every lookup with its entity and id; failures have neither.
+    (``entity_stamp_documents`` stamps the documents themselves.)"""
+    return stamp(_resolved(spark, sf), "doc_id").select("req_id", "doc_id", "doc_path", "entity", "docid")
 
 
 @query("entity_stamp_documents", oracle="""
@@ -129,6 +130,82 @@ def get_document_json(spark, sf):
                       F.when(ok, ej.prefixed_entity_json("doc_")).alias("content"))
 
 
+def _two_repos(df, changed=None):
+    """Two repositories with the same ids and paths; ``changed`` columns differ in the second."""
+    return df.withColumn("repo", F.lit("default")).unionByName(df.withColumns({**(changed or {}), "repo": F.lit("archive")}))
+
+
+def _repo_requests(t):
+    return repo.requests(t).withColumn("req_repo", F.when(F.col("req_id") % 3 == 0, "archive").when(F.col("req_id") % 3 == 1, "")
+                                       .when(F.col("req_id") % 15 == 2, "nowhere"))
+
+
+_REQ_REPO = "case when req_id % 3 = 0 then 'archive' when req_id % 3 = 1 then '' when req_id % 15 = 2 then 'nowhere' end"
+
+
+@query("get_children_multi_repo", oracle=f"""
+with {RESOLVED_REQUESTS}, q as (select *, {_REQ_REPO} req_repo from r_res)
+select req_id, req_docid, req_path, req_repo, q.doc_id parent_id, c.id child_id,
+       case when req_repo = 'archive' then 'Old ' || c.title else c.title end child_title,
+       'success' route, cast(null as varchar) error
+from q join v_docs c on c.parent_id = q.doc_id where coalesce(req_repo, '') <> 'nowhere'
+union all
+select req_id, req_docid, req_path, req_repo, null, null, null, 'failure', {ERROR_OF_MISS}
+from q where doc_id is null or req_repo = 'nowhere'""")
+def get_children_multi_repo(spark, sf):
+    t = tables(spark, sf)
+    docs = _two_repos(repo.docs(t).select("id", "path", "parent_id", "title"), {"title": F.concat(F.lit("Old "), "title")})
+    return lookup.get_children(_repo_requests(t), docs, child_cols=["id", "title"], repo_col="req_repo")
+
+
+@query("get_workflows_multi_repo", oracle=f"""
+with {RESOLVED_REQUESTS}, q as (select *, {_REQ_REPO} req_repo from r_res)
+select req_id, req_docid, req_path, req_repo, q.doc_id, workflow_id,
+       case when req_repo = 'archive' then 'done' else w.state end state, 'success' route, cast(null as varchar) error
+from q join v_workflows w on w.doc_id = q.doc_id where coalesce(req_repo, '') <> 'nowhere'
+union all
+select req_id, req_docid, req_path, req_repo, null, null, null, 'failure', {ERROR_OF_MISS}
+from q where doc_id is null or req_repo = 'nowhere'""")
+def get_workflows_multi_repo(spark, sf):
+    t = tables(spark, sf)
+    return relations.get_related(_repo_requests(t), _two_repos(repo.docs(t).select("id", "path")),
+                                 _two_repos(repo.workflows(t), {"state": F.lit("done")}), ["workflow_id", "state"], repo_col="req_repo")
+
+
+@query("get_blob_multi_repo", oracle="""
+with r as (select page_id req_id, 'p' || cast(page_id as varchar) req_docid, case when page_id % 2 = 0 then 'archive' end req_repo from pages)
+select req_id, req_docid, req_repo, 'file:content' xpath, case when req_repo = 'archive' then 'old_' || filename else filename end filename, digest,
+       'success' route, cast(null as varchar) error
+from r join v_blobs b on b.doc_id = r.req_docid""")
+def get_blob_multi_repo(spark, sf):
+    t = tables(spark, sf)
+    page = F.col("page_id")
+    reqs = t.pages.select(page.alias("req_id"), F.concat(F.lit("p"), page.cast("string")).alias("req_docid"),
+                          F.when(page % 2 == 0, F.lit("archive")).alias("req_repo"))
+    blobs = _two_repos(repo.blobs(t), {"filename": F.concat(F.lit("old_"), "filename")})
+    return relations.get_blob(reqs, blobs, xpath_col=None, original=False, blob_cols=["filename", "digest"], repo_col="req_repo")
+
+
+@query("get_document_schemas", oracle=f"""
+with {RESOLVED_REQUESTS}
+select req_id, r_res.doc_id, prop key from r_res join v_props p on p.doc_id = r_res.doc_id where split_part(prop, ':', 1) = 'cust'""")
+def get_document_schemas(spark, sf):
+    """The looked-up documents' properties of one schema."""
+    t = tables(spark, sf)
+    found = lookup.get_document(repo.requests(t), repo.docs_with_properties(t), doc_cols=["id", "properties"], schemas=["cust"])
+    return found.select("req_id", "doc_id", F.explode(F.map_keys("doc_properties")).alias("key"))
+
+
+@query("get_children_schemas", oracle=f"""
+with {RESOLVED_REQUESTS}
+select req_id, c.id child_id, prop key from r_res join v_docs c on c.parent_id = r_res.doc_id join v_props p on p.doc_id = c.id
+where split_part(prop, ':', 1) in ('ord', 'cust')""")
+def get_children_schemas(spark, sf):
+    t = tables(spark, sf)
+    kids = lookup.get_children(repo.requests(t), repo.docs_with_properties(t), child_cols=["id", "properties"], schemas=["ord", "cust"])
+    return kids.select("req_id", "child_id", F.explode(F.map_keys("child_properties")).alias("key"))
+
+
 @query("get_document_shuffle", same_oracle_as="get_document")
 def get_document_shuffle(spark, sf):
     """The lookup as planned for a request side that isn't small."""

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from contentlake.operators import blobs, mutate
+from contentlake.operators import blobs, changes, mutate
 from contentlake.plans.registry import query
 from contentlake.plans.sql_snippets import ERROR_OF_MISS, NUM_TEXT, RESOLVED_REQUESTS
 from contentlake.session import materialize, shared_dir
+from contentlake.sources import entity_json as ej
 from contentlake.sources import repository as repo
 from contentlake.sources import snapshots
 from contentlake.sources.tables import tables
+from contentlake.sources.versioned import versioned_table
 
 # fixed values: the workflow models the repository knows
 WORKFLOW_MODELS = ["SerialDocumentReview", "ParallelDocumentReview"]
@@ -31,9 +33,12 @@ def _with_notes(t):
                      .otherwise(F.col("parent_path")).alias("parent_path"),
                     F.regexp_extract("path", "[^/]+$", 0).alias("name"), "type", "title",
                     F.col("id").alias("new_id"), "lang")
-    docs, results = mutate.create_documents(docs, reqs, new_id="new_id",
-                                            properties={"note:lang": F.col("lang")})
-    return materialize(docs), results
+    return mutate.create_documents(docs, reqs, new_id="new_id", properties={"note:lang": F.col("lang")})
+
+
+def _notes_table(t):
+    """The table of :func:`_with_notes`, written once: for what reads it more than once."""
+    return materialize(_with_notes(t)[0])
 
 
 NOTES_RESULT_SQL = """
@@ -88,6 +93,67 @@ def update_results(spark, sf):
     return res
 
 
+def _inline_updates(t):
+    """Label updates as records: a third hold their document inline, a third name
+    it by path, the others by id. An inline document wins over what else is named."""
+    n = repo.notes(t).select("id", "path", "lang")
+    up = repo.updates(t).join(n, F.col("doc_id") == F.col("id"))
+    third = F.pmod(F.substring("doc_id", 2, 20).cast("bigint"), F.lit(3))
+    inline = ej.parse_document(F.encode(F.to_json(F.struct(F.lit("document").alias("entity-type"), F.col("doc_id").alias("uid"), "path")), "UTF-8"),
+                               {"id": "uid", "path": "path"})
+    return up.select("prop", "val", F.concat_ws("-", "doc_id", "prop").alias("req_id"),
+                     F.when(third == 0, F.lit("someone-else")).when(third == 1, F.col("doc_id")).alias("doc_id"),
+                     F.when(third == 2, F.col("path")).alias("doc_path"), F.when(third == 0, inline).alias("inline"))
+
+
+@query("update_inline", oracle="""
+select u.doc_id || '-' || u.prop req_id,
+       case when n.lang = 'de' and cast(substring(u.doc_id, 2) as bigint) % 3 = 2 then null else u.doc_id end doc_id,
+       case when n.lang = 'de' then 'failure' else 'success' end route,
+       case when n.lang = 'de' then 'document not found' end error
+from v_updates u join v_notes n on n.id = u.doc_id""")
+def update_inline(spark, sf):
+    t = tables(spark, sf)
+    docs = _notes_table(t)
+    _, res = mutate.update_documents(docs, _inline_updates(t), req_key="req_id", path_col="doc_path", inline_col="inline")
+    return res.select("req_id", "doc_id", "route", "error")
+
+
+@query("update_inline_documents", oracle=f"""
+with {_FOLDERS}
+select id doc_id, 'dc:title' key, title value from v_notes where lang <> 'de'
+union all select id, 'dc:title', title from folders
+union all select id, 'note:lang', lang from v_notes where lang <> 'de'
+union all select u.doc_id, u.prop, u.val from v_updates u join v_notes n on n.id = u.doc_id
+  where n.lang <> 'de'
+union all select doc_id, prop,
+  case when prop in ('cust:acctbal', 'ord:totalprice') then {NUM_TEXT.format(v='val')} else val end
+  from v_props""")
+def update_inline_documents(spark, sf):
+    """The whole table after updates of inline, looked-up and directly named documents."""
+    t = tables(spark, sf)
+    docs = _notes_table(t)
+    docs2, _ = mutate.update_documents(docs, _inline_updates(t), req_key="req_id", path_col="doc_path", inline_col="inline")
+    return docs2.select(F.col("id").alias("doc_id"), F.explode("properties").alias("key", "v")) \
+        .select("doc_id", "key", F.col("v").cast("string").alias("value"))
+
+
+@query("attach_inline", oracle="""
+with r as (select cast(conv_id as varchar) || '-' || cast(turn as varchar) req_id, 'c' || cast(conv_id as varchar) doc_id, role, turn from conversations)
+select r.req_id, r.doc_id, case when role = 'system' or c.c_custkey is null then 'failure' else 'success' end route,
+       case when role = 'system' then 'No upload batch' when c.c_custkey is null then 'document not found' end error
+from r left join customer c on r.doc_id = 'c' || cast(c.c_custkey as varchar)""")
+def attach_inline(spark, sf):
+    """Attachments whose records carry their document, on every second turn."""
+    t = tables(spark, sf)
+    reqs = _attach_requests(t)
+    carried = F.pmod(F.split("req_id", "-")[1].cast("int"), F.lit(2)) == 1
+    reqs = reqs.withColumn("inline", F.when(carried & (F.col("batch") != " "), F.struct(F.col("req_docid").alias("id"))))
+    reqs = reqs.withColumn("req_docid", F.when(F.col("inline").isNull(), F.col("req_docid")))
+    _, res = mutate.attach_blobs(repo.docs_with_properties(t), reqs, inline_col="inline")
+    return res.select("req_id", "doc_id", "route", "error")
+
+
 def _label_requests(t, col, value):
     lb = t.labels.select("doc_id", col).where(F.col(col) == value)
     return lb.select(F.col("doc_id").alias("req_id"),
@@ -101,7 +167,7 @@ select n.id, coalesce(l.toxic = 1, false) trashed
 from every n left join labels l on n.id = 'd' || cast(l.doc_id as varchar)""")
 def trash_document(spark, sf):
     t = tables(spark, sf)
-    docs, _ = _with_notes(t)
+    docs = _notes_table(t)
     docs2, _ = mutate.trash_documents(docs, _label_requests(t, "toxic", 1))
     return docs2.select("id", "trashed")
 
@@ -115,7 +181,7 @@ select l.doc_id req_id, 'd' || cast(l.doc_id as varchar) req_docid, cast(null as
 from labels l join v_notes n on n.id = 'd' || cast(l.doc_id as varchar) where l.toxic = 1""")
 def trash_results(spark, sf):
     t = tables(spark, sf)
-    docs, _ = _with_notes(t)
+    docs = _notes_table(t)
     _, res = mutate.trash_documents(docs, _label_requests(t, "toxic", 1))
     return res
 
@@ -126,7 +192,7 @@ select n.id from every n left join labels l on n.id = 'd' || cast(l.doc_id as va
 where coalesce(l.quality, 1) <> 0""")
 def delete_document(spark, sf):
     t = tables(spark, sf)
-    docs, _ = _with_notes(t)
+    docs = _notes_table(t)
     docs2, _ = mutate.delete_documents(docs, _label_requests(t, "quality", 0))
     return docs2.select("id")
 
@@ -229,11 +295,15 @@ def upload_blob(spark, sf):
 @query("upload_chunked", oracle=f"""
 with u as ({UPLOAD_SQL}),
 c as (select batch, idx, length, unnest(generate_series(0, greatest(cast(ceil(length / 256.0) as bigint), 1) - 1)) chunk_no from u)
-select batch, idx, chunk_no, least(256, length - chunk_no * 256) chunk_len from c""")
+select c.batch, c.idx, chunk_no, least(256, c.length - chunk_no * 256) chunk_len,
+       md5(array_slice(encode(text), chunk_no * 256 + 1, chunk_no * 256 + 256)) chunk_digest
+from c join (select case when role <> 'assistant' then 'b' || cast(conv_id as varchar)
+                         else 'batch-' || md5(cast(conv_id as varchar) || '-' || cast(turn as varchar)) end batch,
+                    case when turn > 0 then cast(turn as varchar) else '0' end idx, text from conversations) v using (batch, idx)""")
 def upload_chunked(spark, sf):
     uploads, _ = blobs.upload_blobs(None, _upload_requests(tables(spark, sf)), original=False)
     ch = blobs.chunk(uploads, 256)
-    return ch.select("batch", "idx", "chunk_no", F.octet_length("chunk").cast("long").alias("chunk_len"))
+    return ch.select("batch", "idx", "chunk_no", F.octet_length("chunk").cast("long").alias("chunk_len"), F.md5("chunk").alias("chunk_digest"))
 
 
 @query("sink_blobs", oracle="""
@@ -253,11 +323,14 @@ from every n left join labels l on n.id = 'd' || cast(l.doc_id as varchar)""")
 def sink_repo_snapshot(spark, sf):
     t = tables(spark, sf)
     docs, _ = _with_notes(t)
-    docs2, _ = mutate.trash_documents(docs, _label_requests(t, "toxic", 1))
-    out = shared_dir(spark, "snapshot")
-    snapshots.write_snapshot(docs2, out)
-    back = spark.read.parquet(out)
-    return back.select("id", "path", "trashed", "repo")
+    table = versioned_table(spark)
+    table.create(docs)
+    trash = _label_requests(t, "toxic", 1).select(
+        F.col("req_id").alias("seq"), F.lit(changes.TRASH).alias("kind"), F.col("req_docid").alias("doc_id"))
+    delta, _ = changes.net_changes(table.read(), trash)
+    table.commit(delta)
+    table.compact()
+    return table.read().select("id", "path", "trashed", "repo")
 
 
 def _workflow_requests(t):

@@ -146,31 +146,43 @@ KIND_OPS = [("Batch.List", True), ("Batch.List", False), ("Batch.Info", True), (
 
 
 @query("op_result_kind", oracle="""
-with b as (select batch, count(*) n, max(case when idx = '0' then 1 else 0 end) has0
-           from v_uploads group by batch)
-select 'Batch.List/split' op, count(*) n_rows from v_uploads
-union all select 'Batch.List/pages', sum(cast(ceil(n / 10.0) as bigint)) from b
-union all select 'Batch.Info/split', count(*) from b
-union all select 'Batch.Drop/split', 0
-union all select 'Batch.Blobs/split', count(*) from v_uploads
-union all select 'Batch.First/split', sum(has0) from b
-union all select 'Batch.Name/split', count(*) from b""")
+with u as (select batch, idx, filename, length, row_number() over (partition by batch order by filename nulls first, idx) p from v_uploads),
+pages as (select batch, (p - 1) // 10 pg, count(*) n from u group by batch, (p - 1) // 10)
+select 'Batch.List/split' op, batch req_id, idx || ' ' || coalesce(filename, '') result from u
+union all select 'Batch.List/pages', batch, cast(pg as varchar) || ' ' || cast(n as varchar) from pages
+union all select 'Batch.Info/split', batch, '{"n_parts":' || cast(count(*) as varchar) || '}' from u group by batch
+union all select 'Batch.Blobs/split', batch, idx || ' ' || cast(length as varchar) from u
+union all select 'Batch.First/split', batch, idx || ' ' || cast(length as varchar) from u where idx = '0'
+union all select 'Batch.Name/split', batch, arg_min(filename, cast(idx as int)) from u where filename is not null group by batch""")
 def op_result_kind(spark, sf):
+    """Every row of an operation of each result kind; Batch.Drop returns none."""
     t = tables(spark, sf)
     uploads = repo.uploads(t)
     batches = uploads.select(F.col("batch").alias("req_id")).distinct()
+    show = {"Batch.List/split": F.concat_ws(" ", "idx", F.coalesce("filename", F.lit(""))),
+            "Batch.List/pages": F.concat_ws(" ", "page_index", "n_entries"), "Batch.Info/split": F.col("content"),
+            "Batch.Drop/split": F.lit(None), "Batch.Blobs/split": F.concat_ws(" ", "idx", "length"),
+            "Batch.First/split": F.concat_ws(" ", "idx", "length"), "Batch.Name/split": F.col("content")}
     parts = []
     for name, split in KIND_OPS:
         res = run_operation(spark, name, batches, split=split, store={"uploads": uploads})
         label = f"{name}/{'split' if split else 'pages'}"
-        parts.append(res.where(F.col("route") == SUCCESS).agg(F.count(F.lit(1)).alias("n_rows"))
-                        .select(F.lit(label).alias("op"), "n_rows"))
+        parts.append(res.where(F.col("route") == SUCCESS).select(F.lit(label).alias("op"), "req_id", show[label].cast("string").alias("result")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+@query("op_batch_drop", oracle="""
+select batch, idx, filename, length from v_uploads where batch not in (select batch from v_uploads where filename is null)""")
+def op_batch_drop(spark, sf):
+    """The uploads after dropping every batch that has a part without name."""
+    uploads = repo.uploads(tables(spark, sf)).withColumn("length", F.octet_length("content").cast("long"))
+    unnamed = uploads.where(F.col("filename").isNull()).select(F.col("batch").alias("req_id"))
+    return ops.drop_batches(uploads, unnamed).select("batch", "idx", "filename", "length")
+
+
 @query("split_blobs", oracle="""
 select batch req_id, idx, filename, length from v_uploads""")
 def split_blobs(spark, sf):

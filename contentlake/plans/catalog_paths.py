@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from contentlake.functions import args, paths
@@ -10,6 +11,7 @@ from contentlake.operators import attributes
 from contentlake.operators import relations
 from contentlake.plans.registry import query
 from contentlake.plans.sql_snippets import NUM_TEXT
+from contentlake.session import materialize
 from contentlake.sources import repository as repo
 from contentlake.sources.tables import tables
 
@@ -97,18 +99,23 @@ def path_array_predicate(spark, sf):
 
 
 @query("path_match_collapse", oracle="""
-with m as (select doc_id, count(*) n, min(name) v, to_json(list(name order by pos)) l
-           from v_files where length > 45000 group by doc_id)
-select d.id doc_id,
-       case when coalesce(m.n, 0) = 0 then 'null' when m.n = 1 then 'value' else 'list' end kind,
-       coalesce(m.n, 0) n_matches, case when m.n = 1 then m.v end single_value,
-       cast(case when m.n > 1 then m.l end as varchar) list_value
-from v_docs d left join m on d.id = m.doc_id""")
+with e as (select doc_id, pos, case when mime_type <> 'type/R' then name end v from v_files where length > 15000),
+f as (select doc_id, min(pos) p from e where v is not null group by doc_id),
+m as (select e.*, count(*) over (partition by doc_id) n from e join f using (doc_id) where pos >= p),
+c as (select doc_id, n, (pos - 1) // 2 chunk, min(case when n = 1 then v end) one, count(*) n_values, to_json(list(v order by pos)) l
+      from m group by doc_id, n, (pos - 1) // 2)
+select d.id doc_id, case when n is null then 'null' when n = 1 then 'value' else 'list' end kind, coalesce(n, 0) n_matches,
+       one single_value, case when n > 1 then chunk end chunk, case when n > 1 then n_values end n_values,
+       cast(case when n > 1 then l end as varchar) list_value
+from v_docs d left join c on d.id = c.doc_id""")
 def path_match_collapse(spark, sf):
+    """Names of the large elements of each document; those of returned items are null,
+    so lists begin with nulls (dropped) and hold nulls (kept)."""
     t = tables(spark, sf)
-    f = repo.files(t).select("doc_id", "pos", "name", "length")
-    matches = attributes.element_path(f, "files:files/[length>45000]/name")
-    return attributes.collapse_counts(repo.docs(t).select(F.col("id").alias("doc_id")), matches)
+    f = repo.files(t).select("doc_id", "pos", F.when(F.col("mime_type") != "type/R", F.col("name")).alias("name"), "length")
+    matches = attributes.element_path(f, "files:files/[length>15000]/name")
+    docs, lists = attributes.collapse_matches(repo.docs(t).select(F.col("id").alias("doc_id")), matches, chunk=2)
+    return docs.join(lists, "doc_id", "left")
 
 
 @query("path_vector_collapse", oracle="""
@@ -154,6 +161,29 @@ def doc_to_columns_mapped(spark, sf):
         "doc_state": "state", "nothing": "missing:x"})
 
 
+_MAPPED = {"title_prop": "dc:title", "priority": "ord:priority", "total": "ord:totalprice", "doc_state": "state", "nothing": "missing:x"}
+
+
+@query("doc_to_columns_stamped", oracle="""
+with pv as (
+  select doc_id, max(case when prop = 'dc:title' then val end) title_prop, max(case when prop = 'ord:priority' then val end) priority
+  from v_props group by doc_id),
+n as (select count(*) documents, count(*) - count(title_prop) no_title, count(*) - count(priority) no_priority
+      from v_docs d left join pv on d.id = pv.doc_id)
+select d.id docid, 'document' entity, pv.title_prop, pv.priority, documents, no_title, no_priority, documents nothing
+from v_docs d left join pv on d.id = pv.doc_id, n""")
+def doc_to_columns_stamped(spark, sf):
+    """Mapped attributes with entity and id, written once; how many documents lack
+    each attribute comes from that same pass."""
+    nulls = Observation("mapped")
+    d = repo.docs_with_properties(tables(spark, sf))
+    out = attributes.entity_stamp(attributes.document_to_columns(d, _MAPPED, nulls=nulls))
+    out = materialize(out.select("docid", "entity", "title_prop", "priority"))
+    counts = nulls.get
+    return out.select("*", *[F.lit(counts[k]).cast("long").alias(v) for k, v in (
+        ("documents", "documents"), ("title_prop", "no_title"), ("priority", "no_priority"), ("nothing", "nothing"))])
+
+
 @query("value_json_or_string", oracle="""
 with v as (
   select event_id, 'props' field, props x from events

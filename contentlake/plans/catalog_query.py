@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from contentlake.operators import operations, query as q
@@ -80,6 +83,23 @@ def query_all_pages(spark, sf):
     return q.all_pages(d, "title", "ASC", page_size=10).select("id", "pos", "page_index")
 
 
+@query("query_keyset_page", oracle="""
+with o as (select id, title, nullif(state, 'review') state from v_docs where type = 'File' and state in ('review', 'approved')),
+k as (select min(id) key from (select id from o where state = 'approved' order by id desc limit 50))
+select id, title, state, pos from (
+  select id, title, state, row_number() over (order by state desc nulls last, id) pos from o, k where state is null or id > key)
+where pos <= 200""")
+def query_keyset_page(spark, sf):
+    """Two pages behind a key near the end of many ties, with the nulls that come after them."""
+    d = _docs_view(spark, sf).where(F.col("type") == "File").where(F.col("state").isin("review", "approved")).select(
+        "id", "title", F.nullif("state", F.lit("review")).alias("state"))
+    key = d.where("state = 'approved'").orderBy(F.desc("id")).limit(50).agg(F.min("id")).first()[0]
+    first, following = q.keyset_page(d, "state", "DESC", page_size=100, after=json.dumps({"state": "approved", "id": key}))
+    second, _ = q.keyset_page(d, "state", "DESC", page_size=100, after=following.first()["after"])
+    number = F.row_number().over(Window.orderBy(*q.sort_columns("state", "DESC"))).cast("long")   # of a page's rows
+    return first.withColumn("pos", number).unionByName(second.withColumn("pos", number + 100))
+
+
 q.register_provider(
     "docs_by_type_and_state",
     "select id, title, state, type from docs where type = ? and state = ?")

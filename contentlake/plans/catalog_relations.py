@@ -8,9 +8,10 @@ from contentlake.functions import args
 from contentlake.operators import lookup, relations
 from contentlake.plans.registry import query
 from contentlake.plans.sql_snippets import ERROR_OF_MISS, RESOLVED_REQUESTS
-from contentlake.session import shared_dir
+from contentlake.session import materialize, shared_dir
 from contentlake.sources import entity_json as ej
 from contentlake.sources import repository as repo
+from contentlake.sources.blob_files import read_blob_files, write_blob_files
 from contentlake.sources.tables import tables
 
 
@@ -62,6 +63,42 @@ def get_audit(spark, sf):
                                  ["entry_id", "event_type", "ts_us", "value"])
 
 
+def _factored(outcomes, chunks):
+    """The two parts of the JSON form in one frame."""
+    return outcomes.select("req_id", "doc_id", "route", "error").unionByName(chunks, allowMissingColumns=True)
+
+
+@query("get_acl_request_json", oracle="""
+with a as (select doc_id, pos, principal, granted from v_acl)
+select cast(n_nationkey as bigint) req_id, nation_id doc_id, 'success' route, cast(null as varchar) error, null chunk, null n_entries,
+       cast(null as varchar) content from v_nation
+union all
+select null, doc_id, null, null, (pos - 1) // 3, count(*),
+       to_json(list(struct_pack(principal := principal, granted := granted) order by pos))
+from a join v_nation on doc_id = nation_id group by doc_id, (pos - 1) // 3""")
+def get_acl_request_json(spark, sf):
+    t = tables(spark, sf)
+    return _factored(*relations.get_related_json(_nation_requests(t), repo.docs(t), repo.acl(t), ["pos"],
+                                                 ["principal", "granted"], chunk_size=3))
+
+
+@query("get_audit_request_json", oracle=f"""
+with {RESOLVED_REQUESTS},
+e as (select a.doc_id, entry_id, event_type, row_number() over (partition by a.doc_id order by entry_id) p
+      from v_audit a where a.doc_id in (select doc_id from r_res))
+select req_id, doc_id, case when doc_id is null then 'failure' else 'success' end route,
+       case when doc_id is null then {ERROR_OF_MISS} end error, null chunk, null n_entries, cast(null as varchar) content from r_res
+union all
+select null, doc_id, null, null, (p - 1) // 50, count(*),
+       to_json(list(struct_pack(entry_id := entry_id, event_type := event_type) order by p))
+from e group by doc_id, (p - 1) // 50""")
+def get_audit_request_json(spark, sf):
+    """Audit logs as JSON by request: every request's outcome, every requested log once."""
+    t = tables(spark, sf)
+    return _factored(*relations.get_related_json(repo.requests(t), repo.docs(t), repo.audit(t), ["entry_id"],
+                                                 ["entry_id", "event_type"], chunk_size=50))
+
+
 @query("get_workflows", oracle=f"""
 with {RESOLVED_REQUESTS}
 select req_id, req_docid, req_path, r_res.doc_id, workflow_id, name, state,
@@ -117,6 +154,16 @@ def src_blobs(spark, sf):
                     F.octet_length("content").cast("long").alias("length"), "digest")
 
 
+@query("src_blob_files", oracle="""
+select doc_id, length, digest from v_blobs""")
+def src_blob_files(spark, sf):
+    """Blobs written as files of their own and read back as such."""
+    folder = shared_dir(spark, "blob-files")
+    written = materialize(write_blob_files(repo.blobs(tables(spark, sf)), folder))
+    back = read_blob_files(spark, folder, written=written)
+    return back.select(F.col("key").alias("doc_id"), "length", F.md5("content").alias("digest"))
+
+
 @query("blob_ref_resolve", oracle="""
 with r as (select 'cv' || cast(conv_id as varchar) doc_id, 'b' || cast(conv_id as varchar) upload_batch,
                   cast(turn + 1 as varchar) upload_file_id from conversations)

@@ -96,3 +96,26 @@ def position_within(df: DataFrame, keys: list[str], order: list[Column | str],
         "_r.*",
         (F.col(f"_s.{_OFF}") + F.col(f"_r.{_MID}") - F.col(f"_s.{_FIRST}") + F.lit(1)).alias(pos_col))
     return out.drop(_PID, _MID)
+
+
+def last_before(df: DataFrame, keys: list[str], order: list[Column | str], value: str,
+                out_col: str, partitions: int | None = None) -> DataFrame:
+    """``value`` of the last earlier row of the same ``keys`` (in ``order``) that
+    has one, as ``out_col``; null if there is none.
+
+    As :func:`position_within`: rows are ranged on keys and order, so a hot key is
+    spread over several partitions. Within a partition a window looks back; over the
+    boundary each partition passes on one value per key."""
+    n = _n_parts(df, partitions)
+    ranged = _ranged(df, [*keys, *order], n)
+    back = Window.partitionBy(_PID, *keys).orderBy(_MID).rowsBetween(Window.unboundedPreceding, -1)
+    near = ranged.withColumn(out_col, F.last(value, ignorenulls=True).over(back))
+    ends = ranged.groupBy(_PID, *keys).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(_MID))).alias(_N))
+    # at most one row per partition and key here
+    before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn(_OFF, F.last(_N, ignorenulls=True).over(before)).drop(_N)
+    r, s = near.alias("_r"), ends.alias("_s")
+    cond = reduce(lambda a, b: a & b, [F.col(f"_r.{k}").eqNullSafe(F.col(f"_s.{k}")) for k in keys],
+                  F.col(f"_r.{_PID}") == F.col(f"_s.{_PID}"))
+    kept = [F.col(f"_r.{c}") for c in df.columns if c != out_col]
+    return r.join(s, cond).select(*kept, F.coalesce(F.col(f"_r.{out_col}"), F.col(f"_s.{_OFF}")).alias(out_col))

@@ -8,9 +8,12 @@
   the batch id (overwrite), so a replayed batch after a failure rewrites
   the same files - the sink is idempotent and the checkpoint gives
   exactly-once results;
-* upserts merge each micro-batch into a new snapshot version of the
-  table; the snapshot a batch starts from is the latest committed one;
-* a scheduled query runs once per trigger, whatever the batch holds.
+* continuous changes (:func:`stream_changes`) of all four kinds commit the net effect of
+  each micro-batch as a small change set of a versioned table (merge on read), so
+  bytes written follow the batch; :func:`stream_upsert` merges with a caller's function
+  into a whole new snapshot per batch, which suits small tables only;
+* a scheduled query runs once per trigger, whatever the batch holds; its ticks come
+  from a clock (:func:`clock`) that needs no input, or from any stream.
 
 Checkpoints and sinks live under the shared checkpoint folder.
 """
@@ -18,13 +21,16 @@ Checkpoints and sinks live under the shared checkpoint folder.
 from __future__ import annotations
 
 import os
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from contentlake.functions.joins import release_kept
+from contentlake.operators.changes import net_changes
 from contentlake.operators.lookup import get_document
 from contentlake.session import shared_dir
+from contentlake.sources.versioned import COMPACT_SHARE, MAX_CHANGE_SETS, VersionedTable
 
 
 def read_stream(spark: SparkSession, path: str, schema=None, max_files: int | None = None,
@@ -141,16 +147,62 @@ def stream_upsert(spark: SparkSession, changes: DataFrame, initial: DataFrame,
     return version(newest["v"])
 
 
-def timer_query(spark: SparkSession, ticks: DataFrame, run: Callable[[SparkSession], DataFrame],
+def stream_changes(spark: SparkSession, changes: DataFrame, table: VersionedTable, results: str | None = None,
+                   checkpoint: str | None = None, trigger: dict | None = None, *, share: float = COMPACT_SHARE,
+                   most: int = MAX_CHANGE_SETS) -> str:
+    """Continuous create, update, trash and delete; returns the folder of the results.
+
+    A micro-batch holds change rows (:mod:`contentlake.operators.changes`) in the order of
+    their ``seq``. Its net effect is committed to ``table`` as one change set, its
+    results (a row per change) go to ``batch=<id>``. Both are keyed by the batch id and
+    the checkpoint: a batch that is replayed before its commit writes the same again, one
+    replayed after it does nothing. ``share`` and ``most`` say when change sets are
+    compacted or folded."""
+    results = results or shared_dir(spark, "stream-results")
+    checkpoint = checkpoint or shared_dir(spark, "stream-changes-ckpt")
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        if table.has((checkpoint, batch_id)):
+            return
+        delta, outcome = net_changes(table.read(), batch)
+        outcome.write.mode("overwrite").parquet(os.path.join(results, f"batch={batch_id}"))
+        table.commit(delta, (checkpoint, batch_id))
+        table.maintain(share, most)
+        release_kept()
+
+    _start(changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint), trigger)
+    return results
+
+
+def clock(spark: SparkSession) -> DataFrame:
+    """A stream of one row per micro-batch: with a processing-time trigger, a tick per interval."""
+    return spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load()
+
+
+def timer_query(spark: SparkSession, ticks: DataFrame | None, run: Callable[[SparkSession], DataFrame],
                 sink: str | None = None, checkpoint: str | None = None,
-                trigger: dict | None = None) -> str:
-    """Run ``run(spark)`` once per micro-batch of ``ticks`` (a schedule with
-    no input of its own); each run's result lands in ``batch=<id>``."""
+                trigger: dict | None = None, runs: int | None = None) -> str:
+    """Run ``run(spark)`` once per micro-batch of ``ticks`` (None: of :func:`clock`, a
+    schedule with no input of its own; give a processing-time ``trigger``); each run's
+    result lands in ``batch=<id>``. With ``runs`` the schedule ends when run number
+    ``runs`` has been written; a restart on the same checkpoint goes on from the last one."""
     sink = sink or shared_dir(spark, "timer")
     checkpoint = checkpoint or shared_dir(spark, "timer-ckpt")
+    over = threading.Event()
 
     def fire(batch: DataFrame, batch_id: int) -> None:
+        if runs is not None and batch_id >= runs:
+            over.set()
+            return
         run(spark).write.mode("overwrite").parquet(os.path.join(sink, f"batch={batch_id}"))
 
-    _start(ticks.writeStream.foreachBatch(fire).option("checkpointLocation", checkpoint), trigger)
+    writer = (clock(spark) if ticks is None else ticks).writeStream.foreachBatch(fire).option("checkpointLocation", checkpoint)
+    q = _start(writer, trigger or ({"processingTime": "0 seconds"} if ticks is None else None))
+    if runs is not None:
+        while q.isActive and not over.wait(0.1):   # the tick after the last run
+            pass
+        failed = q.exception()
+        q.stop()
+        if failed:
+            raise failed
     return sink
