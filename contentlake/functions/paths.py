@@ -37,7 +37,9 @@ from contentlake.functions.values import variant_to_text
 SCHEMA_STEP = re.compile(r"[a-zA-Z_:][\w\-:]*:[a-zA-Z_:][\w\-:]*", re.ASCII)
 _INT = re.compile(r"[+-]?\d+", re.ASCII)
 _PRED = re.compile(r"\[\s*([A-Za-z_][\w\-:]*|\.)\s*(>=|<=|!=|=|>|<)\s*(.+?)\s*\]", re.ASCII)
+_NUMBER = re.compile(r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?", re.ASCII)
 OUT_OF_RANGE = "no array element at this index"
+MOST_ELEMENTS = (1 << 31) - 1   # of an array: an index beyond is out of range whatever its length
 
 
 @dataclass(frozen=True)
@@ -69,7 +71,7 @@ def parse(path: str | None) -> list[Step] | None:
         elif part == ".":
             steps.append(Step("self", part))
         elif _INT.fullmatch(part):
-            steps.append(Step("index", part, index=int(part)))
+            steps.append(Step("index", part, index=max(-MOST_ELEMENTS, min(MOST_ELEMENTS, int(part)))))
         elif part.startswith("["):
             m = _PRED.fullmatch(part)
             if not m:
@@ -78,10 +80,9 @@ def parse(path: str | None) -> list[Step] | None:
             if lit_text[:1] in "'\"" and lit_text[-1:] == lit_text[:1]:
                 literal: object = lit_text[1:-1]
             else:
-                try:
-                    literal = float(lit_text) if any(c in lit_text for c in ".eE") else int(lit_text)
-                except ValueError as exc:
-                    raise ValueError(f"bad literal in predicate {part!r}") from exc
+                if not _NUMBER.fullmatch(lit_text):
+                    raise ValueError(f"bad literal in predicate {part!r}")
+                literal = float(lit_text) if any(c in lit_text for c in ".eE") else int(lit_text)
             steps.append(Step("pred", part, member=m.group(1), op=m.group(2), literal=literal))
         else:
             steps.append(Step("name", part))
@@ -231,7 +232,7 @@ _STEP_ERRORS = (
     (lambda p: p.startswith("[") != p.endswith("]"), "unbalanced predicate step"),
     (lambda p: p.startswith("[") & ~p.rlike(f"^{_PRED.pattern}$"), "unsupported predicate"),
     (lambda p: p.startswith("[") & p.rlike(f"^{_PRED.pattern}$") & ~_quoted(_literal(p))
-     & F.nullif(_literal(p), F.lit("")).try_cast("double").isNull(), "bad literal in predicate"),
+     & ~_literal(p).rlike(f"^(?:{_NUMBER.pattern})$"), "bad literal in predicate"),
 )
 
 

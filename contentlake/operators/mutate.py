@@ -311,11 +311,9 @@ def cancel_workflows(docs: DataFrame, workflows: DataFrame, requests: DataFrame,
                    .drop("_wd", "_wn"))
     failed = res.where(F.col("route") == FAILURE).withColumn("workflow_id", F.lit(None).cast("string"))
     results = hits.unionByName(failed)
-    # instances cancelled per request are not bounded by the request count,
-    # so this key set is checked on its own
-    gone = bounded_broadcast(hits.select(F.col("workflow_id").alias("_c")).distinct(),
-                             CHANGE_BROADCAST_ROWS)
-    w = workflows.join(gone, workflows["workflow_id"] == gone["_c"], "left")
-    workflows2 = w.withColumn("state", F.when(F.col("_c").isNotNull(), F.lit("canceled"))
-                              .otherwise(F.col("state"))).drop("_c")
-    return workflows2, results
+    # what is cancelled follows from the (document, name) pairs, which are at most the
+    # requests; the instances themselves needn't be counted or joined back
+    pairs = _maybe_broadcast(ok.select(F.col("doc_id").alias("_pd"), F.col(model_col).alias("_pn")), small)
+    w = workflows.join(pairs, (workflows["doc_id"] == pairs["_pd"]) & (workflows["name"] == pairs["_pn"]), "left")
+    gone = F.col("_pd").isNotNull() & (F.col("state") == "running")
+    return w.withColumn("state", F.when(gone, F.lit("canceled")).otherwise(F.col("state"))).drop("_pd", "_pn"), results

@@ -149,7 +149,7 @@ def stream_upsert(spark: SparkSession, changes: DataFrame, initial: DataFrame,
 
 def stream_changes(spark: SparkSession, changes: DataFrame, table: VersionedTable, results: str | None = None,
                    checkpoint: str | None = None, trigger: dict | None = None, *, share: float = COMPACT_SHARE,
-                   most: int = MAX_CHANGE_SETS) -> str:
+                   most: int = MAX_CHANGE_SETS, keep: int | None = None) -> str:
     """Continuous create, update, trash and delete; returns the folder of the results.
 
     A micro-batch holds change rows (:mod:`contentlake.operators.changes`) in the order of
@@ -157,7 +157,8 @@ def stream_changes(spark: SparkSession, changes: DataFrame, table: VersionedTabl
     results (a row per change) go to ``batch=<id>``. Both are keyed by the batch id and
     the checkpoint: a batch that is replayed before its commit writes the same again, one
     replayed after it does nothing. ``share`` and ``most`` say when change sets are
-    compacted or folded."""
+    compacted or folded; with ``keep``, only the newest ``keep`` versions and their files
+    stay (readers of older ones must be done by then)."""
     results = results or shared_dir(spark, "stream-results")
     checkpoint = checkpoint or shared_dir(spark, "stream-changes-ckpt")
 
@@ -168,6 +169,8 @@ def stream_changes(spark: SparkSession, changes: DataFrame, table: VersionedTabl
         outcome.write.mode("overwrite").parquet(os.path.join(results, f"batch={batch_id}"))
         table.commit(delta, (checkpoint, batch_id))
         table.maintain(share, most)
+        if keep:
+            table.expire(keep)
         release_kept()
 
     _start(changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint), trigger)

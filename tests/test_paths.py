@@ -159,7 +159,8 @@ def test_any_path_compiles_or_is_rejected_and_never_fails_a_job(doc, step_lists)
 ROW_PATHS = ["dc:title", "n:o", "n:o/k/z", "n:o/l/2/b", "n:o/l/-1", "n:o/l/0", "n:o/l/9", "n:o/l/-9", "n:o/l/[a>1]/b", "n:o/v/[.>0.2]",
              "n:o/v/[.>5]", "n:o/l/[b='q']", "id", "title/x", "nope", ".", "properties/dc:title", "dc:title/a:b", "/dc:title/", "a//b",
              "n:o/l/[a", "n:o/l/[a~1]", "n:o/l/[a>x]", "", "e:m/1", "n:o/l/[a>0]/a", "dc:t\u00eftle", "title/dc:x", "n:o/./k", "n:o/l/99999999999", "n:o/l/-99999999999",
-             "n:o/l/999999999999999999999999", "n:o/l/+1/b", "n:o/l/\uff12", "n:o/l/\u0662/b", "n:o/k/99999999999", "n:o/l/[\u00e9>1]", "n:o/l/[a>\u0661]",
+             "n:o/l/999999999999999999999999", "n:o/l/+1/b", "n:o/l/\uff12", "n:o/l/\u0662/b", "n:o/k/99999999999", "n:o/l/[\u00e9>1]", "n:o/l/[a>\u0661]", "n:o/l/[a>1_0]", "n:o/l/[a>1d]", "n:o/l/[a>NaN]",
+             "n:o/v/[.>.2]", "n:o/v/[.>2e-1]", "n:o/v/[.>+0.2]",
              "n:o/l/[a\u00e9>1]/b"]
 
 

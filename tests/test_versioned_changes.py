@@ -212,6 +212,13 @@ def test_stream_of_changes_with_restarts(spark, tmp_path):
     # nothing new: nothing written
     streams.stream_changes(spark, streams.read_stream(spark, source), table, results, checkpoint)
     assert table.manifest().version == version
+    # compacted at once, old versions dropped: the files are those of one table
+    changes(spark, mixed(20, 40)).coalesce(1).write.mode("append").parquet(source)
+    streams.stream_changes(spark, streams.read_stream(spark, source), table, results, checkpoint, share=0.0, keep=1)
+    state, _ = simulate(state, mixed(20, 40))
+    assert as_dict(table.read()) == state
+    assert len(table.versions()) == 1 and not table.manifest().changes
+    assert {e.folder for e in table.manifest().base} == {os.path.relpath(os.path.dirname(f), os.path.join(table.root, "files")) for f in files(table)}
 
 
 def test_bytes_written_follow_the_batch(spark, tmp_path):
