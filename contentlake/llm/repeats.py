@@ -285,17 +285,20 @@ def _finished(nodes: DataFrame) -> DataFrame:
     return rows.repartition(*SHARED).sortWithinPartitions(*SHARED).mapInPandas(finish, RANGES)
 
 
-def _with_counts(rows: DataFrame, counts: DataFrame, keys: list[str], n: str, hot: int, how: str) -> DataFrame:
-    """``rows`` joined with a table that has one row per key. The few keys of more than
-    ``hot`` rows are broadcast, so that their rows stay where they are."""
-    rows, few = rows.alias("r"), counts.where(F.col(n) > hot)
+def _with_counts(rows: DataFrame, counts: DataFrame, keys: list[str], n: str, hot: int) -> DataFrame:
+    """``rows`` left-joined with a table that has one row per key. The few keys of more
+    than ``hot`` rows are broadcast; their rows go through the shuffle under their own
+    node number instead of the key, so that no task gets them together."""
     values = [c for c in counts.columns if c not in keys]
-    large = F.broadcast(few.select(*[F.col(k).alias(f"_{k}") for k in keys], *[F.col(v).alias(f"_hot_{v}") for v in values]))
+    large = F.broadcast(counts.where(F.col(n) > hot).select(
+        *[F.col(k).alias(f"_{k}") for k in keys], *[F.col(v).alias(f"_hot_{v}") for v in values]))
     met = rows.join(large, [rows[k] == large[f"_{k}"] for k in keys], "left").drop(*[f"_{k}" for k in keys])
     is_hot = F.col(f"_hot_{n}").isNotNull()
-    done = met.where(is_hot).select("r.*", *[F.col(f"_hot_{v}").alias(v) for v in values])
-    rest = met.where(~is_hot).select("r.*").join(counts.where(F.col(n) <= hot), keys, how)
-    return done.unionByName(rest)
+    met = met.withColumn("_first", F.when(is_hot, F.col("node")).otherwise(F.col(keys[0]))).withColumn("_apart", ~is_hot)
+    rest = counts.where(F.col(n) <= hot).select(*[F.col(k).alias(f"_{k}") for k in keys], *values, F.lit(True).alias("_rest"))
+    on = [met["_first"] == rest[f"_{keys[0]}"], met["_apart"] == rest["_rest"], *[met[k] == rest[f"_{k}"] for k in keys[1:]]]
+    out = met.join(rest, on, "left")
+    return out.select(*rows.columns, *[F.coalesce(F.col(f"_hot_{v}"), F.col(v)).alias(v) for v in values])
 
 
 def _ranked(nodes: DataFrame) -> DataFrame:
@@ -303,18 +306,15 @@ def _ranked(nodes: DataFrame) -> DataFrame:
     slim = nodes.select("node", "rank", "lo", "hi", "inner_rank", "outer_rank")
     same = ["rank", "lo", "hi"]
     hot = max(LEAST_HOT, nodes.count() // HOT)   # so at most HOT keys are broadcast
-    outer = stage(slim.where(F.col("outer_rank").isNotNull()).groupBy(*same, "outer_rank")
-                  .agg(F.count(F.lit(1)).alias("n_out"), F.min("node").alias("kept")).where("n_out > 1"), "outer")
-    inner = stage(slim.groupBy(*same, "inner_rank").agg(F.count(F.lit(1)).alias("n_in")).where("n_in > 1"), "inner")
+    outer = (slim.where(F.col("outer_rank").isNotNull()).groupBy(*same, "outer_rank")
+             .agg(F.count(F.lit(1)).alias("n_out"), F.min("node").alias("kept")).where("n_out > 1"))
+    inner = slim.groupBy(*same, "inner_rank").agg(F.count(F.lit(1)).alias("n_in")).where("n_in > 1")
     partner = (F.col("kept") == F.col("node")) & (F.col("n_in") > F.col("n_out"))
-    met = _with_counts(slim, inner, [*same, "inner_rank"], "n_in", hot, "inner")
-    met = _with_counts(met, outer, [*same, "outer_rank"], "n_out", hot, "left")
-    out = stage(met.select(
+    met = _with_counts(slim, inner, [*same, "inner_rank"], "n_in", hot).where("n_in > 1")
+    met = _with_counts(met, outer, [*same, "outer_rank"], "n_out", hot)
+    return stage(met.select(
         "node", F.col("n_out").isNotNull().alias("through"), (F.col("n_in") <= FEW).alias("few"),
         ((F.col("lo") < F.col("hi")) & (F.col("n_out").isNull() | partner)).alias("goes_on")), "states")
-    discard(outer)
-    discard(inner)
-    return out
 
 
 def repeated_ranges(roots: DataFrame, texts: DataFrame) -> DataFrame:
