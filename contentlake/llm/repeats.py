@@ -39,7 +39,7 @@ from contentlake.llm.common import discard, stage
 LENGTH = 200
 SEED = 50
 REACH = LENGTH - SEED  # an anchor's largest distance from a string's start
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 500_000
 PIECE_BYTES = 1 << 20  # of a longer text that are looked at once
 PIECE_NODES = 1_000  # nodes whose bytes or strings are hashed at once (a group of FEW is never cut)
 BROADCAST_ROWS = 1_000_000
