@@ -25,6 +25,7 @@ from contentlake.functions.values import json_or_string
 from contentlake.operators.lookup import NOT_FOUND, get_document, requests_are_small
 from contentlake.operators.relations import NO_BATCH
 from contentlake.operators.routing import FAILURE, SUCCESS
+from contentlake.session import materialize
 
 PARENT_NOT_FOUND = "parent not found"
 ALREADY_EXISTS = "document already exists"
@@ -112,10 +113,12 @@ def create_documents(docs: DataFrame, requests: DataFrame, *, req_key: str = "re
         .select("_k._rk", "_k._r").where(F.col("_r").isNotNull()).distinct()
     refs = docs.select("id", F.explode(F.array(*[F.struct(F.lit(k).alias("_dk"), F.col(k).alias("_d")) for k in ("path", "id")])).alias("_x")) \
         .select("id", "_x._dk", "_x._d")
-    match = (F.col("_dk") == F.col("_rk")) & (F.col("_d") == F.col("_r"))
+    # the hash first: a shuffle join sorts by it, not by kinds and paths that begin alike
+    match = (F.xxhash64("_dk", "_d") == F.xxhash64("_rk", "_r")) & (F.col("_dk") == F.col("_rk")) & (F.col("_d") == F.col("_r"))
     hits = refs.join(_maybe_broadcast(keys, small), match).groupBy("_rk", "_r").agg(F.max("id").alias("_at"))
-    if small:      # at most three rows per request; kept, as it is joined three times
-        hits = F.broadcast(keep(hits))
+    # at most three rows per request; joined three times, twice more for the owners of
+    # ids, and again by every reader of the new table: the scan is not repeated for them
+    hits = F.broadcast(keep(hits)) if small else materialize(hits)
     at = lambda kind, key, out: hits.where(F.col("_rk") == kind).select(F.col("_r").alias(key), F.col("_at").alias(out))
     first = req.groupBy("_path").agg(F.min("_req").alias("_first"))
     j = (req.join(at("path", "_pp", "_parent_id"), "_pp", "left").join(at("path", "_path", "_existing_id"), "_path", "left")
