@@ -57,6 +57,24 @@ def release_kept() -> None:
 LOOKUP_BROADCAST_ROWS = 200_000
 
 
+# Up to so many keys are broadcast as their 8-byte hashes (:func:`near_keys`).
+HASHED_KEYS = 2_000_000
+
+
+def near_keys(table: DataFrame, columns: list[str], keys: DataFrame, key_columns: list[str],
+              bound: int | None = None) -> DataFrame:
+    """The rows of ``table`` whose ``columns`` hash as one of ``keys`` does: all that an
+    equi-join with ``keys`` can match, and a few more, so that join has to follow.
+
+    Up to ``bound`` keys (checked) their hashes are broadcast, so a large table streams
+    past them and only what may match is shuffled; with more, it is ``table`` itself.
+    ``keys`` are read twice."""
+    hashes = keys.select(F.xxhash64(*key_columns).alias("_near")).distinct()
+    if not row_count_at_most(hashes, HASHED_KEYS if bound is None else bound):
+        return table
+    return table.join(F.broadcast(hashes), F.xxhash64(*columns) == F.col("_near"), "left_semi")
+
+
 def preserving_lookup(left: DataFrame, right: DataFrame, left_keys: list[str],
                       right_keys: list[str], bound: int = LOOKUP_BROADCAST_ROWS,
                       small: bool | None = None, prune: str | None = None) -> DataFrame:

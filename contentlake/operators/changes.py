@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contentlake.functions.joins import LOOKUP_BROADCAST_ROWS, row_count_at_most
+from contentlake.functions.joins import LOOKUP_BROADCAST_ROWS, near_keys, row_count_at_most
 from contentlake.functions.values import json_or_string
 from contentlake.operators.lookup import DEFAULT_REPO, NO_REFERENCE, NOT_FOUND
 from contentlake.operators.mutate import (
@@ -81,7 +81,11 @@ def _judged(docs: DataFrame, ch: DataFrame, small: bool) -> DataFrame:
     refs = docs.select("repo", "id", F.explode(F.array(
         F.struct(F.lit("id").alias("k"), F.col("id").alias("r")),
         F.struct(F.lit("path").alias("k"), F.col("path").alias("r")))).alias("_x")).select("repo", "id", "_x.k", "_x.r")
-    on = (refs["repo"] == keys["repo"]) & (refs["k"] == keys["_rk"]) & (refs["r"] == keys["_r"])
+    if not small:   # the table streams past the keys' hashes; only what may match is shuffled
+        keys = materialize(keys)
+        refs = near_keys(refs, ["repo", "k", "r"], keys, ["repo", "_rk", "_r"])
+    # the hash first, as in create_documents
+    on = (F.xxhash64(refs["repo"], refs["k"], refs["r"]) == F.xxhash64(keys["repo"], keys["_rk"], keys["_r"])) & (refs["repo"] == keys["repo"]) & (refs["k"] == keys["_rk"]) & (refs["r"] == keys["_r"])
     hits = materialize(refs.join(_broadcast(keys, small), on, "left_semi"))
     at = lambda kind, key, out: hits.where(F.col("k") == kind).select("repo", F.col("r").alias(key), F.col("id").alias(out))
     first = creates.where(F.col("path").isNotNull()).groupBy("repo", "path").agg(F.min_by("doc_id", "seq").alias("_owner"))
@@ -132,7 +136,8 @@ def net_changes(docs: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFra
     state = materialize(state.where(F.coalesce(F.col("_last") != DELETED, F.lit(True)) | F.col("_there")))
 
     changed = _broadcast(state.where(F.col("_last").isNull()).select(F.col("repo").alias("_repo"), F.col("doc_id").alias("_id"), "_set", "_trashed"), small)
-    old = docs.join(changed, (docs["repo"] == F.col("_repo")) & (docs["id"] == F.col("_id")))
+    near = docs if small else near_keys(docs, ["repo", "id"], changed, ["_repo", "_id"])
+    old = near.join(changed, (near["repo"] == F.col("_repo")) & (near["id"] == F.col("_id")))
     updated = old.withColumns({"properties": _over(F.col("properties")), "trashed": F.col("trashed") | F.col("_trashed"), OP: F.lit(PUT)})
     return updated.select(*docs.columns, OP).unionByName(_created(docs, state)).unionByName(_deleted(docs, state)), results
 
