@@ -23,12 +23,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentlake.llm.common import stage
+from contentlake.llm.common import stage, worker_batches
 
 #: Words, on lower-cased UTF-8 bytes (bytes from 0x80 on belong to words).
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WINDOW = 13
-SEGMENT_WORDS = 1_000_000
+SEGMENT_WORDS = 500_000
+#: Texts and index rows go to Python workers in batches of about so many bytes, and the
+#: index lies in row groups of as many: what a task holds doesn't grow with its rows.
+PIECE_BYTES = 4 << 20
 #: Benchmark text that is sent to every task at once; a larger benchmark goes in blocks,
 #: each of which reads the index once.
 BLOCK_BYTES = 16 << 20
@@ -179,9 +182,10 @@ def filed_windows(index: DataFrame, block: list) -> dict[bytes, list[tuple[tuple
     sent = index.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = sent.value
         for batch in batches:
             for row in batch.itertuples():
-                at = [i for i, t in enumerate(map(bytes, row.terms)) if t in sent.value]
+                at = [i for i, t in enumerate(map(bytes, row.terms)) if t in wanted]
                 yield pd.DataFrame({"term": [row.terms[i] for i in at], "n": np.asarray(row.counts)[at].astype(np.int64)})
 
     rows = index.select("terms", "counts").mapInPandas(count, "term binary, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
@@ -255,11 +259,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", ite
     count once; a null item id is the empty string. Every row of ``docs`` gives
     one row, also for null or repeated ids. Other columns are not read.
     """
-    index = stage(build_index(docs, doc_id, text_col), "index")
     hits = None
-    for block in _blocks(items, item_id, text_col):
-        found = phrase_hits(index, block)
-        hits = found if hits is None else hits.unionByName(found)
+    with worker_batches(docs.sparkSession, PIECE_BYTES):
+        index = stage(build_index(docs, doc_id, text_col), "index", PIECE_BYTES)
+        for block in _blocks(items, item_id, text_col):
+            found = stage(phrase_hits(index, block), "hits")
+            hits = found if hits is None else hits.unionByName(found)
     span = "struct<lo:int,hi:int>"
     merge = F.aggregate(  # spans of several blocks may overlap
         F.array_sort(F.flatten(F.collect_list("spans"))), F.array().cast(f"array<{span}>"),

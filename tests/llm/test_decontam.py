@@ -1,7 +1,13 @@
 import re
 from collections import Counter
+from urllib.parse import urlparse
+
+import pandas as pd
+import pyarrow.parquet as pq
+import pytest
 
 from contentlake.llm import decontam
+from contentlake.llm.common import worker_batches
 from tests.llm.helpers import documents, empty, rows
 
 ITEMS = "item_id bigint, text string"
@@ -74,3 +80,41 @@ def test_proximity(spark):
     index = decontam.build_index(documents(spark, data))
     near = decontam.proximity_matches(index, _items(spark, [(7, "one two three four")]), slop=6).collect()
     assert {r["doc_id"] for r in near} == {1, 2}
+
+
+def test_a_task_holds_pieces_of_its_rows(spark, monkeypatch):
+    """Batches of texts and of index rows, and the index's row groups, stay small however many rows a task has."""
+    monkeypatch.setattr(decontam, "PIECE_BYTES", 100_000)
+    monkeypatch.setattr(decontam, "SEGMENT_WORDS", 1_000)
+    key, seen, kept, plain = "spark.sql.execution.arrow.maxBytesPerBatch", {}, {}, decontam.stage
+    before = spark.conf.get(key)
+
+    def largest(batches):
+        for b in batches:
+            yield pd.DataFrame({"n": [sum(len(v) for c in b for v in b[c] if isinstance(v, (str, bytes)))]})
+
+    def staged(df, name, *args):
+        sent = docs.select("text") if name == "index" else kept["index"].select("postings")
+        seen[name] = sent.mapInPandas(largest, "n bigint").agg({"n": "max"}).first()[0]
+        kept[name] = plain(df, name, *args)
+        return kept[name]
+
+    docs = documents(spark, [(i, " ".join(f"w{(i * 7 + k) % 5000}" for k in range(200)), "en", "s", 0) for i in range(2_000)]).coalesce(1)
+    items = [(1, " ".join(f"w{k}" for k in range(70, 90)))]
+    monkeypatch.setattr(decontam, "stage", staged)
+    out = decontam.decontaminate(docs, _items(spark, items))
+    assert out.count() == 2_000 and out.where("n_hit > 0").count() > 0
+    assert 0 < seen["index"] < 200_000 and 0 < seen["hits"] < 200_000, seen
+    files = [pq.ParquetFile(urlparse(f).path) for f in kept["index"].inputFiles()]
+    groups = [f.metadata.row_group(i) for f in files for i in range(f.metadata.num_row_groups)]
+    assert sum(f.metadata.num_rows for f in files) > 300 and max(g.total_byte_size for g in groups) < 300_000
+    assert spark.conf.get(key) == before
+
+
+def test_batch_size_is_put_back_after_a_failure(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), worker_batches(spark, 1_000):
+        assert spark.conf.get(key) == "1000"
+        1 / 0
+    assert spark.conf.get(key) == before
